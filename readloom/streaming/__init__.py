@@ -1,0 +1 @@
+"""Left empty: the workload is one batch job, without a streaming part."""
