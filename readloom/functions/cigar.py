@@ -50,7 +50,8 @@ def alignment_end(pos, cigar) -> Column:
 
 def _clip(cigar: Column, pattern: str) -> Column:
     clips = F.regexp_extract(cigar, pattern, 0)
-    return _total(F.regexp_extract_all(clips, F.lit("([0-9]+)"), F.lit(1)))
+    total = _total(F.regexp_extract_all(clips, F.lit("([0-9]+)"), F.lit(1)))
+    return F.when(F.contains(cigar, F.lit("S")) | F.contains(cigar, F.lit("H")), total).otherwise(0)
 
 
 def five_prime(pos, cigar, reverse) -> Column:

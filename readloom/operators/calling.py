@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from readloom.operators.recal import BASES
+
 # Fixed value: confidence a call must reach.
 MIN_QUAL = 30.0
 # Phred cost, in thousandths, of a read drawn from one of two alleles: 10 * log10(2).
 HALF_MILLI = 3010
-BASES = ("A", "C", "G", "T")
 
 
 def pileup(bases: DataFrame, by: Sequence[str] = ("ref_idx", "p")) -> DataFrame:

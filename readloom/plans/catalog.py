@@ -11,6 +11,7 @@ from readloom import sources
 from readloom.functions import contig_key, guess_encoding
 from readloom.operators import calling, duplicates, intervals, ordering, quality, recal, regions, seeding, variants
 from readloom.operators import reads as R
+from readloom.operators.partitions import spread
 from readloom.operators.staging import staging_path
 from readloom.plans import tables as T
 
@@ -49,7 +50,8 @@ def _calls(spark, sf):
 
 
 def _votes(spark, sf):
-    return seeding.seed_votes(T.table(spark, sf, "benchmark"), T.table(spark, sf, "documents"), "item_id", "doc_id")
+    targets = spread(T.table(spark, sf, "documents").select("doc_id", "text"))
+    return seeding.seed_votes(T.table(spark, sf, "benchmark"), targets, "item_id", "doc_id")
 
 
 # Reads and regions ------------------------------------------------------------

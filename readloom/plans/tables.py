@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from readloom.operators import reads as R
 from readloom.operators import recal
+from readloom.operators.partitions import spread
 
 IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 READ_IDS = ["ok", "ln", "pk", "sk"]
@@ -71,7 +72,8 @@ def with_quals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sequenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ungapped reads of 50 bases on contigs of about 3,000."""
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    rows = spread(table(spark, sf_dir, "lineitem").select(*IDS))
+    return rows.selectExpr(
         "l_orderkey as ok",
         "l_linenumber as ln",
         "l_partkey as pk",
