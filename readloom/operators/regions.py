@@ -15,10 +15,14 @@ REGIONS = 4
 MAX_CONTIGS = 1_000_000
 
 
+def count_contigs(reads: DataFrame) -> DataFrame:
+    """Reads per contig, combined before the shuffle."""
+    return reads.groupBy("ref_idx").agg(F.count("*").alias("c"))
+
+
 def contig_counts(reads: DataFrame) -> DataFrame:
     """Reads per contig, largest first."""
-    counts = reads.groupBy("ref_idx").agg(F.count("*").alias("c"))
-    return counts.orderBy(F.desc("c"), "ref_idx")
+    return count_contigs(reads).orderBy(F.desc("c"), "ref_idx")
 
 
 def balance_regions(counts: DataFrame, k: int = REGIONS) -> DataFrame:

@@ -30,7 +30,7 @@ def query(fn: Query) -> Query:
 
 
 def _region_map(spark, sf):
-    return regions.balance_regions(regions.contig_counts(T.placed(spark, sf)))
+    return regions.balance_regions(regions.count_contigs(T.placed(spark, sf)))
 
 
 def _covered(spark, sf):
@@ -84,7 +84,7 @@ def region_assignment(spark, sf):
 
 @query
 def region_load(spark, sf):
-    return regions.region_load(regions.contig_counts(T.placed(spark, sf)), _region_map(spark, sf))
+    return regions.region_load(regions.count_contigs(T.placed(spark, sf)), _region_map(spark, sf))
 
 
 @query

@@ -64,7 +64,7 @@ def call_variants(
     placed = stage(
         R.placed(alignments).withColumns(flags).withColumn(READ_ID, F.monotonically_increasing_id()), "placed"
     )
-    contig_region = stage(regions.balance_regions(regions.contig_counts(placed), k), "regions")
+    contig_region = stage(regions.balance_regions(regions.count_contigs(placed), k), "regions")
     by_region = regions.assign_regions(placed, contig_region)
     rebased = quality.rebase_region(by_region, ["ref_idx", "pos", READ_ID])
     cleaned = R.with_end(R.clean(rebased, contigs))

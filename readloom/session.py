@@ -13,6 +13,8 @@ def local_session(cpus: int = 8, memory: str = "16g", **conf: str) -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Call sites on every column cost more than the planning of a short query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

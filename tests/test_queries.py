@@ -68,6 +68,24 @@ def test_windows_are_keyed_by_contig_and_bin(spark, name):
         assert "_bin" in line or "_own" in line
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["interval_intersect", "restrict_to_targets", "mark_duplicates", "recal_table", "clean_clip", "sam_scan"],
+)
+def test_result_without_small_sides(spark, duck, name):
+    """What is broadcast only for its size gives the same by shuffled joins."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES[name](spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        got = table(df.columns, df.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    cursor = duck.execute(ORACLE[name])
+    assert got == table([d[0] for d in cursor.description], cursor.fetchall())
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["ref_idx", "s", "e", "n"] and df.count() > 0
