@@ -128,7 +128,7 @@ def quality_encoding(spark, sf):
 
 @query
 def quality_fix(spark, sf):
-    fixed = quality.rebase_region(T.with_quals(spark, sf), ["pos", *IDS], region="ref_idx")
+    fixed = quality.rebase_region(T.with_quals(spark, sf), IDS, region="ref_idx")
     total = F.aggregate("quals", F.lit(0), lambda acc, q: acc + q)
     return fixed.groupBy("ref_idx", "shift").agg(F.sum(total).alias("tot"))
 

@@ -66,7 +66,7 @@ def call_variants(
     )
     contig_region = stage(regions.balance_regions(regions.count_contigs(placed), k), "regions")
     by_region = regions.assign_regions(placed, contig_region)
-    rebased = quality.rebase_region(by_region, ["ref_idx", "pos", READ_ID])
+    rebased = quality.rebase_region(by_region, [READ_ID])
     cleaned = R.with_end(R.clean(rebased, contigs))
     scored = cleaned.withColumn(
         "score", F.coalesce(F.aggregate("quals", F.lit(0), lambda acc, q: acc + q), F.lit(0))

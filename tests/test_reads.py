@@ -175,15 +175,15 @@ def test_one_read_kept_per_key(spark):
 def test_first_read_decides_for_its_region(frame):
     df = frame(
         [
-            (1, 10, 1, [61, 40]),
-            (1, 20, 2, [40, 30]),  # negative once shifted
-            (2, 10, 3, [60, 2]),
-            (2, 20, 4, [69, 40]),  # looks like Illumina, but is not first
-            (3, 10, 5, []),
+            (1, 4, 10, 1, [61, 40]),
+            (1, 5, 2, 2, [40, 30]),  # negative once shifted; a later contig
+            (2, 6, 10, 3, [60, 2]),
+            (2, 6, 10, 4, [69, 40]),  # looks like Illumina, but its id comes later
+            (3, 7, 10, 5, []),
         ],
-        "region int, pos int, id int, quals array<int>",
+        "region int, ref_idx int, pos int, id int, quals array<int>",
     )
-    got = {r.id: (r.shift, r.quals, r.quality_error) for r in quality.rebase_region(df, ["pos", "id"]).collect()}
+    got = {r.id: (r.shift, r.quals, r.quality_error) for r in quality.rebase_region(df, ["id"]).collect()}
     assert got == {
         1: (True, [30, 9], None),
         2: (True, [9, -1], "Error converting Phred 64 to Phred 33 quality : -1"),
@@ -192,4 +192,4 @@ def test_first_read_decides_for_its_region(frame):
         5: (False, [], None),
     }
     with pytest.raises(Exception, match="Phred 33 quality : -1"):
-        quality.rebase_region(df, ["pos", "id"], strict=True).collect()
+        quality.rebase_region(df, ["id"], strict=True).collect()
