@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of our own only where none is set."""
+    """``spark.checkpoint.dir`` of the session; a folder of our own only where none is set.
+
+    Executors on other machines do not see a temporary folder of this one, so a
+    cluster has to name a shared one.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="readloom-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

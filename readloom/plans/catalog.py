@@ -305,7 +305,7 @@ def fastq_scan(spark, sf):
     seq = "translate(lpad(conv(cast(l_partkey as string), 10, 4), 20, '0'), '0123', 'ACGT')"
     record = "concat('@', id, '/{0}\\n', {1}, '\\n+\\n', repeat('@', length({1})))"
     pairs = (
-        T.table(spark, sf, "lineitem")
+        spread(T.table(spark, sf, "lineitem").select(*IDS))
         .selectExpr("concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) as id", f"{seq} as seq")
         .selectExpr(f"concat({record.format(1, 'seq')}, '\\n', {record.format(2, 'reverse(seq)')}) as line")
     )
@@ -336,7 +336,7 @@ def vcf_scan(spark, sf):
 def fasta_scan(spark, sf):
     # Documents as contigs: their small letters, in lines of 60.
     letters = "regexp_replace(text, '[^a-z]', '')"
-    lines = T.table(spark, sf, "documents").selectExpr(
+    lines = spread(T.table(spark, sf, "documents").select("doc_id", "lang", "text")).selectExpr(
         f"concat('>d', doc_id, ' ', lang, '\\n', array_join(regexp_extract_all({letters}, '(.{{1,60}})', 1), '\\n')) as line"
     )
     return sources.read_fasta(spark, _written(lines, "fasta"), width=256, overlap=16)

@@ -7,17 +7,18 @@ string, so the four lines of a record are counted off from the top of a file.
 from __future__ import annotations
 
 import gzip
-import io
+import sys
 from collections.abc import Iterator
-from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "chunk string, pair_id bigint, mate int, name string, seq string, qual string"
-_BATCH = 10_000
+_BLOCK = 1 << 21
 
 
 class _File(InputPartition):
@@ -46,35 +47,48 @@ class _FastqReader(DataSourceReader):
 
     def read(self, partition: _File | None) -> Iterator[pa.RecordBatch]:
         # Without partitions (an empty or missing folder) Spark still starts one task.
-        if partition is None or not isinstance(partition, _File):
+        if not hasattr(partition, "path"):
             return
         system, path = _open(partition.path)
         chunk = path.rsplit("/", 1)[-1].split(".")[0]
         with system.open_input_stream(path, compression=None) as raw:
-            stream = gzip.open(raw) if path.endswith(".gz") else raw
-            lines = (line.rstrip("\r\n") for line in io.TextIOWrapper(stream, encoding="ascii", errors="replace"))
             record = 0
-            while batch := list(islice(lines, 4 * _BATCH)):
-                whole = len(batch) // 4 * 4
-                if any(batch[whole:]):
-                    raise ValueError(f"{partition.path}: last record is cut off")
-                names, seqs, quals = batch[0:whole:4], batch[1:whole:4], batch[3:whole:4]
-                if not all(n.startswith("@") for n in names):
-                    raise ValueError(f"{partition.path}: record name without @ near record {record}")
-                n = whole // 4
-                ids = range(record, record + n)
+            for lines in _line_groups(gzip.open(raw) if path.endswith(".gz") else raw):
+                names, seqs, quals = lines[0::4], lines[1::4], lines[3::4]
+                if len(lines) % 4 or not all(n.startswith(b"@") for n in names):
+                    raise ValueError(f"{partition.path}: not whole records of four lines from record {record} on")
+                ids = np.arange(record, record + len(names))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([chunk] * n, pa.string()),
-                        pa.array([i // 2 for i in ids], pa.int64()),
-                        pa.array([i % 2 + 1 for i in ids], pa.int32()),
-                        pa.array([name[1:] for name in names], pa.string()),
-                        pa.array(seqs, pa.string()),
-                        pa.array(quals, pa.string()),
+                        pa.repeat(chunk, len(names)),
+                        pa.array(ids // 2, pa.int64()),
+                        pa.array(ids % 2 + 1, pa.int32()),
+                        *(pa.array(c, pa.binary()).cast(pa.string()) for c in ([n[1:] for n in names], seqs, quals)),
                     ],
                     names=["chunk", "pair_id", "mate", "name", "seq", "qual"],
                 )
-                record += n
+                record += len(names)
+
+
+def _line_groups(stream) -> Iterator[list[bytes]]:
+    """Lines of a byte stream, in groups of whole records but for a broken end."""
+    rest: list[bytes] = [b""]
+    while block := stream.read(_BLOCK):
+        lines = (rest.pop() + block).split(b"\n")
+        rest += lines
+        # The last line may go on in the next block.
+        whole = (len(rest) - 1) // 4 * 4
+        if whole:
+            yield _stripped(rest[:whole])
+            rest = rest[whole:]
+    while rest and not rest[-1].strip():
+        rest.pop()
+    if rest:
+        yield _stripped(rest)
+
+
+def _stripped(lines: list[bytes]) -> list[bytes]:
+    return [line.rstrip(b"\r") for line in lines] if lines[0].endswith(b"\r") else lines
 
 
 class FastqSource(DataSource):
@@ -94,5 +108,7 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
 
     ``pair_id`` counts from 0 in each ``chunk``, the file name up to its first dot.
     """
+    # Executors need not have this package: the source travels with the query.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FastqSource)
     return spark.read.format("fastq").load(path)

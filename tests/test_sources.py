@@ -1,10 +1,16 @@
 import gzip
+import io
+import os
+import subprocess
+import sys
 
 import pytest
 from conftest import rows
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from readloom import sources
+from readloom.sources import fastq
 
 
 def test_dictionary(spark, tmp_path):
@@ -71,6 +77,27 @@ def test_fastq(spark, tmp_path):
     assert sources.read_fastq(spark, str(folder / "chunk1.fq")).count() == 1
 
 
+def test_fastq_source_travels_without_the_package(spark, tmp_path):
+    sources.read_fastq(spark, str(tmp_path))  # marks the module
+    (tmp_path / "source").write_bytes(cloudpickle.dumps(fastq.FastqSource))
+    code = "import pickle, sys; print(pickle.load(open(sys.argv[1], 'rb')).name())"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code, str(tmp_path / "source")], cwd="/", env=env, capture_output=True, text=True, timeout=120
+    )
+    assert done.stdout.strip() == "fastq", done.stderr
+
+
+@pytest.mark.parametrize("block", [1, 7, 1 << 20])
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_fastq_blocks(block, ending, monkeypatch):
+    monkeypatch.setattr(fastq, "_BLOCK", block)
+    lines = [x for i in range(9) for x in (f"@r{i}", "ACGT"[: i % 5], "+", "@II+"[: i % 5])]
+    text = ending.join(lines) + ending * 2
+    groups = list(fastq._line_groups(io.BytesIO(text.encode())))
+    assert [x.decode() for g in groups for x in g] == lines and all(len(g) % 4 == 0 for g in groups)
+
+
 @pytest.mark.parametrize("text", ["@a\nAC\n+\nII\n@b\nA\n", "@a\nAC\n+\nII\nb\nA\n+\nI\n"])
 def test_broken_fastq_fails(spark, tmp_path, text):
     (tmp_path / "c.fq").write_text(text)
