@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """A scan that comes in fewer splits than there are cores, dealt out to all of them.
+    """A scan with less to read than there are cores, dealt out to all of them.
 
-    For steps that turn a row into many. An input large enough to have a split
-    per core, as any on a cluster, is left where it is. Only for plain scans: the
-    number of partitions of a plan with shuffles is not known before it runs.
+    For steps that turn a row into many. An input of many splits per core, as
+    any on a cluster, is left where it is. In between it counts the files: splits
+    of one file hold no rows where the file has fewer row groups than splits.
+    Only for plain scans: the number of partitions of a plan with shuffles is
+    not known before it runs.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    splits = scan.rdd.getNumPartitions()
+    few = splits < cores or (splits < 8 * cores and 0 < len(scan.inputFiles()) < cores)
+    return scan.repartition(cores) if few else scan
