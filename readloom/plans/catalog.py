@@ -296,7 +296,14 @@ def sam_scan(spark, sf):
     )
     found = sources.read_sam(spark, _written(lines, "sam"), T.contigs(spark, sf))
     return found.select(
-        "qname", "flag", "ref_idx", "pos", "mapq", "cigar", F.get("tags", F.lit(0)).alias("tag"), "_corrupt"
+        "qname",
+        "flag",
+        "ref_idx",
+        "pos",
+        "mapq",
+        "cigar",
+        F.get("tags", F.lit(0)).alias("tag"),
+        F.col("_corrupt").isNull().alias("whole"),
     )
 
 

@@ -169,7 +169,7 @@ from (select *, row_number() over(partition by item_id order by votes desc, doc_
     "sam_scan": """
 select concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) as qname,
  cast((case when reads.ref_idx < 0 then 4 else 0 end) + (case when neg then 16 else 0 end) as int) as flag,
- coalesce(contigs.ref_idx, -1) as ref_idx, pos, mapq, cigar, concat('RG:Z:', chunk) as tag, cast(null as varchar) as _corrupt
+ coalesce(contigs.ref_idx, -1) as ref_idx, pos, mapq, cigar, concat('RG:Z:', chunk) as tag, true as whole
 from reads left join contigs on contigs.ref_idx = reads.ref_idx""",
     "fastq_scan": """
 select concat(id, '/', mate) as name, cast(mate as int) as mate, case mate when 1 then seq else reverse(seq) end as seq, repeat('@', 20) as qual
