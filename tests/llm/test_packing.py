@@ -1,0 +1,75 @@
+from collections import Counter, defaultdict
+
+import pandas as pd
+import pytest
+
+from readloom.llm import packing
+from readloom.llm.queries import op1_best_fit_packing
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute(rows, capacity, per_source):
+    """Best fit by trying every bin, in the documented order."""
+    copies = Counter(c for *_, c in rows)
+    bins, placed = [], {}
+    for doc, n, _, _ in sorted(rows, key=lambda r: (r[0], r[3], r[1])):
+        bins += [dict(room=0, sources=[], clusters=set()) for _ in range(n // capacity)]
+    ordered = sorted((r for r in rows if r[1] % capacity), key=lambda r: (-(r[1] % capacity), r[3], str(r[2]), r[0]))
+    for doc, n, source, cluster in ordered:
+        size = n % capacity
+        fits = [
+            (b["room"], i)
+            for i, b in enumerate(bins)
+            if b["room"] >= size
+            and not (copies[cluster] > 1 and cluster in b["clusters"])
+            and (source is None or b["sources"].count(source) < per_source)
+        ]
+        if fits:
+            at = min(fits)[1]
+        else:
+            at = len(bins)
+            bins.append(dict(room=capacity, sources=[], clusters=set()))
+        placed[doc] = (at, capacity - bins[at]["room"])
+        bins[at]["room"] -= size
+        bins[at]["sources"].append(source)
+        bins[at]["clusters"].add(cluster)
+    return placed
+
+
+@pytest.mark.parametrize("per_source", [1, 2, 3])
+def test_shard_is_brute_force(per_source):
+    import random
+
+    rng = random.Random(per_source)
+    rows = [(i, rng.choice([3, 7, 40, 99, 100, 101, 250, rng.randrange(1, 300)]), rng.choice([None, "a", "a", "b", "c"]), rng.choice([1, 1, 1000 + i])) for i in range(400)]
+    rows = [(i, 60 if c == 1 and i % 2 else n, s, c) for i, n, s, c in rows]
+    got = packing.pack_shard(pd.DataFrame(rows, columns=["doc_id", "n_words", "source", "cluster"]), 100, per_source)
+    wanted = brute(rows, 100, per_source)
+    mine = {r.doc_id: (r.bin, r.offset) for r in got.itertuples() if r.n_words < 100}
+    assert mine == wanted
+
+
+def test_query_holds_its_promises(spark):
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = op1_best_fit_packing(spark, SF).collect()
+    words, bins = Counter(), defaultdict(list)
+    for r in rows:
+        words[r["doc_id"]] += r["n_words"]
+        bins[r["shard"], r["bin"]].append(r)
+    assert words == Counter({d: len(r["text"].encode().split()) for d, r in docs.items()})
+    for inside in bins.values():
+        inside.sort(key=lambda r: r["offset"])
+        assert inside[-1]["offset"] + inside[-1]["n_words"] <= packing.CAPACITY
+        assert all(a["offset"] + a["n_words"] == b["offset"] for a, b in zip(inside, inside[1:], strict=False))
+        texts = [b" ".join(docs[r["doc_id"]]["text"].encode().lower().split()) for r in inside]
+        assert len(set(texts)) == len(texts)
+        assert max(Counter(docs[r["doc_id"]]["source"] for r in inside).values()) <= packing.PER_SOURCE
+
+
+def test_odd_rows(odd_documents, no_documents):
+    rows = packing.pack(odd_documents).collect()
+    assert {r["doc_id"] for r in rows if r["bin"] is None} == {1, 2, 3, None}
+    assert sum(r["n_words"] for r in rows if r["doc_id"] == 8) == 36_000
+    assert len([r for r in rows if r["doc_id"] == 6]) == 2
+    assert packing.pack(no_documents).count() == 0
