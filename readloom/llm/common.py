@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,14 +22,46 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def in_slices(batches: Iterator[pd.DataFrame], column: str, size: int = 4 << 20) -> Iterator[pd.DataFrame]:
-    """Batches cut so that a slice holds about ``size`` characters of ``column``, and one row at least."""
-    for batch in batches:
-        if len(batch):
-            ends = batch[column].str.len().fillna(0).cumsum().to_numpy()
-            part = (ends // size).astype(np.int64)
-            for at in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(part)) + 1):
-                yield batch.iloc[at]
+ARROW = {"string": pa.string(), "binary": pa.binary(), "double": pa.float64(), "long": pa.int64(), "boolean": pa.bool_()}
+
+
+def map_texts(
+    docs: DataFrame,
+    keep: Sequence[str],
+    start: Callable[[], Callable[[list[str | None]], list[Iterable]]],
+    columns: dict[str, str],
+    size: int = 4 << 20,
+) -> DataFrame:
+    """The ``keep`` columns as they are and new ``columns`` (name to type) made from whole texts in tasks.
+
+    A task calls ``start`` once, and what that returns with the texts of one slice
+    after another; a slice holds about ``size`` bytes of text, and one row at least.
+    Kept columns never leave Arrow, so nulls and long ids survive; they have other
+    names meanwhile, so none can clash.
+    """
+    kept = [f"kept_{i}" for i in range(len(keep))]
+    rows = docs.select(
+        *[F.col(c).alias(n) for c, n in zip(keep, kept, strict=True)], F.col("text").cast("string").alias("text")
+    )
+    added = [f"new_{i}" for i in range(len(columns))]
+    types = [ARROW[t] for t in columns.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = start()
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            part = np.cumsum(lengths, dtype=np.int64) // size
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            for i, j in zip(cuts, cuts[1:], strict=False):
+                if j > i:
+                    piece = batch.slice(i, j - i)
+                    made = make(piece.column("text").to_pylist())
+                    new = [pa.array(x, t) for x, t in zip(made, types, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*(piece.column(n) for n in kept), *new], names=[*kept, *added])
+
+    schema = [f"{n} {rows.schema[n].dataType.simpleString()}" for n in kept]
+    schema += [f"{n} {t}" for n, t in zip(added, columns.values(), strict=True)]
+    return rows.mapInArrow(run, ", ".join(schema)).toDF(*keep, *columns)
 
 
 def matches(text: Column, pattern: str) -> Column:

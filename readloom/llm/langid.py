@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import in_slices
+from readloom.llm.common import map_texts
 
 UNDETERMINED = "und"
 #: Subwords of 2, 3 and 4 bytes, each size hashed to as many rows.
@@ -138,21 +136,17 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFr
     fixed size (``BUCKETS`` rows per subword size), which bounds what tasks receive.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [f"kept_{i}" for i in range(len(keep))]
-    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.col("text").cast("string"))
-    types = [f"{n} {rows.schema[n].dataType.simpleString()}" for n in names]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         model = shared.value
-        for part in in_slices(batches, "text"):
-            out = part[names].copy()
-            found = [model.predict(t) for t in part["text"]]
-            out["lang_pred"], out["score"] = [f[0] for f in found], [f[1] for f in found]
-            out["rejected"] = (out["lang_pred"] == UNDETERMINED) | (out["score"] < model.reject_below)
-            yield out
-
-    found = rows.mapInPandas(run, ", ".join([*types, "lang_pred string, score double, rejected boolean"]))
-    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], "lang_pred", "score", "rejected")
+
+        def run(texts):
+            langs, scores = zip(*map(model.predict, texts), strict=True)
+            return [langs, scores, [x == UNDETERMINED or s < model.reject_below for x, s in zip(langs, scores, strict=True)]]
+
+        return run
+
+    return map_texts(docs, keep, start, {"lang_pred": "string", "score": "double", "rejected": "boolean"})
 
 
 def remainder(parts: int) -> Column:

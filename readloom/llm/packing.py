@@ -5,8 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections import Counter
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +28,7 @@ class Bins:
         self.clusters: list[int] = []
         self.sources: list[list[int]] = []
 
-    def new(self, residual: int) -> int:
+    def new(self) -> int:
         self.clusters.append(0)
         self.sources.append([0] * self.per_source)
         return len(self.clusters) - 1
@@ -46,7 +45,7 @@ class Bins:
         if k < len(self.open):
             found = self.open.pop(k)
         else:
-            found = (self.capacity, self.new(self.capacity))
+            found = (self.capacity, self.new())
         residual, at = found
         self.clusters[at] |= cluster
         for i, seen in enumerate(self.sources[at]):
@@ -58,26 +57,26 @@ class Bins:
         return at, self.capacity - residual, found
 
 
-def pack_shard(group: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFrame:
-    """Best fit, longest remainders first; full windows of long documents take bins of their own."""
-    group = group.sort_values(["doc_id", "cluster", "n_words"], na_position="last", kind="stable")
+def pack_shard(docs: list[tuple], capacity: int, per_source: int) -> list[tuple]:
+    """``(doc_id, piece, first_word, n_words, bin, offset)`` for ``(doc_id, n_words, source, cluster)``.
+
+    Best fit, longest remainders first; full windows of long documents take bins of their own.
+    """
     bins = Bins(capacity, per_source)
     rows: list[tuple] = []
     rest: list[tuple] = []
-    copies = Counter(group["cluster"].tolist())
+    copies = Counter(cluster for *_, cluster in docs)
     source_bit: dict = {}
     cluster_bit: dict = {}
-    for doc, n, source, cluster in zip(
-        group["doc_id"].tolist(), group["n_words"].tolist(), group["source"].tolist(), group["cluster"].tolist(), strict=True
-    ):
+    for doc, n, source, cluster in sorted(docs, key=lambda d: (d[0] is None, d[0] or 0, d[3], d[1], str(d[2]))):
         full = n // capacity
         for piece in range(full):
-            rows.append((doc, piece, piece * capacity, capacity, bins.new(0), 0))
+            rows.append((doc, piece, piece * capacity, capacity, bins.new(), 0))
         if n % capacity:
             s = 0 if source is None else 1 << source_bit.setdefault(source, len(source_bit))
             c = 0 if copies[cluster] < 2 else 1 << cluster_bit.setdefault(cluster, len(cluster_bit))
             rest.append((-(n % capacity), cluster, str(source), len(rest), doc, full, s, c))
-    rest.sort(key=lambda r: r[:4])
+    rest.sort()
     last, after = None, (0, -1)
     for minus, cluster, source, _, doc, piece, s, c in rest:
         # The next copy of the same text and source fits nowhere before the bin that took the last one.
@@ -85,9 +84,7 @@ def pack_shard(group: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFr
         last = (minus, cluster, source)
         at, offset, after = bins.place(-minus, s, c, after)
         rows.append((doc, piece, piece * capacity, -minus, at, offset))
-    out = pd.DataFrame(rows, columns=["doc_id", "piece", "first_word", "n_words", "bin", "offset"])
-    out["doc_id"] = out["doc_id"].astype("Int64")
-    return out
+    return rows
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard: int = SHARD) -> DataFrame:
@@ -114,13 +111,16 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     parts = max(1, -(-docs.count() // shard))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "source", "cluster"), F.lit(parts)).cast("int"))
 
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        out = pack_shard(group, capacity, per_source)
-        out.insert(0, "shard", np.int32(key[0]))
-        return out
+    types = {"doc_id": pa.int64(), **dict.fromkeys(("piece", "first_word", "n_words", "bin", "offset", "shard"), pa.int32())}
+
+    def run(group: pa.Table) -> pa.Table:
+        docs = list(zip(*[group.column(c).to_pylist() for c in ("doc_id", "n_words", "source", "cluster")], strict=True))
+        shard = group.column("shard")[0].as_py()
+        rows = [(*r, shard) for r in pack_shard(docs, capacity, per_source)]
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types.values(), strict=True)], names=list(types))
 
-    columns = "shard int, doc_id long, piece int, first_word int, n_words int, bin int, offset int"
-    packed = dealt.where("n_words > 0").groupBy("shard").applyInPandas(run, columns)
+    columns = "doc_id long, piece int, first_word int, n_words int, bin int, offset int, shard int"
+    packed = dealt.where("n_words > 0").groupBy("shard").applyInArrow(run, columns)
     blank = dealt.where("n_words = 0").selectExpr(
         "doc_id", "0 as piece", "0 as first_word", "0 as n_words", "cast(null as int) as shard", "cast(null as int) as bin", "cast(null as int) as offset"
     )

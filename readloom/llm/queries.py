@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import langid, packing, pii, simhash
+from readloom.llm import bpe, chat, langid, packing, pii, secrets, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "pii")
     count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long")
@@ -30,6 +34,19 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    of = lambda name, value: F.filter("secrets", lambda s: s[name] == value)
+    spans = pii.digest(F.col("secrets"), secrets.KINDS)
+    return found.select(
+        "doc_id",
+        *[F.size(of("kind", kind)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(spans, 256).alias("base_sha256"),
+        spans.alias("spans"),
+        *[F.size(of("verdict", v)).cast("long").alias(f"n_{v}") for v in ("live", "shared", "example")],
+    )
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = langid.predict(docs, langid.fit_on_fold(docs), ("doc_id",))
@@ -37,12 +54,33 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    found = bpe.encode(documents(spark, sf_dir), vocabulary, decoded=True)
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op5_pii, op7_language_id, op10_simhash)
+    f.__name__: f for f in (
+        op1_best_fit_packing,
+        op4_quotation_linking,
+        op5_pii,
+        op6_secrets,
+        op7_language_id,
+        op8_byte_bpe,
+        op10_simhash,
+    )
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import components, in_slices, spanning, words_of
+from readloom.llm.common import components, map_texts, spanning, words_of
 from readloom.operators.staging import stage
 
 SEED = 42
@@ -47,18 +47,11 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def with_fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), shingle: int = 3) -> DataFrame:
     """The ``keep`` columns of every row and ``fp``, the 64 bits as a long."""
-    names = [f"kept_{i}" for i in range(len(keep))]
-    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.col("text").cast("string"))
-    types = [f"{n} {rows.schema[n].dataType.simpleString()}" for n in names]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in in_slices(batches, "text"):
-            out = part[names].copy()
-            out["fp"] = np.array([fingerprint(t, shingle) for t in part["text"]], np.uint64).view(np.int64)
-            yield out
+    def start():
+        return lambda texts: [np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)]
 
-    found = rows.mapInPandas(run, ", ".join([*types, "fp long"]))
-    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], "fp")
+    return map_texts(docs, keep, start, {"fp": "long"})
 
 
 def golay_errors() -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +214,7 @@ def deduplicated(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFr
     found = stage(groups(prints, max_bits), "groups")
     kept = found.select(F.col("component_id").alias("kept_id")).distinct()
     rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    marked = with_fingerprints(rows, tuple(rows.columns), shingle)
+    marked = with_fingerprints(rows, tuple(docs.columns), shingle)
     names = found.select(F.col("fp").alias("_fp"), F.col("group_fp").alias("_group"), F.col("component_id").alias("_first"))
     marked = marked.toDF(*docs.columns, "_own_fp")
     one = marked.join(names, F.col("_own_fp") == F.col("_fp")).where(F.col("doc_id").eqNullSafe(F.col("_first")))

@@ -1,0 +1,91 @@
+import re
+
+import pytest
+
+from readloom.llm import chat
+from readloom.llm.queries import op4_quotation_linking
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "conv_id long, turn long, role string, text string, key string, hash string, level string"
+
+
+def brute(rows):
+    """The documented result, message by message."""
+    norm = lambda t: " ".join(t.lower().split())
+    parsed = []
+    for conv, turn, role, text in rows:
+        runs = []
+        for line in re.split(r"\r\n|\r|\n", text or ""):
+            mark = re.match(r"(?:[ \t]*>)*", line)[0]
+            level = mark.count(">")
+            body = line[len(mark) :].lstrip(" ") if level else line
+            if not runs or runs[-1][0] != level:
+                runs.append((level, []))
+            runs[-1][1].append(body)
+        own = [r for r in runs if r[0] == 0]
+        said = {norm(" ".join(r[1])) for r in own} | {norm(x) for r in own for x in r[1]}
+        parsed.append((conv, turn, role, "\n".join(x for r in own for x in r[1]).strip(" "), said - {""}, [r for r in runs if r[0]]))
+    parents = {}
+    for conv, turn, _, _, _, quotes in parsed:
+        for level, lines in quotes:
+            for part, passage in [(0, norm(" ".join(lines))), *((1, norm(x)) for x in lines)]:
+                origins = [t for c, t, _, _, said, _ in parsed if c == conv and c is not None and passage and passage in said and t is not None]
+                if origins and turn is not None and min(origins) < turn:
+                    link = (-level, -part, min(origins))
+                    parents[conv, turn] = max(parents.get((conv, turn), link), link)
+    out = []
+    for conv, turn, role, text, _, quotes in parsed:
+        thread, depth = turn, 0
+        while (conv, thread) in parents:
+            thread, depth = parents[conv, thread][2], depth + 1
+        parent = parents.get((conv, turn), (0, 0, None))[2]
+        out.append((conv, turn, role, text, len(quotes), max([0, *(q[0] for q in quotes)]), parent, thread, depth))
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.drop("chat").collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def threads():
+    rows = [
+        (1, 0, "user", "How do I  boil an egg?\nAnd how long?"),
+        (1, 1, "assistant", "> how do i boil an EGG?\nIn water.\n> And how long?\nSeven minutes."),
+        (1, 2, "user", "> > And how long?\n> Seven minutes.\nToo long!"),
+        (1, 3, "user", ">> In water.\n> unknown\n\nThanks"),
+        (1, 4, "assistant", ">Too long!\nThen six."),
+        (1, 5, "user", "In water."),
+        (1, 6, "user", "\t> In water.\r\nyes"),
+        (2, 0, "user", "> quotes the future"),
+        (2, 1, "user", "quotes the future"),
+        (2, 2, "user", "> > > deep\n>\n> \nx"),
+        (3, None, "user", "> x"),
+        (None, 1, "user", "> quotes the future"),
+        (None, None, None, None),
+        (4, 0, "user", ""),
+        (4, 1, "user", "> "),
+        (5, 0, "user", "line\n" * 300),
+        (5, 1, "user", "> line\nmore\n" * 300),
+        (5, 1, "user", "> line\nmore\n" * 300),
+    ]
+    rows += [(6, i, "user", f"{'> message ' + str(i - 1) if i else ''}\nmessage {i}") for i in range(40)]
+    return rows
+
+
+def test_links_are_brute_force(frame, threads):
+    got = chat.link(frame([(*r, "k", "h", "l") for r in threads], SCHEMA))
+    assert result(got) == brute(threads)
+    known = {(r["conv_id"], r["turn"]): r for r in got.collect()}
+    assert known[1, 4]["parent_turn"] == 2 and known[1, 4]["thread_turn"] == 0
+    assert known[6, 39]["depth"] == 39
+    assert known[1, 1]["chat"] == "<|assistant|>\nIn water.\nSeven minutes."
+
+
+def test_query_is_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert result(op4_quotation_linking(spark, SF)) == brute(rows)
+
+
+def test_empty(frame):
+    assert chat.link(frame([], SCHEMA)).count() == 0

@@ -1,6 +1,5 @@
 from collections import Counter, defaultdict
 
-import pandas as pd
 import pytest
 
 from readloom.llm import packing
@@ -44,9 +43,9 @@ def test_shard_is_brute_force(per_source):
     rng = random.Random(per_source)
     rows = [(i, rng.choice([3, 7, 40, 99, 100, 101, 250, rng.randrange(1, 300)]), rng.choice([None, "a", "a", "b", "c"]), rng.choice([1, 1, 1000 + i])) for i in range(400)]
     rows = [(i, 60 if c == 1 and i % 2 else n, s, c) for i, n, s, c in rows]
-    got = packing.pack_shard(pd.DataFrame(rows, columns=["doc_id", "n_words", "source", "cluster"]), 100, per_source)
+    got = packing.pack_shard(rows, 100, per_source)
     wanted = brute(rows, 100, per_source)
-    mine = {r.doc_id: (r.bin, r.offset) for r in got.itertuples() if r.n_words < 100}
+    mine = {doc: (at, offset) for doc, _, _, n, at, offset in got if n < 100}
     assert mine == wanted
 
 
