@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import bpe, chat, langid, packing, pii, secrets, simhash
+from readloom.llm import bpe, chat, ctw, langid, mih, packing, pii, secrets, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,15 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = ctw.score(docs, langid.remainder(7) != 2)
+    held_out = F.coalesce(langid.remainder(7) == 2, F.lit(False)).alias("held_out")
+    return found.select(
+        "doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
 def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -67,6 +76,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return mih.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -75,11 +89,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing,
+        op3_context_tree,
         op4_quotation_linking,
         op5_pii,
         op6_secrets,
         op7_language_id,
         op8_byte_bpe,
+        op9_multi_index,
         op10_simhash,
     )
 }

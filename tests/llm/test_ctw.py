@@ -1,0 +1,104 @@
+import math
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from readloom.llm import ctw
+from readloom.llm.queries import op3_context_tree
+
+SF = "/root/testdata/sf0.01"
+
+
+def crc7(doc_id):
+    import zlib
+
+    return zlib.crc32(str(doc_id).encode()) % 7
+
+
+def kt(a, b):
+    return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+
+def brute_scores(texts, learn, depth):
+    """Context-tree weighting by recursion over a dictionary of counts."""
+    counts = defaultdict(lambda: [0, 0])
+    children = defaultdict(set)
+
+    def path(text, i):
+        padded = b"\n" * depth + text
+        before, symbol = padded[i : i + depth], padded[i + depth]
+        for k in range(8):
+            node, bit = (1 << k) | (symbol >> (8 - k)), symbol >> (7 - k) & 1
+            yield [(before[depth - d :], node) for d in range(depth + 1)], bit
+
+    for text, use in zip(texts, learn, strict=True):
+        for i in range(len(text) if use else 0):
+            for nodes, bit in path(text, i):
+                for d, key in enumerate(nodes):
+                    counts[key][bit] += 1
+                    if d:
+                        children[nodes[d - 1]].add(key)
+    memo = {}
+
+    def below(key):
+        return sum(weighted(c) for c in children[key])
+
+    def weighted(key):
+        if key not in memo:
+            own = kt(*counts[key])
+            memo[key] = own if len(key[0]) == depth else math.log(math.exp(own - max(own, below(key))) + math.exp(below(key) - max(own, below(key)))) + max(own, below(key)) - math.log(2)
+        return memo[key]
+
+    out = []
+    for text in texts:
+        total = 0.0
+        for i in range(len(text)):
+            for nodes, bit in path(text, i):
+                p = None
+                for key in reversed(nodes):
+                    if key in counts:
+                        n = counts[key]
+                        own = (n[bit] + 0.5) / (sum(n) + 1)
+                        w = 1 / (1 + math.exp(min(700, below(key) - kt(*n))))
+                        p = own if p is None else w * own + (1 - w) * p
+                total += math.log10(0.5 if p is None else p)
+        out.append(total)
+    return out
+
+
+def test_tree_is_brute_force(frame):
+    texts = ["the cat sat", "The  cat\tsat on the mat", "a mat", None, "", "the the the", "zebra QUILT", "é"]
+    learn = [i in (0, 1, 3, 5) for i in range(len(texts))]
+    df = frame(list(zip(range(len(texts)), texts, learn, strict=True)), "doc_id long, text string, use boolean")
+    got = {r["doc_id"]: r for r in ctw.score(df, F.col("use"), block=20).collect()}
+    read = [ctw.body(t)[1] for t in texts]
+    for i, wanted in enumerate(brute_scores(read, learn, ctw.DEPTH)):
+        assert got[i]["score"] == pytest.approx(wanted, abs=1e-9)
+        assert got[i]["bits_per_byte"] == pytest.approx(-wanted * math.log2(10) / len(read[i]))
+
+
+def test_query_and_base(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    tokens = {d: [*t.encode().lower().split(), b"\n"] for d, t in docs.items()}
+    counts = Counter(w for d, ws in tokens.items() if crc7(d) != 2 for w in ws)
+    total = sum(counts.values())
+    rows = op3_context_tree(spark, SF).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        ws = tokens[r["doc_id"]]
+        assert r["held_out"] == (crc7(r["doc_id"]) == 2) and r["train_tokens"] == total
+        assert r["n_tokens"] == len(ws) and r["n_known"] == sum(counts[w] > 0 for w in ws)
+        assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in ws), rel=1e-9)
+        assert r["score"] < 0
+    assert sum(r["bits_per_byte"] for r in rows) / len(rows) < 3
+
+
+def test_odd_rows(odd_documents, no_documents):
+    got = ctw.score(odd_documents, F.col("doc_id") > 3)
+    assert got.count() == odd_documents.count()
+    assert all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in got.collect())
+    assert {r["n_tokens"] for r in got.where("doc_id <= 3").collect()} == {1}
+    assert ctw.score(no_documents, F.lit(True)).count() == 0
+    nothing = ctw.score(odd_documents, F.lit(False)).where("doc_id = 4").first()
+    assert nothing["n_known"] == 0 and nothing["score"] == pytest.approx(4 * 8 * math.log10(0.5))
