@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import bpe, chat, ctw, langid, mih, packing, pii, secrets, simhash
+from readloom.llm import bpe, chat, ctw, hnsw, langid, mih, packing, pii, secrets, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op2_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hnsw.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = ctw.score(docs, langid.remainder(7) != 2)
@@ -89,6 +94,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing,
+        op2_small_world,
         op3_context_tree,
         op4_quotation_linking,
         op5_pii,
