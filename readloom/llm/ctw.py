@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.common import words_of
-from readloom.operators.staging import stage
+from readloom.operators.staging import stage, staging_path
 
 #: Bytes of context of the deepest nodes.
 DEPTH = 5
@@ -165,42 +164,43 @@ def block_statistics(docs: pa.Table) -> pa.Table:
         words[END] += use
     words.update(dict.fromkeys(unused, 0))
     for i, j in steps(texts):
-        codes = codes_of(texts[i:j])
+        # The lowest bit tells training texts, so one sort counts both.
         used = np.repeat(learn[i:j], [len(t) for t in texts[i:j]])
-        grams, n = np.unique(codes, return_counts=True)
-        trained, m = np.unique(codes[used], return_counts=True)
-        n[:] = 0
-        n[np.searchsorted(grams, trained)] = m
-        counts.append((grams, n))
-    grams, at = np.unique(np.concatenate([g for g, _ in counts]), return_inverse=True)
-    n = np.bincount(at, np.concatenate([m for _, m in counts]), len(grams)).astype(np.int64)
+        grams, n = np.unique(codes_of(texts[i:j]) << 1 | used, return_counts=True)
+        counts.append((grams >> 1, n * (grams & 1)))
+    every, n = np.concatenate([g for g, _ in counts]), np.concatenate([m for _, m in counts])
+    order = np.argsort(every, kind="stable")
+    every, n = every[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+    grams, n = every[first], np.add.reduceat(n, first)
     gram = pa.chunked_array([pa.array(grams), pa.nulls(len(words), pa.int64())])
     word = pa.chunked_array([pa.nulls(len(grams), pa.binary()), pa.array(list(words), pa.binary())])
     total = pa.chunked_array([pa.array(n), pa.array(list(words.values()), pa.int64())])
     block = pa.array(np.full(len(total), docs.column("block")[0].as_py()), pa.int32())
-    return pa.table({"block": block, "gram": gram, "word": word, "n": total})
+    kind = pa.array(["gram"] * len(grams) + ["word"] * len(words))
+    return pa.table({"block": block, "gram": gram, "word": word, "n": total, "kind": kind})
 
 
 def score_block(train_tokens: int, n_distinct: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return OUT.empty_table()
-        gram, value = known.column("gram").combine_chunks(), known.column("value").to_numpy()
-        is_gram = np.asarray(gram.is_valid())
-        grams, log_p = np.asarray(gram.drop_null()), value[is_gram]
+        of = lambda name: known.column(name).combine_chunks().flatten()
+        grams, log_p = of("grams").to_numpy(), of("log_p").to_numpy()
         order = np.argsort(grams)
         grams, log_p = grams[order], log_p[order]
-        n_of = dict(zip(known.column("word").filter(pa.array(~is_gram)).to_pylist(), value[~is_gram].tolist(), strict=True))
-        floor = np.log10(train_tokens + 1 * (n_distinct + 1))
-        base_of = {w: np.log10(n + 1) - floor for w, n in n_of.items()}
+        words, n = of("words").to_pylist(), of("counts").to_numpy()
+        at_of = dict(zip(words, range(len(words)), strict=True))
+        base_of = np.log10(n + 1) - np.log10(train_tokens + n_distinct + 1)
         texts, tokens, n_known, base, sums = [], [], [], [], []
         for text in docs.column("text").to_pylist():
             own, read = body(text)
             own.append(END)
             texts.append(read)
+            at = np.array([at_of[x] for x in own])
             tokens.append(len(own))
-            n_known.append(sum([n_of[x] > 0 for x in own]))
-            base.append(math.fsum([base_of[x] for x in own]))
+            n_known.append(int((n[at] > 0).sum()))
+            base.append(float(base_of[at].sum()))
         for i, j in steps(texts):
             own, at = np.unique(codes_of(texts[i:j]), return_inverse=True)
             p = log_p[np.searchsorted(grams, own)][at]
@@ -245,16 +245,19 @@ def score(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    stats = stage(
-        dealt.groupBy("block").applyInArrow(block_statistics, "block int, gram long, word binary, n long"), "statistics"
-    )
-
-    words = stats.where("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
+    stats = dealt.groupBy("block").applyInArrow(block_statistics, "block int, gram long, word binary, n long, kind string")
+    # Grams and words in files of their own, as each is read twice.
+    stats.write.partitionBy("kind").parquet(path := staging_path(docs.sparkSession, "statistics"))
+    stats = docs.sparkSession.read.schema(stats.schema).parquet(path)
+    block_grams = stats.where("kind = 'gram'").select("block", "gram", "n")
+    block_words = stats.where("kind = 'word'").select("block", "word", "n")
+
+    words = block_words.groupBy("word").agg(F.sum("n").alias("n"))
     words = stage(words, "words")
     totals = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
     train_tokens, n_distinct = totals[0] or 0, totals[1]
 
-    grams = stats.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
+    grams = block_grams.groupBy("gram").agg(F.sum("n").alias("n"))
     grams = stage(grams, "grams")
     # All that shares the two bytes before the predicted one is weighed in one task.
     parts = max(1, -(-grams.count() // SHARD))
@@ -274,12 +277,12 @@ def score(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
         return pa.table({"gram": codes, "value": gram_scores(codes, part.column("n").to_numpy(), top.value)})
 
     values = grams.groupBy("shard").applyInArrow(weigh, "gram long, value double")
-    back = (
-        stats.where("gram is not null").join(values, "gram").select("block", "gram", F.lit(None).cast("binary").alias("word"), "value")
-    ).unionAll(
-        stats.where("word is not null")
-        .join(words.select("word", F.col("n").cast("double").alias("value")), "word")
-        .select("block", F.lit(None).cast("long").alias("gram"), "word", "value")
+    # The corpus's own tables have a row per gram or word: hashing them saves sorting the rows of all blocks.
+    # They go back as one row per block; a task's share of a block is put together before the shuffle.
+    known_grams = block_grams.drop("n").join(values.hint("shuffle_hash"), "gram").groupBy("block")
+    known_words = block_words.drop("n").join(words.hint("shuffle_hash"), "word").groupBy("block")
+    back = known_grams.agg(F.collect_list("gram").alias("grams"), F.collect_list("value").alias("log_p")).join(
+        known_words.agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("counts")), "block"
     )
     found = dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         score_block(train_tokens, n_distinct),
