@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import words_of
+from readloom.llm.common import map_texts
 from readloom.operators.staging import stage, staging_path
 
 #: Bytes of context of the deepest nodes.
@@ -25,9 +26,20 @@ TOP = 1
 END = b"\n"
 
 
-def body(text: str | None) -> tuple[list[bytes], bytes]:
-    """Words, and what the model reads: the words with single blanks between and an end."""
-    words = words_of(text)
+def packer() -> Callable[[list[str]], list[Iterable]]:
+    """Texts as their shuffle moves them; both shuffles of texts would otherwise be most of the disk used."""
+    compress = zstandard.ZstdCompressor(level=1).compress
+    return lambda texts: [[compress(t.encode("utf-8")) for t in texts]]
+
+
+def unpacked(docs: pa.Table) -> Iterator[bytes]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return (expand(x) for x in docs.column("packed").to_pylist())
+
+
+def body(text: bytes) -> tuple[list[bytes], bytes]:
+    """Words, A-Z lowered, and what the model reads: the words with single blanks between and an end."""
+    words = text.lower().split()
     return words, b" ".join(words) + END
 
 
@@ -157,7 +169,7 @@ def block_statistics(docs: pa.Table) -> pa.Table:
     """Distinct grams and words of a block, each with its number in training texts."""
     learn = np.array(docs.column("learn").to_pylist(), bool)
     texts, counts, words, unused = [], [], Counter(), set()
-    for text, use in zip(docs.column("text").to_pylist(), learn.tolist(), strict=True):
+    for text, use in zip(unpacked(docs), learn.tolist(), strict=True):
         own, read = body(text)
         texts.append(read)
         words.update(own) if use else unused.update(own)
@@ -193,7 +205,7 @@ def score_block(train_tokens: int, n_distinct: int) -> Callable[[pa.Table, pa.Ta
         at_of = dict(zip(words, range(len(words)), strict=True))
         base_of = np.log10(n + 1) - np.log10(train_tokens + n_distinct + 1)
         texts, tokens, n_known, base, sums = [], [], [], [], []
-        for text in docs.column("text").to_pylist():
+        for text in unpacked(docs):
             own, read = body(text)
             own.append(END)
             texts.append(read)
@@ -245,6 +257,7 @@ def score(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    dealt = map_texts(dealt, ["doc_id", "learn", "block"], packer, {"packed": "binary"})
     stats = dealt.groupBy("block").applyInArrow(block_statistics, "block int, gram long, word binary, n long, kind string")
     # Grams and words in files of their own, as each is read twice.
     stats.write.partitionBy("kind").parquet(path := staging_path(docs.sparkSession, "statistics"))

@@ -72,7 +72,7 @@ def test_tree_is_brute_force(frame):
     learn = [i in (0, 1, 3, 5) for i in range(len(texts))]
     df = frame(list(zip(range(len(texts)), texts, learn, strict=True)), "doc_id long, text string, use boolean")
     got = {r["doc_id"]: r for r in ctw.score(df, F.col("use"), block=20).collect()}
-    read = [ctw.body(t)[1] for t in texts]
+    read = [ctw.body((t or "").encode())[1] for t in texts]
     for i, wanted in enumerate(brute_scores(read, learn, ctw.DEPTH)):
         assert got[i]["score"] == pytest.approx(wanted, abs=1e-9)
         assert got[i]["bits_per_byte"] == pytest.approx(-wanted * math.log2(10) / len(read[i]))
