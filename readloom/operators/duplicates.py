@@ -30,7 +30,7 @@ def mark_duplicates(
 ) -> DataFrame:
     """Flag ``is_dup`` on all but the best read of each contig, strand and unclipped 5' position.
 
-    Best is the highest ``score``, then the smallest ``ids``; rows that agree in
+    Best is the highest ``score`` (NULL is the lowest), then the smallest ``ids``; rows that agree in
     key, score and ids count as one read. ``mate`` names the mate's contig,
     position and strand columns and ``within`` further columns, such as a
     library, that keep reads apart.
@@ -41,7 +41,7 @@ def mark_duplicates(
     reverse = F.col(reverse) if isinstance(reverse, str) else reverse
     keyed, key = _keyed(reads, contig, reverse, mate)
     same = [*key, *within]
-    rank = F.struct((-F.col(score)).alias("_score"), *ids)
+    rank = F.struct(F.col(score).isNull().alias("_none"), (-F.col(score)).alias("_score"), *ids)
     best = keyed.groupBy(*same).agg(F.min(rank).alias("_best"))
     winners = best.select(
         *[F.col(f"_best.{c}").alias(f"_w_{c}") for c in ids],

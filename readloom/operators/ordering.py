@@ -31,11 +31,18 @@ def ranked(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name:
     sizes = fixed.groupBy(*group, "_part").agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *group, "_part", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+        *[F.col(c).alias(f"_g_{c}") for c in group],
+        F.col("_part").alias("_g_part"),
+        "_first",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
     )
+    same = F.col("_part") == F.col("_g_part")
+    for c in group:
+        # A NULL group is a group.
+        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
     rank = F.col("_before") + F.col("_place") - F.col("_first") + 1
     return (
-        fixed.join(F.broadcast(offsets), [*group, "_part"])
+        fixed.join(offsets, same)
         .withColumn(name, rank)
-        .drop("_part", "_place", "_first", "_before")
+        .drop("_part", "_place", "_first", "_before", "_g_part", *[f"_g_{c}" for c in group])
     )

@@ -20,7 +20,7 @@ def first_quality(reads: DataFrame, ids: Sequence[str], region: str, quals: str)
     place = F.col("ref_idx").cast("bigint") * (1 << 32) + F.col("pos")
     start = reads.groupBy(region).agg(F.min(place).alias("_start"))
     top = reads.select(region, *ids, place.alias("_place"), F.array_max(quals).alias("_top"))
-    first = top.join(F.broadcast(start), region).where(F.col("_place") == F.col("_start"))
+    first = top.join(start, region).where(F.col("_place") == F.col("_start"))
     return first.groupBy(region).agg(F.min_by("_top", F.struct(*ids)).alias("_top"))
 
 
@@ -35,7 +35,7 @@ def rebase_region(
 
     Adds ``shift`` and ``quality_error``; a read with an error keeps its message
     and its shifted values, or fails the job when ``strict``. ``region`` is a
-    region or contig column, so the decisions are few and can be broadcast.
+    region or contig column; few decisions are broadcast by their known size, many are not.
     """
     decision = first_quality(reads, ids, region, quals).select(
         region, F.coalesce(guess_encoding(F.array("_top")) == "ILLUMINA", F.lit(False)).alias("shift")
@@ -44,7 +44,7 @@ def rebase_region(
     if strict:
         error = F.when(error.isNotNull(), F.raise_error(error)).cast("string")
     return (
-        reads.join(F.broadcast(decision), region)
+        reads.join(decision, region)
         .withColumn("quality_error", error)
         .withColumn(quals, F.when(F.col("shift"), rebase(quals)).otherwise(F.col(quals)))
     )

@@ -48,7 +48,8 @@ def clean(reads: DataFrame, contigs: DataFrame) -> DataFrame:
     """Soft-clip what hangs over the contig end; mapping quality 0 for unmapped reads.
 
     ``clipped`` counts the reference bases that hung over. A mapped read that
-    starts past its contig end has no place left and is dropped.
+    starts past its contig end has no place left: it stays, with the unmapped flag
+    (where there is a ``flag``), mapping quality 0 and CIGAR ``*``.
     """
     found = reads.join(contigs.select("ref_idx", "length"), "ref_idx", "left")
     inside = F.col("length").isNull() | (F.col("pos") <= F.col("length"))
@@ -57,17 +58,22 @@ def clean(reads: DataFrame, contigs: DataFrame) -> DataFrame:
         unmapped = F.col("flag").bitwiseAND(UNMAPPED) != 0
     else:
         unmapped = F.col("length").isNull()
+    lost = ~unmapped & ~inside
+    found = found.withColumn("_lost", lost)
+    if "flag" in reads.columns:
+        found = found.withColumn("flag", F.when(F.col("_lost"), F.col("flag").bitwiseOR(UNMAPPED)).otherwise(F.col("flag")))
+    else:
+        unmapped = F.col("length").isNull() | F.col("_lost")
     return (
-        found.where(unmapped | inside)
-        .withColumn("clipped", F.when(~unmapped & (over > 0), over).otherwise(0))
+        found.withColumn("clipped", F.when(~unmapped & (over > 0), over).otherwise(0))
         .withColumn(
             "cigar",
-            F.when(F.col("clipped") > 0, trim_to("cigar", F.col("length") - F.col("pos") + 1)).otherwise(
+            F.when(F.col("_lost"), F.lit("*")).when(F.col("clipped") > 0, trim_to("cigar", F.col("length") - F.col("pos") + 1)).otherwise(
                 F.col("cigar")
             ),
         )
         .withColumn("mapq", F.when(unmapped, F.lit(0)).otherwise(F.col("mapq")))
-        .drop("length")
+        .drop("length", "_lost")
     )
 
 

@@ -341,8 +341,8 @@ def vcf_scan(spark, sf):
 
 @query
 def fasta_scan(spark, sf):
-    # Documents as contigs: their small letters, in lines of 60.
-    letters = "regexp_replace(text, '[^a-z]', '')"
+    # Documents as contigs: every byte of the text as two letters, in lines of 60.
+    letters = "translate(lower(hex(text)), '0123456789', 'ghijklmnop')"
     lines = spread(T.table(spark, sf, "documents").select("doc_id", "lang", "text")).selectExpr(
         f"concat('>d', doc_id, ' ', lang, '\\n', array_join(regexp_extract_all({letters}, '(.{{1,60}})', 1), '\\n')) as line"
     )

@@ -101,8 +101,8 @@ from placed join regions on placed.ref_idx = regions.ref_idx""",
 select l_orderkey, ref_idx from placed where chunk = 0 union all select l_orderkey, ref_idx from placed where chunk = 1
 union all select l_orderkey, ref_idx from placed where chunk = 2 union all select l_orderkey, ref_idx from placed where chunk = 3""",
     "clean_clip": f"""
-select {_ID}, case when dense.pos + ref_len - 1 > length then dense.pos + ref_len - 1 - length else 0 end as clipped
-from dense join contigs on contigs.ref_idx = dense.ref_idx where dense.pos <= length""",
+select {_ID}, case when dense.pos <= length and dense.pos + ref_len - 1 > length then dense.pos + ref_len - 1 - length else 0 end as clipped
+from dense join contigs on contigs.ref_idx = dense.ref_idx""",
     "read_groups": f"""
 select {_ID}, 'GROUP1' as rg_id, 'LIB1' as rg_lb, 'ILLUMINA' as rg_pl, 'UNIT1' as rg_pu, 'SAMPLE1' as rg_sm from placed""",
     "quality_encoding": f"select {_ID}, case when list_max(quals) <= 60 then 'SANGER' else 'ILLUMINA' end as encoding from quals",
@@ -183,7 +183,7 @@ select concat('chr', c) as contig, cast(p + 1 as int) as pos, '.' as id, r as re
     "fasta_scan": """
 select contig, cast(c*256 + 1 as int) as chunk_start, substring(b, c*256 + 1, 272) as bases
 from (select contig, b, unnest(range(0, (length(b)+255)//256)) as c
- from (select concat('d', doc_id) as contig, regexp_replace(text, '[^a-z]', '', 'g') as b from documents))""",
+ from (select concat('d', doc_id) as contig, translate(lower(hex(text)), '0123456789', 'ghijklmnop') as b from documents))""",
 }
 
 

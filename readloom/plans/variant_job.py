@@ -77,10 +77,13 @@ def call_variants(
     reads = stage(regions.region_partitions(R.with_read_group(marked, **read_group), [READ_ID]), "reads")
 
     indexed_targets = targets.join(index, "contig")
-    covered = intervals.half_open(intervals.merge_reads(reads, gap))
+    # Reads that start past their contig stay in the output but are no evidence.
+    mapped = reads.where(F.col("flag").bitwiseAND(R.UNMAPPED) == 0)
+    covered = intervals.half_open(intervals.merge_reads(mapped, gap))
     bed = stage(intervals.intersect_intervals(indexed_targets, covered), "targets")
-    inside = intervals.restrict_reads(reads, bed)
-    usable = inside.where(~F.col("is_dup") & F.col("quality_error").isNull())
+    inside = intervals.restrict_reads(mapped, bed)
+    # Read twice below, so the restriction runs once.
+    usable = stage(inside.where(~F.col("is_dup") & F.col("quality_error").isNull()), "usable")
 
     loci = intervals.indel_loci(inside)
     spots = intervals.indel_targets(loci, pad)

@@ -9,7 +9,7 @@ from readloom.functions.quality import decode_phred
 
 # The mandatory SAM fields before the tags, and the first words of BED header lines.
 SAM_FIELDS = 11
-BED_HEADERS = ("#", "track", "browser")
+BED_HEADERS = ("track", "browser")
 
 
 def _field(parts: str, i: int) -> Column:
@@ -76,9 +76,8 @@ def read_sam(spark: SparkSession, path: str | list[str], contigs: DataFrame | No
 
 
 def _bed_lines(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, Column]:
-    header = F.lit(False)
-    for word in BED_HEADERS:
-        header = header | F.startswith("value", F.lit(word))
+    # The whole word: a contig may be called track1.
+    header = F.col("value").startswith("#") | F.col("value").rlike(rf"^({'|'.join(BED_HEADERS)})(\s|$)")
     return spark.read.text(path), header
 
 

@@ -28,8 +28,24 @@ def test_clean(frame):
         ],
         "name string, ref_idx int, flag int, pos int, mapq int, cigar string",
     )
-    got = {r.name: (r.cigar, r.clipped, r.mapq) for r in reads.clean(df, contigs).collect()}
-    assert got == {"in": ("100M", 0, 50), "over": ("60M40S", 40, 50), "unmapped": ("*", 0, 0)}
+    got = {r.name: (r.flag, r.cigar, r.clipped, r.mapq) for r in reads.clean(df, contigs).collect()}
+    assert got == {"in": (0, "100M", 0, 50), "over": (0, "60M40S", 40, 50), "past": (4, "*", 0, 0), "unmapped": (4, "*", 0, 0)}
+    got = {r.name: (r.cigar, r.clipped, r.mapq) for r in reads.clean(df.drop("flag"), contigs).collect()}
+    assert got == {"in": ("100M", 0, 50), "over": ("60M40S", 40, 50), "past": ("*", 0, 0), "unmapped": ("*", 0, 0)}
+
+
+def test_ranked_keeps_null_groups(frame):
+    df = frame([(None, 1), (None, 2), ("a", 1)], "g string, x int")
+    got = {(r.g, r.x, r.rn) for r in ranked(df, ["x"], ["g"]).collect()}
+    assert got == {(None, 1, 1), (None, 2, 2), ("a", 1, 1)}
+
+
+def test_a_null_score_never_wins(frame):
+    df = frame([(1, None), (2, 50), (3, 40)], "id int, mapq int").selectExpr(
+        "id", "mapq", "1 as ref_idx", "5 as pos", "'10M' as cigar", "false as neg"
+    )
+    got = {r.id: r.is_dup for r in duplicates.mark_duplicates(df, ["id"]).collect()}
+    assert got == {1: True, 2: False, 3: True}
 
 
 def test_read_groups(frame):

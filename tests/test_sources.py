@@ -38,8 +38,8 @@ def test_sam(spark, tmp_path, frame):
 
 def test_bed(spark, tmp_path):
     path = tmp_path / "x.bed"
-    path.write_text("browser hide\ntrack name=a\n#c\nchr1\t0\t10\nchr2\t5\t9\tname\t7\n\n")
-    assert rows(sources.read_bed(spark, str(path))) == [("chr1", 0, 10, None), ("chr2", 5, 9, "name\t7")]
+    path.write_text("browser hide\ntrack name=a\n#c\ntrack1\t0\t10\nchr2\t5\t9\tname\t7\n\n")
+    assert rows(sources.read_bed(spark, str(path))) == [("chr2", 5, 9, "name\t7"), ("track1", 0, 10, None)]
     assert rows(sources.bed_header(spark, str(path))) == [("#c",), ("browser hide",), ("track name=a",)]
 
 
