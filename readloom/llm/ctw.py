@@ -165,6 +165,15 @@ def gram_scores(codes: np.ndarray, n: np.ndarray, top: Top) -> np.ndarray:
     return np.log10(np.where(np.isnan(p), 0.5, p)).sum(axis=1)
 
 
+def summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of several lists in order, with the sums of their counts."""
+    grams, n = np.concatenate([g for g, _ in counts]), np.concatenate([m for _, m in counts])
+    order = np.argsort(grams, kind="stable")
+    grams, n = grams[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+    return grams[first], np.add.reduceat(n, first)
+
+
 def block_statistics(docs: pa.Table) -> pa.Table:
     """Distinct grams and words of a block, each with its number in training texts."""
     learn = np.array(docs.column("learn").to_pylist(), bool)
@@ -180,11 +189,9 @@ def block_statistics(docs: pa.Table) -> pa.Table:
         used = np.repeat(learn[i:j], [len(t) for t in texts[i:j]])
         grams, n = np.unique(codes_of(texts[i:j]) << 1 | used, return_counts=True)
         counts.append((grams >> 1, n * (grams & 1)))
-    every, n = np.concatenate([g for g, _ in counts]), np.concatenate([m for _, m in counts])
-    order = np.argsort(every, kind="stable")
-    every, n = every[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-    grams, n = every[first], np.add.reduceat(n, first)
+        if len(counts) == 4:
+            counts = [summed(counts)]
+    grams, n = summed(counts)
     gram = pa.chunked_array([pa.array(grams), pa.nulls(len(words), pa.int64())])
     word = pa.chunked_array([pa.nulls(len(grams), pa.binary()), pa.array(list(words), pa.binary())])
     total = pa.chunked_array([pa.array(n), pa.array(list(words.values()), pa.int64())])
@@ -198,7 +205,7 @@ def score_block(train_tokens: int, n_distinct: int) -> Callable[[pa.Table, pa.Ta
         if not docs.num_rows:
             return OUT.empty_table()
         of = lambda name: known.column(name).combine_chunks().flatten()
-        grams, log_p = of("grams").to_numpy(), of("log_p").to_numpy()
+        grams, log_p = of("grams").to_numpy(), of("log_p").to_numpy().astype(np.float64)
         order = np.argsort(grams)
         grams, log_p = grams[order], log_p[order]
         words, n = of("words").to_pylist(), of("counts").to_numpy()
@@ -241,7 +248,7 @@ def score(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
     is half its Krichevsky-Trofimov estimate and half the product of its children's, over
     the rows where ``learn`` is true, so all depths are mixed by what they are worth.
     A context that was never met ends the path. ``score`` is the log10 probability of the
-    text, ``bits_per_byte`` its code length. ``base_score`` is the add-one unigram score of the words and an end.
+    text (each byte's part in single precision, their sum in double), ``bits_per_byte`` its code length. ``base_score`` is the add-one unigram score of the words and an end.
 
     Texts are dealt by hash to blocks of about ``block`` bytes. A block sends its
     distinct grams (byte and context) and words with their counts; these are summed over the corpus, the tree is
@@ -287,9 +294,10 @@ def score(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
 
     def weigh(part: pa.Table) -> pa.Table:
         codes = part.column("gram").to_numpy()
-        return pa.table({"gram": codes, "value": gram_scores(codes, part.column("n").to_numpy(), top.value)})
+        value = gram_scores(codes, part.column("n").to_numpy(), top.value)
+        return pa.table({"gram": codes, "value": value.astype(np.float32)})
 
-    values = grams.groupBy("shard").applyInArrow(weigh, "gram long, value double")
+    values = grams.groupBy("shard").applyInArrow(weigh, "gram long, value float")
     # The corpus's own tables have a row per gram or word: hashing them saves sorting the rows of all blocks.
     # They go back as one row per block; a task's share of a block is put together before the shuffle.
     known_grams = block_grams.drop("n").join(values.hint("shuffle_hash"), "gram").groupBy("block")

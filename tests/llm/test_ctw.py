@@ -74,8 +74,8 @@ def test_tree_is_brute_force(frame):
     got = {r["doc_id"]: r for r in ctw.score(df, F.col("use"), block=20).collect()}
     read = [ctw.body((t or "").encode())[1] for t in texts]
     for i, wanted in enumerate(brute_scores(read, learn, ctw.DEPTH)):
-        assert got[i]["score"] == pytest.approx(wanted, abs=1e-9)
-        assert got[i]["bits_per_byte"] == pytest.approx(-wanted * math.log2(10) / len(read[i]))
+        assert got[i]["score"] == pytest.approx(wanted, rel=1e-6)
+        assert got[i]["bits_per_byte"] == pytest.approx(-wanted * math.log2(10) / len(read[i]), rel=1e-6)
 
 
 def test_query_and_base(spark):
@@ -101,4 +101,4 @@ def test_odd_rows(odd_documents, no_documents):
     assert {r["n_tokens"] for r in got.where("doc_id <= 3").collect()} == {1}
     assert ctw.score(no_documents, F.lit(True)).count() == 0
     nothing = ctw.score(odd_documents, F.lit(False)).where("doc_id = 4").first()
-    assert nothing["n_known"] == 0 and nothing["score"] == pytest.approx(4 * 8 * math.log10(0.5))
+    assert nothing["n_known"] == 0 and nothing["score"] == pytest.approx(4 * 8 * math.log10(0.5), rel=1e-6)
