@@ -1,7 +1,7 @@
 """CIGAR strings: spans, clips, aligned blocks and indel sites.
 
-Each walk over the operations is one ``aggregate`` over the token array, so it
-stays in the JVM and costs time linear in the number of operations.
+Walks over the operations stay in the JVM. Blocks and indels come from running
+totals that grow no array step by step; ``trim_to`` still grows its string.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from readloom.functions.arrays import indices, let, running_starts
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -62,26 +64,36 @@ def five_prime(pos, cigar, reverse) -> Column:
     return F.when(_col(reverse), end).otherwise(start)
 
 
+def _starts(operations: Column, counts) -> Column:
+    """Bases before each operation, of those operations that ``counts``."""
+    return running_starts(F.transform(operations, lambda x: F.when(counts(x["op"]), x["n"]).otherwise(0)))
+
+
+def _sites(operations: Column, wanted, site) -> Column:
+    """``site`` of the index of each operation that is ``wanted``."""
+    chosen = F.filter(indices(F.size(operations)), lambda i: wanted(operations[i]["op"]))
+    return F.when(operations.isNotNull(), F.transform(chosen, site))
+
+
 def aligned_blocks(pos, cigar) -> Column:
     """Gap-free aligned stretches: ARRAY<STRUCT<ref_start, read_start, n>>, read_start from 0."""
-    blocks = "array<struct<ref_start:int,read_start:int,n:int>>"
-
-    def step(acc, x):
-        block = F.struct(acc.ref.alias("ref_start"), acc.read.alias("read_start"), x.n.alias("n"))
-        return F.struct(
-            (acc.ref + F.when(_on_reference(x.op), x.n).otherwise(0)).alias("ref"),
-            (acc.read + F.when(_on_read(x.op), x.n).otherwise(0)).alias("read"),
-            F.when(
-                _on_reference(x.op) & _on_read(x.op), F.concat(acc.out, F.array(block))
-            ).otherwise(acc.out).alias("out"),
+    start = _col(pos).cast("int")
+
+    def walk(ops: Column, ref: Column, read: Column) -> Column:
+        return _sites(
+            ops,
+            lambda op: _on_reference(op) & _on_read(op),
+            lambda i: F.struct(
+                (start + ref[i]).alias("ref_start"), read[i].alias("read_start"), ops[i]["n"].alias("n")
+            ),
         )
 
-    start = F.struct(
-        _col(pos).cast("int").alias("ref"),
-        F.lit(0).alias("read"),
-        F.array().cast(blocks).alias("out"),
+    return let(
+        _operations(_col(cigar)),
+        lambda ops: let(
+            _starts(ops, _on_reference), lambda ref: let(_starts(ops, _on_read), lambda read: walk(ops, ref, read))
+        ),
     )
-    return F.aggregate(_operations(_col(cigar)), start, step, lambda acc: acc.out)
 
 
 def indels(pos, cigar) -> Column:
@@ -89,17 +101,16 @@ def indels(pos, cigar) -> Column:
 
     ``locus`` is the first reference position at or after the operation.
     """
-    sites = "array<struct<locus:int,op:string>>"
+    start = _col(pos).cast("int")
 
-    def step(acc, x):
-        site = F.struct(acc.ref.alias("locus"), x.op.alias("op"))
-        return F.struct(
-            (acc.ref + F.when(_on_reference(x.op), x.n).otherwise(0)).alias("ref"),
-            F.when(x.op.isin("I", "D"), F.concat(acc.out, F.array(site))).otherwise(acc.out).alias("out"),
+    def walk(ops: Column, ref: Column) -> Column:
+        return _sites(
+            ops,
+            lambda op: op.isin("I", "D"),
+            lambda i: F.struct((start + ref[i]).alias("locus"), ops[i]["op"].alias("op")),
         )
 
-    start = F.struct(_col(pos).cast("int").alias("ref"), F.array().cast(sites).alias("out"))
-    return F.aggregate(_operations(_col(cigar)), start, step, lambda acc: acc.out)
+    return let(_operations(_col(cigar)), lambda ops: let(_starts(ops, _on_reference), lambda ref: walk(ops, ref)))
 
 
 def trim_to(cigar, room) -> Column:
