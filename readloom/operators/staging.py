@@ -16,7 +16,8 @@ def staging_dir(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        # local-cluster has executors of its own, so it counts as a cluster.
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="readloom-")
         spark.sparkContext.setCheckpointDir(folder)
