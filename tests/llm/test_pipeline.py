@@ -5,7 +5,7 @@ import corpus_pipeline
 import __spark_entry__ as entry
 from readloom.llm import langid, pii
 
-from test_simhash import brute_components, brute_fingerprint
+from llm.test_simhash import brute_components, brute_fingerprint
 
 SF = "/root/testdata/sf0.001"
 
