@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,12 +37,21 @@ def mark_duplicates(
     library, that keep reads apart.
 
     The best read is a minimum with partial aggregation, joined back on the
-    ids: a position that holds a third of all reads never meets in a task.
+    ids: a position that holds a third of all reads never meets in a task. A whole-number
+    score and a single whole-number id are packed into one decimal, which Spark
+    aggregates by hash; other ids are compared as a struct, which it sorts.
     """
     reverse = F.col(reverse) if isinstance(reverse, str) else reverse
     keyed, key = _keyed(reads, contig, reverse, mate)
     same = [*key, *within]
-    rank = F.struct(F.col(score).isNull().alias("_none"), (-F.col(score)).alias("_score"), *ids)
+    if len(ids) == 1 and _is(reads, score, "byte", "short", "integer") and _is(reads, ids[0], "integer", "long"):
+        keyed = keyed.withColumn("_rank", _packed(F.col(score), F.col(ids[0])))
+        best = keyed.groupBy(*same).agg(F.min("_rank").alias("_w_rank"))
+        winners = best.select("_w_rank", *[F.col(c).alias(f"_w_{c}") for c in same], F.lit(True).alias("_kept"))
+        return _flagged(keyed, winners, F.col("_rank") == F.col("_w_rank"), same, reads.columns)
+    # The smallest number of its type has no opposite in it.
+    wide = F.col(score).cast("decimal(20,0)") if _is(reads, score, "byte", "short", "integer", "long") else F.col(score)
+    rank = F.struct(F.col(score).isNull().alias("_none"), (-wide).alias("_score"), *ids)
     best = keyed.groupBy(*same).agg(F.min(rank).alias("_best"))
     winners = best.select(
         *[F.col(f"_best.{c}").alias(f"_w_{c}") for c in ids],
@@ -52,10 +62,24 @@ def mark_duplicates(
     meets = F.col(score).eqNullSafe(F.col("_w_score"))
     for c in ids:
         meets = meets & (F.col(c) == F.col(f"_w_{c}"))
+    return _flagged(keyed, winners, meets, same, reads.columns)
+
+
+def _is(df: DataFrame, name: str, *types: str) -> bool:
+    return df.schema[name].dataType.typeName() in types
+
+
+def _packed(score: Column, number: Column) -> Column:
+    """Falling score, NULL last, then rising number, as one decimal: score above 64 bits of number."""
+    falling = F.coalesce(-score.cast("decimal(11,0)"), F.lit(Decimal(1 << 32)))
+    return falling * F.lit(Decimal(1 << 64)) + (number.cast("decimal(20,0)") + F.lit(Decimal(1 << 63)))
+
+
+def _flagged(keyed: DataFrame, winners: DataFrame, meets: Column, same: Sequence[str], columns: Sequence[str]) -> DataFrame:
     for c in same:
         meets = meets & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
     found = keyed.join(winners, meets, "left")
-    return found.select(*[F.col(c) for c in reads.columns], F.col("_kept").isNull().alias("is_dup"))
+    return found.select(*[F.col(c) for c in columns], F.col("_kept").isNull().alias("is_dup"))
 
 
 def duplicate_counts(

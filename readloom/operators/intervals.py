@@ -40,10 +40,12 @@ def merge_intervals(
     gap: int,
     weight: Column | None = None,
     bits: int = MERGE_BITS,
+    carry: str | None = None,
 ) -> DataFrame:
     """Join inclusive intervals of a key while ``start <= largest end so far + gap``.
 
-    Gives ``key, start, end, n`` with ``n`` the sum of ``weight`` (1 by default).
+    Gives ``key, start, end, n`` with ``n`` the sum of ``weight`` (1 by default), and
+    with ``carry`` the value of this column in the interval that opens (the smallest at equal starts).
 
     1. Cut each interval, stretched by the gap, at bin edges and combine equal
        cut starts on the map side: a bin then holds at most one row per position.
@@ -56,13 +58,16 @@ def merge_intervals(
     # With a negative gap a one-base interval reaches nothing, so equal ones stay apart.
     alone = reach < F.col("_s")
 
+    own = [] if carry is None else ["_who"]
+    opener = [] if carry is None else [F.min(F.struct("_s", "_who"))["_who"].alias("_who")]
+    carried = [] if carry is None else [F.col(carry).alias("_who")]
     cut = (
-        df.select(*key, F.col(start).alias("_s"), F.col(end).alias("_e"), weight.cast("bigint").alias("_n"))
+        df.select(*key, F.col(start).alias("_s"), F.col(end).alias("_e"), weight.cast("bigint").alias("_n"), *carried)
         .withColumn("_bin", _bins(F.col("_s"), reach, bits))
         .withColumn("_at", F.greatest("_s", F.shiftleft("_bin", bits)))
         .withColumn("_n", F.when(F.col("_s") >= F.shiftleft("_bin", bits), F.col("_n")).otherwise(0))
     )
-    pieces = cut.groupBy(*key, "_bin", "_at", alone.alias("_alone")).agg(
+    pieces = cut.groupBy(*key, "_bin", "_at", alone.alias("_alone"), *own).agg(
         F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("_n").alias("_n"), F.count("*").alias("_copies")
     )
 
@@ -78,6 +83,7 @@ def merge_intervals(
             F.max("_e").alias("_e"),
             F.sum("_n").alias("_n"),
             F.sum("_copies").alias("_copies"),
+            *opener,
         )
     )
 
@@ -93,6 +99,7 @@ def merge_intervals(
             F.max("_e").alias("_e"),
             F.sum("_n").alias("_n"),
             F.sum("_copies").alias("_copies"),
+            *opener,
         )
     )
     if gap < 0:
@@ -102,8 +109,9 @@ def merge_intervals(
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
             .withColumn("_n", (F.col("_n") / F.col("_copies")).cast("bigint"))
         )
+    named = [] if carry is None else [F.col("_who").alias(carry)]
     return merged.select(
-        *key, F.col("_s").alias("start"), F.col("_e").alias("end"), F.col("_n").alias("n")
+        *key, F.col("_s").alias("start"), F.col("_e").alias("end"), F.col("_n").alias("n"), *named
     )
 
 
@@ -116,12 +124,13 @@ def merge_reads(reads: DataFrame, gap: int = READ_GAP, contig: str = "ref_idx")
 def merge_ranges(ranges: DataFrame, overlap: int) -> DataFrame:
     """Ranges ``(contig, s, e)`` widened at the start by ``overlap`` and merged, names equal but for case.
 
-    The first base stays at 1 or above; touching alone does not merge.
+    The first base stays at 1 or above; touching alone does not merge. A merged range has the name
+    of the range that opens it.
     """
     if overlap < 0:
         raise ValueError("overlap must not be negative")
-    named = ranges.withColumn("contig", F.upper("contig"))
-    merged = merge_intervals(named, ["contig"], "s", "e", overlap - 1)
+    keyed = ranges.withColumn("_name", F.upper("contig"))
+    merged = merge_intervals(keyed, ["_name"], "s", "e", overlap - 1, carry="contig")
     return merged.select("contig", F.greatest(F.col("start") - overlap, F.lit(1)).alias("s"), F.col("end").alias("e"))
 
 
@@ -220,7 +229,10 @@ def restrict_reads(reads: DataFrame, intervals: DataFrame, contig: str = "ref_id
 
 
 def interval_span(covered: DataFrame, contig: str = "ref_idx") -> DataFrame:
-    """First start, last end and number of the intervals of each contig."""
+    """First start, last end and number of the intervals of each contig.
+
+    Of merged intervals, as here, the last one also has the largest end.
+    """
     return covered.groupBy(contig).agg(
         F.min("s").alias("first_start"), F.max("e").alias("last_end"), F.count("*").alias("n")
     )

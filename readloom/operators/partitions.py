@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+#: Bytes up to which an input is dealt out anew; a shuffle of this size costs nothing on a cluster.
+SMALL_INPUT = 512 << 20
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with less to read than there are cores, dealt out to all of them.
 
-    For steps that turn a row into many. An input of many splits per core, as
-    any on a cluster, is left where it is. In between it counts the files: splits
-    of one file hold no rows where the file has fewer row groups than splits.
-    Only for plain scans: the number of partitions of a plan with shuffles is
-    not known before it runs.
+def spread(scan: DataFrame, limit: int = SMALL_INPUT) -> DataFrame:
+    """A scan of at most ``limit`` bytes, dealt out to all cores; anything larger is left where it is.
+
+    For steps that turn a row into many. The splits of one small file hold no rows
+    where the file has fewer row groups than splits. The planner's estimate of the
+    size decides, so no file is listed or opened here.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    splits = scan.rdd.getNumPartitions()
-    few = splits < cores or (splits < 8 * cores and 0 < len(scan.inputFiles()) < cores)
-    return scan.repartition(cores) if few else scan
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism) if size <= limit else scan

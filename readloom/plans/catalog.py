@@ -12,7 +12,7 @@ from readloom.functions import contig_key, guess_encoding
 from readloom.operators import calling, duplicates, intervals, ordering, quality, recal, regions, seeding, variants
 from readloom.operators import reads as R
 from readloom.operators.partitions import spread
-from readloom.operators.staging import staging_path
+from readloom.operators.staging import stage, staging_path
 from readloom.plans import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,15 @@ def _calls(spark, sf):
     return calling.call_sites(calling.pileup(T.bases(spark, sf)))
 
 
+def _alleles(spark, sf):
+    return calling.pileup_alleles(recal.read_bases(T.letters(spark, sf), T.reference(spark, sf), T.READ_IDS))
+
+
+def _call_vcf(spark, sf, status):
+    """A call set as a VCF file, read back and keyed."""
+    return variants.variant_key(sources.read_vcf(spark, _written(_vcf_lines(spark, sf, status), "vcf")))
+
+
 def _votes(spark, sf):
     targets = spread(T.table(spark, sf, "documents").select("doc_id", "text"))
     return seeding.seed_votes(T.table(spark, sf, "benchmark"), targets, "item_id", "doc_id")
@@ -95,7 +104,8 @@ def read_region(spark, sf):
 @query
 def sorted_alignments(spark, sf):
     keyed = regions.assign_regions(T.placed(spark, sf).select(*IDS, "ref_idx", "pos"), _region_map(spark, sf))
-    ranked = ordering.ranked(keyed, ["ref_idx", "pos", *IDS], group=["region"])
+    sources.write_alignments(keyed, path := staging_path(spark, "alignments"), IDS)
+    ranked = ordering.ranked(spark.read.parquet(path), ["ref_idx", "pos", *IDS], group=["region"])
     return ranked.select(*IDS, "region", "rn")
 
 
@@ -140,6 +150,12 @@ def mark_duplicates(spark, sf):
 
 @query
 def dup_metrics(spark, sf):
+    libraries = R.placed(T.dense(spark, sf)).withColumn("lib", F.concat(F.lit("LIB"), F.col("l_suppkey") % 3))
+    return duplicates.dup_metrics(duplicates.mark_duplicates(libraries, IDS, within=["lib"]), ["lib"])
+
+
+@query
+def dup_counts(spark, sf):
     return duplicates.duplicate_counts(R.placed(T.dense(spark, sf)))
 
 
@@ -208,8 +224,28 @@ def recal_table(spark, sf):
 
 @query
 def recal_apply(spark, sf):
-    new = recal.apply_recal(T.bases(spark, sf), _recal(spark, sf), T.READ_IDS)
-    return new.select(*T.READ_IDS, "new_q")
+    table = stage(_recal(spark, sf), "recal")
+    values = {"q": F.col("quals"), "cyc": F.col("cycles")}
+    new = recal.recalibrate_reads(T.base_arrays(spark, sf), table, values, T.READ_IDS)
+    total = F.aggregate("quals", F.lit(0).cast("long"), lambda acc, q: acc + q)
+    return new.select(*T.READ_IDS, F.array_join(F.col("quals").cast("array<string>"), ",").alias("quals"), total.alias("new_q"))
+
+
+@query
+def aligned_bases(spark, sf):
+    bases = recal.read_bases(T.letters(spark, sf), T.reference(spark, sf), T.READ_IDS, T.known(spark, sf))
+    return bases.groupBy("ref_idx", "cyc", "context").agg(
+        F.count("*").alias("n"),
+        F.count_if("mm").alias("err"),
+        F.sum("q").alias("sum_q"),
+        F.sum("p").alias("sum_p"),
+        F.count_if(F.col("base") == "A").alias("n_a"),
+    )
+
+
+@query
+def pileup_alleles(spark, sf):
+    return _alleles(spark, sf)
 
 
 @query
@@ -229,9 +265,13 @@ def variants_per_region(spark, sf):
 
 @query
 def variants_sorted(spark, sf):
-    named = variants.with_contig_key(R.with_contig(_calls(spark, sf), T.contigs(spark, sf)))
-    last = named.select("contig", "p", "contig_key", F.col("contig_key").isNull().alias("last"))
-    return ordering.ranked(last, ["last", "contig_key", "p"]).select("contig", "p", "rn")
+    called = calling.call_sites(_alleles(spark, sf))
+    records = calling.vcf_records(R.with_contig(called, T.contigs(spark, sf)))
+    sources.write_vcf(records, path := staging_path(spark, "calls"))
+    keyed = variants.with_contig_key(sources.read_vcf(spark, path))
+    last = keyed.withColumn("last", F.col("contig_key").isNull())
+    ranked = ordering.ranked(last, ["last", "contig_key", "contig", "pos", "alt"])
+    return ranked.select("contig", "pos", "ref", "alt", "info", "rn")
 
 
 # Call sets --------------------------------------------------------------------
@@ -239,7 +279,7 @@ def variants_sorted(spark, sf):
 
 @query
 def concordance(spark, sf):
-    return variants.concordance(T.call_set(spark, sf, "O"), T.call_set(spark, sf, "F"), CALL_KEY)
+    return variants.concordance(_call_vcf(spark, sf, "O"), _call_vcf(spark, sf, "F"))
 
 
 @query
@@ -274,6 +314,13 @@ def _written(lines: DataFrame, name: str, **options) -> str:
     return path
 
 
+def _vcf_lines(spark, sf, status):
+    lines = T.call_set(spark, sf, status).selectExpr(
+        "concat_ws('\\t', concat('chr', c), cast(p + 1 as string), '.', r, v, '50', 'PASS', 'DP=8') as line"
+    )
+    return lines.union(spark.range(1).selectExpr("'##contig=<ID=chr1,length=9>' as line"))
+
+
 @query
 def contig_dict(spark, sf):
     rows = T.contigs(spark, sf).selectExpr(
@@ -288,10 +335,15 @@ def contig_dict(spark, sf):
 @query
 def sam_scan(spark, sf):
     named = T.reads(spark, sf).join(T.contigs(spark, sf), "ref_idx", "left")
+    # Every eleventh order has a flag that is no number, every thirteenth too few fields.
+    digits = "lpad(conv(cast({} as string), 10, 4), 20, '0')"
     lines = named.selectExpr(
         "concat_ws('\\t', concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey), "
-        "cast((case when ref_idx < 0 then 4 else 0 end) + (case when neg then 16 else 0 end) as string), "
-        "coalesce(contig, '*'), cast(pos as string), cast(mapq as string), cigar, '*', '0', '0', '*', '*', "
+        "case when l_orderkey % 11 = 0 then 'x' else cast((case when ref_idx < 0 then 4 else 0 end) + "
+        "(case when neg then 16 else 0 end) as string) end, "
+        "case when l_orderkey % 13 = 0 then null else concat_ws('\\t', "
+        "coalesce(contig, '*'), cast(pos as string), cast(mapq as string), cigar, '*', '0', '0', "
+        f"translate({digits.format('l_partkey')}, '0123', 'ACGT'), translate({digits.format('l_orderkey')}, '0123', '!5AI')) end, "
         "concat('RG:Z:', chunk), 'NM:i:0') as line"
     )
     found = sources.read_sam(spark, _written(lines, "sam"), T.contigs(spark, sf))
@@ -302,7 +354,10 @@ def sam_scan(spark, sf):
         "pos",
         "mapq",
         "cigar",
+        "seq",
+        F.aggregate("quals", F.lit(0), lambda acc, q: acc + q).alias("sum_q"),
         F.get("tags", F.lit(0)).alias("tag"),
+        F.col("_corrupt").alias("corrupt"),
         F.col("_corrupt").isNull().alias("whole"),
     )
 
@@ -332,11 +387,7 @@ def bed_scan(spark, sf):
 
 @query
 def vcf_scan(spark, sf):
-    lines = T.call_set(spark, sf, "O").selectExpr(
-        "concat_ws('\\t', concat('chr', c), cast(p + 1 as string), '.', r, v, '50', 'PASS', 'DP=8') as line"
-    )
-    header = spark.range(1).selectExpr("'##contig=<ID=chr1,length=9>' as line")
-    return sources.read_vcf(spark, _written(lines.union(header), "vcf"))
+    return sources.read_vcf(spark, _written(_vcf_lines(spark, sf, "O"), "vcf"))
 
 
 @query

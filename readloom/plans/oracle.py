@@ -11,6 +11,8 @@ _ID = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 _DUP_KEY = (
     "ref_idx, neg, case when neg then pos + ref_len - 1 else pos - case cigar when '10S90M' then 10 else 0 end end"
 )
+# Number of the letter at position pos + o of a contig, modulo 4.
+_LETTER = "((pos+o)*(pos+o) + (pos+o)//3 + ref_idx)"
 _CONTIG_KEY = (
     "case upper(substring(contig,4,9)) when 'X' then 25 when 'Y' then 26 else try_cast(substring(contig,4,9) as int) end"
 )
@@ -56,10 +58,21 @@ select ref_idx, min(pos) as s, max(end_pos) as e, cast(count(*) as bigint) as n
 select *, list_transform(range(0,10), lambda i: cast((l_orderkey+i*7)%10 + case when ref_idx%3=0 then
  case when l_linenumber%2=0 then 60 else 40 end else 51 end as int)) as quals from placed""",
     "bases": """
-select ok, ln, pk, sk, ref_idx, cast(pos + o as int) as p, cast((ok+ln+o) % 8 as int) as cyc, cast(20 + (ok+o) % 20 as int) as q,
+select rid, ok, ln, pk, sk, ref_idx, cast(pos + o as int) as p, cast((ok+ln+o) % 8 as int) as cyc, cast(20 + (ok+o) % 20 as int) as q,
  (ok*31+sk*7+o) % 97 = 0 or ((pos+o) % 151 = 0 and (ok+pk) % 2 = 0) as mm
-from (select l_orderkey ok, l_linenumber ln, l_partkey pk, l_suppkey sk, cast(1+l_partkey%24 as int) ref_idx,
+from (select row_number() over () rid, l_orderkey ok, l_linenumber ln, l_partkey pk, l_suppkey sk, cast(1+l_partkey%24 as int) ref_idx,
  cast(1+(l_orderkey*7919+l_partkey*104729+l_linenumber*31)%3000 as int) pos, unnest(range(0,50)) o from lineitem) r""",
+    "letters": f"""
+select rid, ok, ln, pk, sk, ref_idx, p, o, sk % 2 = 0 as neg, ln % 2 = 0 as second, cast(20 + (ok+o) % 20 as int) as q, mm,
+ substring('ACGT', cast(g % 4 as int) + 1, 1) as rb,
+ substring('ACGT', cast((g + case when mm then 1 + (ok+o) % 3 else 0 end) % 4 as int) + 1, 1) as b
+from (select *, pos + o as p, {_LETTER} as g, (ok*31+sk*7+o) % 97 = 0 or ((pos+o) % 151 = 0 and (ok+pk) % 2 = 0) as mm
+ from (select row_number() over () rid, l_orderkey ok, l_linenumber ln, l_partkey pk, l_suppkey sk, cast(1+l_partkey%24 as int) ref_idx,
+  cast(1+(l_orderkey*7919+l_partkey*104729+l_linenumber*31)%3000 as int) pos, unnest(range(0,50)) o from lineitem))""",
+    "alleles": """
+select a.ref_idx, a.p, rb as ref, b as alt, dp, ad, cast(mass - 3010*dp as bigint) as qual_milli
+from (select ref_idx, p, rb, b, cast(count(*) as bigint) as ad, sum(q*1000) as mass from letters where b <> rb group by all) a
+ join (select ref_idx, p, cast(count(*) as bigint) as dp from letters group by all) d on a.ref_idx = d.ref_idx and a.p = d.p""",
     "known": "select distinct cast(1 + l_partkey % 24 as int) as ref_idx, cast(151*(l_partkey % 20) as int) as p from lineitem",
     "recal": """
 select q, cyc, cast(count(*) as bigint) as n, cast(sum(case when mm then 1 else 0 end) as bigint) as err,
@@ -112,6 +125,11 @@ from (select *, first_value(list_max(quals)) over (partition by ref_idx order by
     "mark_duplicates": f"""
 select {_ID}, row_number() over(partition by {_DUP_KEY} order by mapq desc,{_ID}) > 1 as is_dup from dense where ref_idx between 1 and 24""",
     "dup_metrics": f"""
+select lib, cast(count(*) as bigint) as n, cast(sum(case when d then 1 else 0 end) as bigint) as dups,
+ cast(sum(case when d then 1 else 0 end) as double) / count(*) as fraction
+from (select concat('LIB', l_suppkey % 3) as lib, row_number() over(partition by l_suppkey % 3, {_DUP_KEY} order by mapq desc,{_ID}) > 1 as d
+ from dense where ref_idx between 1 and 24) x group by lib""",
+    "dup_counts": f"""
 select cast(count(*) as bigint) as n, cast(sum(case when d then 1 else 0 end) as bigint) as dups
 from (select row_number() over(partition by {_DUP_KEY} order by mapq desc,{_ID}) > 1 as d from dense where ref_idx between 1 and 24) x""",
     "covered_intervals": "select ref_idx, s, e, n from covered",
@@ -127,7 +145,7 @@ select ref_idx, min(s) as first_start, max(e) as last_end, cast(count(*) as bigi
 select concat(cast(n as varchar(12)), 'regions_', contig, '-', cast(first_start as varchar(12))) as label
 from (select ref_idx, min(s) first_start, count(*) n from covered group by ref_idx) x join contigs on contigs.ref_idx = x.ref_idx""",
     "merged_ranges": """
-select upper(contig) as contig, greatest(min(s)-300,1) as s, max(e) as e from (
+select first(contig order by s, contig) as contig, greatest(min(s)-300,1) as s, max(e) as e from (
  select *, sum(case when pm is null or s - 300 >= pm then 1 else 0 end) over(partition by upper(contig) order by s,e rows between unbounded preceding and current row) grp
  from (select *, max(e) over(partition by upper(contig) order by s,e rows between unbounded preceding and 1 preceding) pm
   from (select case when s % 2 = 0 then upper(contig) else contig end as contig, s, e from covered join contigs on contigs.ref_idx = covered.ref_idx) i) g) h
@@ -146,15 +164,24 @@ select ref_idx, min(s) as s, max(e) as e, cast(sum(n) as bigint) as support from
 group by ref_idx, grp""",
     "recal_table": "select q, cyc, n, err, eq from recal",
     "recal_apply": """
-select ok, ln, pk, sk, cast(sum(coalesce(eq, bases.q)) as bigint) as new_q
-from bases left join recal on recal.q = bases.q and recal.cyc = bases.cyc group by ok, ln, pk, sk""",
+select ok, ln, pk, sk, string_agg(cast(coalesce(eq, bases.q) as varchar), ',' order by p) as quals, cast(sum(coalesce(eq, bases.q)) as bigint) as new_q
+from bases left join recal on recal.q = bases.q and recal.cyc = bases.cyc group by rid, ok, ln, pk, sk""",
+    "aligned_bases": """
+select ref_idx, cyc, context, cast(count(*) as bigint) as n, cast(count(*) filter (mm) as bigint) as err, cast(sum(q) as bigint) as sum_q,
+ cast(sum(p) as bigint) as sum_p, cast(count(*) filter (b = 'A') as bigint) as n_a
+from (select l.*, cast((case when neg then 50 - o else o + 1 end) * (case when second then -1 else 1 end) as int) as cyc,
+ case when neg then translate(lead(b) over along, 'ACGT', 'TGCA') || translate(b, 'ACGT', 'TGCA') else lag(b) over along || b end as context
+ from letters l window along as (partition by rid order by o)) x
+where not exists (select 1 from known k where k.ref_idx = x.ref_idx and k.p = x.p) group by ref_idx, cyc, context""",
+    "pileup_alleles": "select ref_idx, cast(p as int) as p, ref, alt, dp, ad, qual_milli from alleles",
     "pileup": "select ref_idx, p, dp, ad, qual_milli from pile",
     "called_variants": "select ref_idx, p, dp, ad, qual_milli from pile where qual_milli >= 30000",
     "variants_per_region": """
 select region, cast(count(*) as bigint) as n from pile join regions on regions.ref_idx = pile.ref_idx where qual_milli >= 30000 group by region""",
     "variants_sorted": f"""
-select contig, p, cast(row_number() over(order by {_CONTIG_KEY}, p) as bigint) as rn
-from pile join contigs on contigs.ref_idx = pile.ref_idx where qual_milli >= 30000""",
+select contig, cast(p as int) as pos, ref, alt, concat('DP=', dp, ';AD=', ad) as info,
+ cast(row_number() over(order by {_CONTIG_KEY}, contig, p, alt) as bigint) as rn
+from alleles join contigs on contigs.ref_idx = alleles.ref_idx where qual_milli >= 30000""",
     "concordance": """
 select cast(count(*) as bigint) as total, cast(count(m.c) as bigint) as matches, cast(count(*) - count(m.c) as bigint) as diff
 from (select distinct c,p,r,v from truth) a left join (select distinct c,p,r,v from calls) m
@@ -167,10 +194,16 @@ select item_id, doc_id, diag, votes
 from (select *, row_number() over(partition by item_id order by votes desc, doc_id, diag) rk from votes) x where rk = 1""",
     "contig_dict": "select ref_idx, contig, length from contigs",
     "sam_scan": """
-select concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) as qname,
- cast((case when reads.ref_idx < 0 then 4 else 0 end) + (case when neg then 16 else 0 end) as int) as flag,
- coalesce(contigs.ref_idx, -1) as ref_idx, pos, mapq, cigar, concat('RG:Z:', chunk) as tag, true as whole
-from reads left join contigs on contigs.ref_idx = reads.ref_idx""",
+select case when ok then id end as qname, case when ok then cast(f as int) end as flag, case when ok then coalesce(i, -1) else -1 end as ref_idx,
+ case when ok then pos end as pos, case when ok then mapq end as mapq, case when ok then cigar end as cigar, case when ok then s end as seq,
+ case when ok then cast(20*(20-length(replace(ql,'5',''))) + 32*(20-length(replace(ql,'A',''))) + 40*(20-length(replace(ql,'I',''))) as int) end as sum_q,
+ case when ok then concat('RG:Z:', chunk) end as tag, ok as whole,
+ case when not ok then concat_ws(chr(9), id, case when l_orderkey % 11 = 0 then 'x' else f end, case when l_orderkey % 13 <> 0 then
+  concat_ws(chr(9), coalesce(contig,'*'), cast(pos as varchar), cast(mapq as varchar), cigar, '*', '0', '0', s, ql) end, concat('RG:Z:', chunk), 'NM:i:0') end as corrupt
+from (select reads.*, contigs.contig, contigs.ref_idx as i, concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) as id,
+ l_orderkey % 11 <> 0 and l_orderkey % 13 <> 0 as ok, cast((case when reads.ref_idx < 0 then 4 else 0 end) + (case when neg then 16 else 0 end) as varchar) as f,
+ translate(to_base(l_partkey, 4, 20), '0123', 'ACGT') as s, translate(to_base(l_orderkey, 4, 20), '0123', '!5AI') as ql
+ from reads left join contigs on contigs.ref_idx = reads.ref_idx)""",
     "fastq_scan": """
 select concat(id, '/', mate) as name, cast(mate as int) as mate, case mate when 1 then seq else reverse(seq) end as seq, repeat('@', 20) as qual
 from (select concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) as id,

@@ -97,6 +97,51 @@ def bases(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> D
     )
 
 
+def _letter(p: str) -> str:
+    return f"({p} * {p} + {p} div 3 + ref_idx)"
+
+
+def base_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sequenced`` with the cycles and qualities of ``bases`` as arrays along the read."""
+    return sequenced(spark, sf_dir).selectExpr(
+        *READ_IDS,
+        f"transform(sequence(0, {READ_LENGTH - 1}), o -> cast((ok + ln + o) % 8 as int)) as cycles",
+        f"transform(sequence(0, {READ_LENGTH - 1}), o -> cast(20 + (ok + o) % 20 as int)) as quals",
+    )
+
+
+def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contigs of 3,049 bases in chunks of 700 that overlap by 100."""
+    base = f"substring('ACGT', cast({_letter('p')} % 4 as int) + 1, 1)"
+    return (
+        contigs(spark, sf_dir)
+        .selectExpr("ref_idx", "explode(sequence(1, 3049, 700)) as chunk_start")
+        .selectExpr(
+            "ref_idx",
+            "chunk_start",
+            f"array_join(transform(sequence(chunk_start, least(chunk_start + 799, 3049)), p -> {base}), '') as bases",
+        )
+    )
+
+
+def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sequenced`` with bases and qualities; about half the reads differ at every 151st position, 1 % elsewhere."""
+    differs = "(ok * 31 + sk * 7 + o) % 97 = 0 or ((pos + o) % 151 = 0 and (ok + pk) % 2 = 0)"
+    number = f"{_letter('(pos + o)')} + case when {differs} then 1 + (ok + o) % 3 else 0 end"
+    along = f"sequence(0, {READ_LENGTH - 1})"
+    shown = f"substring('ACGT', cast(({number}) % 4 as int) + 1, 1)"
+    return sequenced(spark, sf_dir).selectExpr(
+        *READ_IDS,
+        "ref_idx",
+        "pos",
+        f"'{READ_LENGTH}M' as cigar",
+        "sk % 2 = 0 as neg",
+        "ln % 2 = 0 as second",
+        f"array_join(transform({along}, o -> {shown}), '') as seq",
+        f"transform({along}, o -> cast(20 + (ok + o) % 20 as int)) as quals",
+    )
+
+
 def known(spark: SparkSession, sf_dir: str) -> DataFrame:
     sites = table(spark, sf_dir, "lineitem").selectExpr(
         "cast(1 + l_partkey % 24 as int) as ref_idx", "cast(151 * (l_partkey % 20) as int) as p"

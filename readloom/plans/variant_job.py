@@ -1,8 +1,8 @@
 """From alignments to calls, as one chain of operators.
 
-Three tables are written on the way, where the data is needed more than once:
-the cleaned reads, the covered targets and the recalibration table. Everything
-else is planned by Spark as it stands.
+Tables are written on the way where the data is needed more than once: the
+placed and the cleaned reads, regions, covered targets, the reads that serve as
+evidence and the recalibration table. Everything else is planned by Spark as it stands.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from readloom.sources.text import read_vcf
 READ_ID = "read_no"
 SECOND_OF_PAIR = 0x80
 MATE_REVERSE = 0x20
+# Secondary and supplementary alignments and reads that failed quality control.
+SET_ASIDE = 0x100 | 0x800 | 0x200
 
 
 @dataclass
@@ -33,6 +35,9 @@ class Calls:
     indel_targets: DataFrame
     recal_table: DataFrame
     variants: DataFrame
+    region_reads: DataFrame
+    region_variants: DataFrame
+    left_out: DataFrame
 
 
 def call_variants(
@@ -46,13 +51,16 @@ def call_variants(
     pad: int = intervals.INDEL_PAD,
     min_qual: float = calling.MIN_QUAL,
     covariates=recal.COVARIATES,
+    set_aside: int = SET_ASIDE,
     **read_group: str,
 ) -> Calls:
     """Regions, cleaning, duplicates, covered targets, recalibration, pileup and calls.
 
     ``alignments`` as from ``read_sam``; ``ref_chunks`` with ``contig`` from
-    ``read_fasta`` at the width of ``recal.BASE_BITS``; ``known_sites`` and
-    ``targets`` with ``contig``, as from ``read_vcf`` and ``read_bed``.
+    ``read_fasta``, of any width; ``known_sites`` and
+    ``targets`` with ``contig``, as from ``read_vcf`` and ``read_bed``. Reads with a flag
+    of ``set_aside`` stay in the output, but are neither evidence nor anyone's duplicate, so a
+    fragment counts once; 0 lets them all count. ``covariates`` may name read-group columns too.
     """
     index = contigs.select("contig", "ref_idx")
     flags = {
@@ -71,14 +79,17 @@ def call_variants(
     scored = cleaned.withColumn(
         "score", F.coalesce(F.aggregate("quals", F.lit(0), lambda acc, q: acc + q), F.lit(0))
     )
+    aside = F.col("flag").bitwiseAND(set_aside) != 0
     marked = duplicates.mark_duplicates(
-        scored, [READ_ID], "score", "neg", mate=["mate_contig", "mate_pos", "mate_neg"], within=["region"]
-    )
+        scored.withColumn("_aside", aside),
+        [READ_ID], "score", "neg", mate=["mate_contig", "mate_pos", "mate_neg"], within=["region", "_aside"],
+    )
+    marked = marked.withColumn("is_dup", F.col("is_dup") & ~F.col("_aside")).drop("_aside")
     reads = stage(regions.region_partitions(R.with_read_group(marked, **read_group), [READ_ID]), "reads")
 
     indexed_targets = targets.join(index, "contig")
     # Reads that start past their contig stay in the output but are no evidence.
-    mapped = reads.where(F.col("flag").bitwiseAND(R.UNMAPPED) == 0)
+    mapped = reads.where(F.col("flag").bitwiseAND(R.UNMAPPED | set_aside) == 0)
     covered = intervals.half_open(intervals.merge_reads(mapped, gap))
     bed = stage(intervals.intersect_intervals(indexed_targets, covered), "targets")
     inside = intervals.restrict_reads(mapped, bed)
@@ -91,13 +102,15 @@ def call_variants(
 
     chunks = ref_chunks.join(index, "contig").select("ref_idx", "chunk_start", "bases")
     sites = known_sites.join(index, "contig").select("ref_idx", F.col("pos").alias("p"))
-    table = stage(recal.recal_table(recal.read_bases(usable, chunks, [READ_ID], sites), covariates), "recal")
-    bases = recal.recalibrated(recal.read_bases(usable, chunks, [READ_ID]), table, covariates)
-    pile = calling.pileup_alleles(bases.drop("q").withColumnRenamed("new_q", "q"))
+    carried = [READ_ID, *[c for c in covariates if c in R.READ_GROUP]]
+    table = stage(recal.recal_table(recal.read_bases(usable, chunks, carried, sites), covariates), "recal")
+    improved = recal.recalibrate_reads(usable, table, recal.read_values(covariates), [READ_ID])
+    pile = calling.pileup_alleles(recal.read_bases(improved, chunks, [READ_ID]))
     called = calling.call_sites(pile, min_qual)
     points = called.withColumn("start0", F.col("p") - 1).withColumn("end0", F.col("p"))
     in_targets = intervals.restrict(points, bed).drop("start0", "end0")
     named = R.with_contig(regions.assign_regions(in_targets, contig_region), contigs)
+    records = calling.vcf_records(named)
     return Calls(
         contig_region=contig_region,
         reads=reads,
@@ -105,7 +118,10 @@ def call_variants(
         intervals=bed,
         indel_targets=indel_targets,
         recal_table=table,
-        variants=calling.vcf_records(named),
+        variants=records,
+        region_reads=R.stage_counts(reads, "region"),
+        region_variants=R.stage_counts(records, "region"),
+        left_out=recal.left_out(usable, chunks),
     )
 
 
@@ -117,9 +133,10 @@ def _restrict_spans(spots: DataFrame, bed: DataFrame) -> DataFrame:
 def place_and_call(fastq: DataFrame, ref_chunks: DataFrame, contigs: DataFrame, **options) -> Calls:
     """``call_variants`` on reads that ``place_reads`` has placed by seeds.
 
-    The chunks overlap by ``seeding.K - 1`` bases, as the seeds need.
+    The chunks overlap by ``seeding.K - 1`` bases or more, as the seeds need. The reads are
+    staged, so compressed files are unpacked once.
     """
-    placed = seeding.place_reads(fastq, ref_chunks, contigs, ["chunk", "pair_id", "mate"])
+    placed = seeding.place_reads(stage(fastq, "fastq"), ref_chunks, contigs, ["chunk", "pair_id", "mate"])
     return call_variants(seeding.as_alignments(placed, contigs), contigs, ref_chunks, **options)
 
 

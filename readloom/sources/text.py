@@ -43,10 +43,11 @@ def read_sam(spark: SparkSession, path: str | list[str], contigs: DataFrame | No
     A line with too few fields or a number that does not parse keeps the scan
     going: its text is in ``_corrupt`` and its other columns are NULL. With the
     dictionary ``contigs`` the rows carry ``ref_idx``, -1 where the contig is
-    unknown or ``*``.
+    unknown or ``*``. ``chunk`` is the file's name up to its first dot.
     """
     lines = spark.read.text(path).where(~F.startswith("value", F.lit("@")) & (F.col("value") != ""))
-    parts = lines.select("value", F.split("value", "\t").alias("_p"))
+    stem = F.regexp_extract("_metadata.file_name", r"^[^.]*", 0)
+    parts = lines.select("value", F.split("value", "\t").alias("_p"), stem.alias("chunk"))
     names = {
         "qname": 1, "flag": 2, "contig": 3, "pos": 4, "mapq": 5, "cigar": 6,
         "mate_contig": 7, "mate_pos": 8, "tlen": 9, "seq": 10, "qual": 11,
@@ -55,6 +56,7 @@ def read_sam(spark: SparkSession, path: str | list[str], contigs: DataFrame | No
     raw = parts.select(
         "value",
         "_p",
+        "chunk",
         *[
             (_field("_p", i).try_cast("int") if name in numbers else _field("_p", i)).alias(name)
             for name, i in names.items()
@@ -67,6 +69,7 @@ def read_sam(spark: SparkSession, path: str | list[str], contigs: DataFrame | No
     read = raw.select(
         *[F.when(good, F.col(name)).alias(name) for name in names],
         F.when(good, tags).alias("tags"),
+        "chunk",
         F.when(~good, F.col("value")).alias("_corrupt"),
     ).withColumn("quals", decode_phred("qual"))
     if contigs is None:

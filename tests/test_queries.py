@@ -18,7 +18,7 @@ SURVEY_KEYS = """
 placed_reads alignment_end contig_sort_key contig_counts region_assignment region_load read_region sorted_alignments
 chunk_counts chunk_union covered_intervals bed_lines region_strings interval_span interval_label merged_ranges
 interval_intersect restrict_to_targets clean_clip read_groups quality_encoding quality_fix mark_duplicates dup_metrics
-indel_loci indel_targets recal_table recal_apply pileup called_variants variants_per_region variants_sorted concordance
+dup_counts indel_loci indel_targets recal_table recal_apply aligned_bases pileup_alleles pileup called_variants variants_per_region variants_sorted concordance
 matched_variants missed_variants seed_votes seed_best fastq_scan sam_scan contig_dict bed_scan vcf_scan fasta_scan
 """.split()
 

@@ -209,3 +209,17 @@ def test_first_read_decides_for_its_region(frame):
     }
     with pytest.raises(Exception, match="Phred 33 quality : -1"):
         quality.rebase_region(df, ["id"], strict=True).collect()
+
+
+def test_packed_rank_is_hash_aggregated_and_keeps_the_order(frame):
+    from readloom.operators import duplicates as D
+
+    reads = frame(
+        [(1, 50, None), (2, 50, 7), (-3, 50, 9), (4, 50, 9), (5, 80, None), (-6, 80, None), (9_000_000_000, 90, -(2**31)), (8, 90, None)],
+        "id long, pos int, mapq int",
+    ).selectExpr("id", "1 as ref_idx", "pos", "'10M' as cigar", "false as neg", "mapq")
+    found = D.mark_duplicates(reads, ["id"])
+    assert rows(found.where("not is_dup").select("id")) == [(-6,), (-3,), (9_000_000_000,)]
+    as_struct = D.mark_duplicates(reads.withColumn("two", F.lit(0)), ["id", "two"])
+    assert rows(as_struct.select("id", "is_dup")) == rows(found.select("id", "is_dup"))
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()

@@ -40,6 +40,6 @@ def test_own_folder_only_in_local_mode_and_only_where_none_is_set():
 
 def test_spread_only_small_scans(spark):
     cores = spark.sparkContext.defaultParallelism
-    small, large = spark.range(0, 10, 1, 1), spark.range(0, 10, 1, cores)
+    small = spark.range(0, 10, 1, 1)
     assert spread(small).rdd.getNumPartitions() == cores and rows(spread(small)) == rows(small)
-    assert spread(large) is large
+    assert spread(small, limit=10) is small
