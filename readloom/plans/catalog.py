@@ -265,8 +265,10 @@ def variants_per_region(spark, sf):
 
 @query
 def variants_sorted(spark, sf):
-    called = calling.call_sites(_alleles(spark, sf))
-    records = calling.vcf_records(R.with_contig(called, T.contigs(spark, sf)))
+    lettered = _calls(spark, sf).selectExpr(
+        "*", "substring('ACGT', cast(p % 4 as int) + 1, 1) as ref", "substring('CGTA', cast(p % 4 as int) + 1, 1) as alt"
+    )
+    records = calling.vcf_records(R.with_contig(lettered, T.contigs(spark, sf)))
     sources.write_vcf(records, path := staging_path(spark, "calls"))
     keyed = variants.with_contig_key(sources.read_vcf(spark, path))
     last = keyed.withColumn("last", F.col("contig_key").isNull())

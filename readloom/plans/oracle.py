@@ -179,9 +179,9 @@ where not exists (select 1 from known k where k.ref_idx = x.ref_idx and k.p = x.
     "variants_per_region": """
 select region, cast(count(*) as bigint) as n from pile join regions on regions.ref_idx = pile.ref_idx where qual_milli >= 30000 group by region""",
     "variants_sorted": f"""
-select contig, cast(p as int) as pos, ref, alt, concat('DP=', dp, ';AD=', ad) as info,
- cast(row_number() over(order by {_CONTIG_KEY}, contig, p, alt) as bigint) as rn
-from alleles join contigs on contigs.ref_idx = alleles.ref_idx where qual_milli >= 30000""",
+select contig, p as pos, substring('ACGT', cast(p % 4 as int) + 1, 1) as ref, substring('CGTA', cast(p % 4 as int) + 1, 1) as alt,
+ concat('DP=', dp, ';AD=', ad) as info, cast(row_number() over(order by {_CONTIG_KEY}, contig, p) as bigint) as rn
+from pile join contigs on contigs.ref_idx = pile.ref_idx where qual_milli >= 30000""",
     "concordance": """
 select cast(count(*) as bigint) as total, cast(count(m.c) as bigint) as matches, cast(count(*) - count(m.c) as bigint) as diff
 from (select distinct c,p,r,v from truth) a left join (select distinct c,p,r,v from calls) m

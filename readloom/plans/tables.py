@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from readloom.operators import reads as R
 from readloom.operators import recal
 from readloom.operators.partitions import spread
+from readloom.operators.staging import stage
 
 IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 READ_IDS = ["ok", "ln", "pk", "sk"]
@@ -125,12 +126,12 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``sequenced`` with bases and qualities; about half the reads differ at every 151st position, 1 % elsewhere."""
+    """``sequenced`` with bases and qualities, written as an aligner would; about half the reads differ at every 151st position, 1 % elsewhere."""
     differs = "(ok * 31 + sk * 7 + o) % 97 = 0 or ((pos + o) % 151 = 0 and (ok + pk) % 2 = 0)"
     number = f"{_letter('(pos + o)')} + case when {differs} then 1 + (ok + o) % 3 else 0 end"
     along = f"sequence(0, {READ_LENGTH - 1})"
     shown = f"substring('ACGT', cast(({number}) % 4 as int) + 1, 1)"
-    return sequenced(spark, sf_dir).selectExpr(
+    rows = sequenced(spark, sf_dir).selectExpr(
         *READ_IDS,
         "ref_idx",
         "pos",
@@ -140,6 +141,7 @@ def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"array_join(transform({along}, o -> {shown}), '') as seq",
         f"transform({along}, o -> cast(20 + (ok + o) % 20 as int)) as quals",
     )
+    return stage(rows, "letters")
 
 
 def known(spark: SparkSession, sf_dir: str) -> DataFrame:
