@@ -22,6 +22,10 @@ SAMPLE_CHARS = 20_000
 EPOCHS = 4
 #: Share of correctly read calibration documents that the rejection may cost.
 REJECTED = 0.0005
+#: Hashed 4-byte subwords whose occurrence in the sample is remembered, one bit each.
+SEEN = 1 << 24
+#: Subwords that a text must have for half of its share of unseen ones to count.
+FEW = 16
 
 LETTER = regex.compile(r"\p{L}")
 #: Lower-case letters and every byte beyond ASCII stay; the rest separates words.
@@ -42,15 +46,31 @@ def subwords(text: str) -> np.ndarray:
     return np.concatenate(rows)
 
 
+def quads(text: str) -> np.ndarray:
+    """Bits of ``SEEN``, one per 4-byte subword of the whole text."""
+    plain = b" ".join((b" " + text.encode("utf-8") + b" ").translate(PLAIN).split())
+    codes = np.frombuffer(b" " + plain + b" ", np.uint8).astype(np.uint32)
+    n = max(len(codes) - 3, 0)
+    code = codes[:n].copy()
+    for k in (1, 2, 3):
+        code |= codes[k : n + k] << np.uint32(8 * k)
+    return (code * np.uint32(2654435761)) >> np.uint32(32 - SEEN.bit_length() + 1)
+
+
 @dataclass
 class Model:
-    """``table`` is embedding times softmax weights, so a text's logits are the mean of its subwords' rows."""
+    """``table`` is embedding times softmax weights, so a text's logits are the mean of its subwords' rows.
+
+    ``seen`` holds a bit per hashed 4-byte subword of the sample.
+    """
 
     langs: list[str]
     table: np.ndarray
     bias: np.ndarray
     heat: float
     reject_below: float
+    seen: np.ndarray
+    novel_above: float
 
     def logits(self, text: str) -> np.ndarray:
         total = np.zeros(len(self.langs))
@@ -66,6 +86,15 @@ class Model:
         best = int(p.argmax())
         return self.langs[best], float(p[best])
 
+    def novelty(self, text: str) -> float:
+        """Share of 4-byte subwords that the sample never shows; a text of few subwords counts less."""
+        at = quads(text)
+        known = self.seen[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8) & 1
+        return float((len(at) - int(known.sum())) / (len(at) + FEW))
+
+    def rejects(self, text: str | None, lang: str, score: float) -> bool:
+        return lang == UNDETERMINED or score < self.reject_below or self.novelty(text) > self.novel_above
+
 
 def softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=-1, keepdims=True))
@@ -73,13 +102,18 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(texts: list[str], labels: list[str], seed: int = 0) -> Model:
-    """SGD over single documents; every fifth calibrates the temperature and the rejection threshold."""
+    """SGD over single documents; every fifth calibrates the temperature and the lowest score.
+
+    The highest share of unseen subwords comes from all documents, each held
+    against the others. Fewer than 20 documents can't tell new words from another
+    language, so that nothing is rejected for its words.
+    """
     langs = sorted(set(labels))
     rng = np.random.default_rng(seed)
     embedding = rng.normal(0, 0.1, (len(SIZES) * BUCKETS, DIM)).astype(np.float32)
     weights, bias = np.zeros((DIM, len(langs)), np.float32), np.zeros(len(langs), np.float32)
     if not langs:
-        return Model([], embedding @ weights, bias, 1.0, 0.0)
+        return Model([], embedding @ weights, bias, 1.0, 0.0, np.zeros(SEEN // 8, np.uint8), 1.0)
     y = np.array([langs.index(x) for x in labels])
     bags = []
     for text in texts:
@@ -105,8 +139,24 @@ def train(texts: list[str], labels: list[str], seed: int = 0) -> Model:
     heat = float(min(np.geomspace(0.05, 5, 41), key=loss))
     p = softmax(logits / heat)
     right = p.max(axis=1)[p.argmax(axis=1) == y[tuned]]
-    below = float(min(np.quantile(right, REJECTED), 1.5 / len(langs)) / 2) if len(right) and len(langs) > 1 else 0.0
-    return Model(langs, table, bias.astype(np.float64), heat, below)
+    # Half of the way from chance, 1 / languages, to the lowest right score: small samples don't show the lowest one.
+    below = float(np.quantile(right, REJECTED) + 1 / len(langs)) / 2 if len(right) and len(langs) > 1 else 0.0
+    seen, limit = words_seen(texts)
+    return Model(langs, table, bias.astype(np.float64), heat, below, seen, limit if len(texts) >= 20 else 1.0)
+
+
+def words_seen(texts: list[str]) -> tuple[np.ndarray, float]:
+    """``seen`` and ``novel_above`` of a model: subwords of a text that no other text has are new to it."""
+    texts_with = np.zeros(SEEN, np.uint8)
+    for text in texts:
+        own = np.unique(quads(text))
+        texts_with[own] = np.minimum(texts_with[own], 1) + 1
+    new = []
+    for text in texts:
+        at = quads(text)
+        new.append(int((texts_with[at] < 2).sum()) / (len(at) + FEW))
+    usual = float(np.quantile(new, 1 - REJECTED))
+    return np.packbits(texts_with > 0, bitorder="little"), usual + (1 - usual) / 8
 
 
 def fit(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG, max_chars: int = SAMPLE_CHARS) -> Model:
@@ -132,8 +182,10 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFr
     """``keep`` columns with ``lang_pred``, ``score`` and ``rejected`` for every row, from whole texts.
 
     Null texts and texts without a letter are ``und``, score 0, and rejected; others
-    are rejected if their score is below the calibrated threshold. The model has a
-    fixed size (``BUCKETS`` rows per subword size), which bounds what tasks receive.
+    are rejected if their score is below the calibrated threshold, or their share of
+    unseen subwords above the calibrated one: the score only tells the trained languages
+    from each other. The model has a fixed size (``BUCKETS`` rows per subword size, ``SEEN``
+    bits), which bounds what tasks receive.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -142,7 +194,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFr
 
         def run(texts):
             langs, scores = zip(*map(model.predict, texts), strict=True)
-            return [langs, scores, [x == UNDETERMINED or s < model.reject_below for x, s in zip(langs, scores, strict=True)]]
+            return [langs, scores, list(map(model.rejects, texts, langs, scores))]
 
         return run
 

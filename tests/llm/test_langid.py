@@ -1,3 +1,7 @@
+import base64
+
+import numpy as np
+
 from readloom.llm import langid
 from readloom.llm.queries import op7_language_id
 
@@ -39,3 +43,23 @@ def test_one_language(odd_documents):
 def test_subwords_read_the_whole_text():
     assert len(langid.subwords("ab " * 50_000)) > 3 * 100_000
     assert langid.subwords("").size >= 1
+
+
+def test_foreign_text_is_rejected_and_clean_text_stays(spark, frame):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit_on_fold(docs)
+    russian = "Все люди рождаются свободными и равными в своем достоинстве и правах."
+    noise = np.random.default_rng(0).bytes(200)
+    texts = [
+        russian,
+        russian.encode().decode("latin-1"),
+        "すべての人間は、生まれながらにして自由であり、",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        noise.hex(),
+        base64.b64encode(noise).decode(),
+    ]
+    got = langid.predict(frame(list(enumerate(texts)), "doc_id int, text string"), model, ("doc_id",)).collect()
+    assert all(r["rejected"] and r["lang_pred"] != "und" for r in got)
+    held = docs.where((langid.remainder(4) == 2) & docs["text"].rlike(r"\p{L}"))
+    rows = langid.predict(held, model, ("doc_id",)).collect()
+    assert sum(r["rejected"] for r in rows) <= 0.005 * len(rows)
