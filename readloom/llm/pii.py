@@ -16,7 +16,33 @@ EMAIL = (
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: Countries by the length of their account numbers (ISO 13616 register).
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+# A country fixes where its number ends, so what follows is left out; where that is no end, all that follows is taken.
+IBAN_ENDS = [rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}+" for n, codes in IBAN_LENGTHS.items()]
+IBAN_OTHER = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+"
+IBAN = (
+    rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:(?:{'|'.join(IBAN_ENDS)})(?![A-Za-z0-9])|{IBAN_OTHER}(?![A-Za-z0-9]))"
+)
 
 #: Kinds in the order of the results.
 KINDS = ("email", "ip", "card", "phone", "iban")
@@ -97,7 +123,8 @@ def find(docs: DataFrame) -> DataFrame:
     ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+``; ip: four runs of digits
     with dots, each at most 255; card: 16 to 19 digits, single blanks or hyphens
     between, passing Luhn; phone: ``+`` and 8 to 15 digits among blanks, brackets,
-    dots and hyphens; iban: 15 to 34 letters and digits passing mod-97. What a
+    dots and hyphens; iban: as many letters and digits as the country's numbers have
+    (all that follow, 15 to 34, where the number does not end there), single blanks between, passing mod-97. What a
     validator fails is dropped and not tried again. Offsets are code points, ``stop``
     is exclusive. The score starts from the kind and moves with words within 48
     characters; it never removes a span. A null text is an empty one and has no

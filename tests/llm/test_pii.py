@@ -90,3 +90,15 @@ def test_overlaps_become_one(frame):
     docs = pii.find(frame([(1, "+411111111111 x 4111111111111111@b.cd! +4111 1111 1111 1111")], "doc_id int, text string"))
     assert {s["kind"] for s in docs.first()["pii"]} == {"phone", "email", "card"}
     assert pii.redact(docs).first()["text"] == "<PHONE> x <EMAIL>! +<CARD>"
+
+
+def test_account_numbers_end_where_their_country_says(frame):
+    account, spaced = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    after = [" Please pay", " BIC ABCDEF", " I say", " 2024 was", " 17", "", ", Thanks", " GB82WEST12345698765432 OK"]
+    texts = [a + b for a in (account, spaced) for b in after]
+    got = {r["doc_id"]: r["pii"] for r in pii.find(frame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    for i, t in enumerate(texts):
+        spans = [t[s["start"] : s["stop"]] for s in got[i] if s["kind"] == "iban"]
+        assert spans == [t[: len(t) - len(after[i % 8])], *["GB82WEST12345698765432"] * (i % 8 == 7)], t
+    no = ["DE89370400440532013000X", "xDE89370400440532013000", "DE8937040044053201300"]
+    assert all(not [s for s in r["pii"] if s["kind"] == "iban"] for r in pii.find(frame(list(enumerate(no)), "doc_id int, text string")).collect())
