@@ -74,3 +74,15 @@ def test_graph_recall():
     best = np.argsort(-(x[:200] @ x.T), axis=1)[:, :5]
     hits = [len(set(graph.order[f].tolist()) & set(b.tolist())) for f, b in zip(found, best, strict=True)]
     assert np.mean(hits) / 5 >= 0.85
+
+
+def test_rare_links_between_shards_are_found(monkeypatch):
+    monkeypatch.setattr(hnsw, "BEAM", 2)  # Too narrow, so the audit has to widen it.
+    rng = np.random.default_rng(9)
+    x, q = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.normal(size=(2, 1500, 256)))
+    # No query that the audit draws has a link: every tenth other one is near a node.
+    drawn = set(np.linspace(0, len(q) - 1, hnsw.AUDIT).astype(int).tolist())
+    at = np.array([i for i in range(0, len(q), 10) if i not in drawn])
+    q[at] = hnsw.planted(x[at], 0.981)
+    u, v = hnsw.linked(x, np.arange(1500), q, np.arange(1500, 3000), 0.98)
+    assert len(u) >= 0.985 * len(at)
