@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import bpe, chat, ctw, hnsw, langid, mih, packing, pii, secrets, simhash
+from readloom.llm import bpe, chat, ctw, hnsw, k2treap, langid, merkle, mih, oracle, packing, pii, secrets, simhash, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +91,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit_on_fold(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    held_out = F.coalesce(langid.remainder(4) == 2, F.lit(False))
+    found = toxicity.predict(docs, model, ("doc_id",))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "spans")
+
+
+def op12_k2_treap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return k2treap.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_merkle_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(documents(spark, sf_dir))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing,
@@ -103,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_multi_index,
         op10_simhash,
+        op11_toxic_crf,
+        op12_k2_treap,
+        op13_merkle_versions,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_k2_treap": oracle.ranked_search(), "op13_merkle_versions": oracle.merkle()}
