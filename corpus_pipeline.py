@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import langid, nearcopies, packing, pii
+from readloom.llm import langid, packing, pii, simhash
 from readloom.operators.staging import staging_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,8 +24,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies: 5-word shingles, similarity 0.8 or more."""
-    return nearcopies.deduplicated(docs)
+    """Keep one document of each group whose fingerprints of 3-word shingles differ in 3 bits or less."""
+    return simhash.deduplicated(docs, shingle=3, max_bits=3)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("pack_windows", pack_windows),
 ]
 
-#: A trained classifier and hashed shingles decide which rows stay: SQL can't express them.
+#: A trained classifier and fingerprints decide which rows stay: SQL can't express them.
 ORACLE_SQL: str | None = None
 
 
