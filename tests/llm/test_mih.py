@@ -58,3 +58,30 @@ def test_odd_vectors(frame):
     assert mih.nearest(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") == 0).count() == 2
     assert mih.nearest(df.where("vec_id = 0"), F.col("vec_id") == 0).count() == 0
     assert mih.nearest(df.where("false"), F.col("vec_id") == 0).count() == 0
+
+
+def test_equal_vectors_tie_over_all_blocks(frame):
+    rng = np.random.default_rng(6)
+    groups = [[float(v) for v in rng.normal(size=64)] for _ in range(4)]
+    rows = [(int(i), groups[i % 4], 1, "a", "i", "r") for i in rng.permutation(400)]
+    rows += [(1000 + i, [float(v) for v in rng.normal(size=64)], 1, "a", "i", "r") for i in range(100)]
+    for block in (16, 64, 8192):
+        got = neighbours(mih.nearest(frame(rows, SCHEMA), F.col("vec_id") % 50 == 0, block=block))
+        for q in range(0, 400, 50):
+            assert got[q] == [i for i in range(q % 4, 28, 4) if i != q][:5]
+        scores = {r["score"] for r in mih.nearest(frame(rows, SCHEMA), F.col("vec_id") == 0, block=block).collect()}
+        assert len(scores) == 1 and abs(scores.pop() - 1) < 1e-12
+
+
+def test_every_length_answers(frame):
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(v) for v in rng.normal(size=16)]) for i in range(119)]
+    rows += [(200 + i, [float(v) for v in rng.normal(size=8)]) for i in range(60)] + [(500, [1.0, 2.0, 3.0]), (501, [1.0, 2.0, 3.0])]
+    for block in (32, 100, 8192):
+        got = neighbours(mih.nearest(frame([(*r, 1, "a", "i", "r") for r in rows], SCHEMA), F.col("vec_id") % 50 == 0, block=block))
+        assert set(got) == {0, 50, 100, 200, 250, 500} and got[500] == [501]
+        for low, high in ((0, 119), (200, 260)):
+            some = [r for r in rows if low <= r[0] < high]
+            ids, x = [r[0] for r in some], np.array([r[1] for r in some])
+            wanted = brute(ids, x, [i for i in ids if i % 50 == 0])
+            assert recall({q: got[q] for q in wanted}, wanted) >= (1 if block == 8192 else 0.8)
