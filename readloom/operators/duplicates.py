@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom.functions.cigar import five_prime
+from readloom.operators.staging import stage
 
 _MATE = ["_mate_contig", "_mate_pos", "_mate_reverse"]
 
@@ -108,3 +109,71 @@ def dup_metrics(marked: DataFrame, library: Sequence[str] = ()) -> DataFrame:
         F.count("*").alias("n"), F.count_if("is_dup").alias("dups")
     )
     return counted.withColumn("fraction", F.when(F.col("n") > 0, F.col("dups") / F.col("n")))
+
+
+def _end(contig: str, reverse: Column) -> Column:
+    """Contig, unclipped 5' position and strand of a read as one long; contigs up to 2 ** 27."""
+    five = five_prime("pos", "cigar", reverse).cast("bigint") + (1 << 33)
+    one = F.lit(1).cast("bigint")
+    return (F.col(contig) + one) * (1 << 35) + five * 2 + F.when(reverse, one).otherwise(one - 1)
+
+
+def mark_pair_duplicates(
+    reads: DataFrame,
+    read_id: str,
+    template: Sequence[str],
+    score: str = "score",
+    reverse: Column | str = "neg",
+    contig: str = "ref_idx",
+    within: Sequence[str] = (),
+) -> DataFrame:
+    """Flag ``is_dup`` on the reads of all but the best of each group of equal fragments.
+
+    Two reads of one ``template`` are a pair, whose key is both unclipped 5' ends: a clip at either end
+    splits no group. Of equal pairs the one with the highest sum of scores stays, then that with the smallest
+    ``read_id``; both of its ends stay, and both ends of the others are flagged. All other reads (one of its
+    template, or more than two, or of no template) are single: the best of an end stays, and all are flagged where a
+    pair has the same end. ``within`` names columns, such as a library, that keep fragments apart. ``read_id`` is
+    a whole number of its own for each read, ``score`` a whole number whose NULL is the lowest.
+
+    Keys are longs and ranks decimals, so every aggregation is one by hash with partial sums; an end that holds a
+    third of all reads never meets in a task. What the steps share is staged without sequences.
+    """
+    reverse = F.col(reverse) if isinstance(reverse, str) else reverse
+    own = {f"_t{i}": F.col(c) for i, c in enumerate(template)} | {f"_w{i}": F.col(c) for i, c in enumerate(within)}
+    apart = [f"_w{i}" for i in range(len(within))]
+    named = [f"_t{i}" for i in range(len(template))]
+    ends = reads.select(
+        F.col(read_id).cast("bigint").alias("_id"), F.col(score).cast("int").alias("_score"), _end(contig, reverse).alias("_end"),
+        *[column.alias(name) for name, column in own.items()],
+    )
+    ends = stage(ends, "ends")
+    whole = F.lit(True)
+    for c in named:
+        whole = whole & F.col(c).isNotNull()
+    pairs = ends.where(whole).groupBy(*named, *apart).agg(
+        F.count("*").alias("_n"), F.min("_end").alias("_low"), F.max("_end").alias("_high"),
+        F.sum(F.coalesce("_score", F.lit(-1))).cast("int").alias("_score"), F.min("_id").alias("_first"),
+    )
+    pairs = pairs.where(F.col("_n") == 2).withColumn("_rank", _packed(F.col("_score"), F.col("_first")))
+    pairs = stage(pairs.select(*named, *apart, "_low", "_high", "_rank"), "pairs")
+    best = pairs.groupBy("_low", "_high", *apart).agg(F.min("_rank").alias("_best"))
+    judged = _joined(pairs, best, ["_low", "_high", *apart]).select(*named, *apart, (F.col("_rank") != F.col("_best")).alias("_pair_dup"))
+    found = stage(_joined(ends, judged, [*named, *apart], "left"), "judged")
+    single = F.col("_pair_dup").isNull()
+    rank = _packed(F.col("_score"), F.col("_id"))
+    groups = found.groupBy("_end", *apart).agg(
+        F.min(F.when(single, rank)).alias("_best"), F.count_if(~single).alias("_pairs")
+    )
+    lost = (F.col("_pairs") > 0) | (rank != F.col("_best"))
+    flags = _joined(found, groups, ["_end", *apart]).select("_id", F.coalesce("_pair_dup", lost).alias("is_dup"))
+    return reads.join(flags, F.col(read_id) == F.col("_id")).drop("_id")
+
+
+def _joined(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on columns of the same names, in which NULL equals NULL."""
+    named = right.select(*[F.col(c).alias(f"_r{c}") if c in on else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"_r{c}"))
+    return left.join(named, same, how).drop(*[f"_r{c}" for c in on])

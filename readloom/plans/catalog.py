@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from readloom import sources
 from readloom.functions import contig_key, guess_encoding
-from readloom.operators import calling, duplicates, intervals, ordering, quality, recal, regions, seeding, variants
+from readloom.operators import calling, duplicates, intervals, ordering, pairing, quality, recal, regions, seeding, variants
 from readloom.operators import reads as R
 from readloom.operators.partitions import spread
 from readloom.operators.staging import stage, staging_path
@@ -307,6 +307,34 @@ def seed_best(spark, sf):
     return seeding.best_placement(_votes(spark, sf), "item_id", "doc_id")
 
 
+def _part_reference(spark, sf):
+    return stage(T.part_reference(spark, sf), "part_reference"), T.part_contigs(spark, sf)
+
+
+@query
+def placed_singly(spark, sf):
+    chunks, contigs = _part_reference(spark, sf)
+    placed = seeding.place_reads(T.read_pairs(spark, sf), chunks, contigs, [*T.TEMPLATE, "mate"])
+    return placed.select(*T.TEMPLATE, "mate", "ref_idx", "pos", "flag", "cigar", "votes")
+
+
+@query
+def placed_pairs(spark, sf):
+    chunks, contigs = _part_reference(spark, sf)
+    placed = pairing.place_pairs(T.read_pairs(spark, sf), chunks, contigs, T.TEMPLATE)
+    return placed.select(
+        *T.TEMPLATE, "mate", "ref_idx", "pos", "flag", "mapq", "cigar", "mate_ref", "mate_pos", "tlen", "votes"
+    )
+
+
+@query
+def pair_duplicates(spark, sf):
+    reads = R.placed(T.dense(spark, sf)).withColumn("fragment", F.expr("(l_linenumber - 1) div 2"))
+    numbered = ordering.ranked(reads, IDS, name="read_no")
+    marked = duplicates.mark_pair_duplicates(numbered, "read_no", ["l_orderkey", "fragment"], "mapq")
+    return marked.select(*IDS, "is_dup")
+
+
 # Scans: the tables are written in each format and read back ---------------------
 
 

@@ -23,6 +23,21 @@ from (select {id}, w, part, unnest(generate_series(1, greatest(length(part)-23,
   from (select {id}, text, unnest(generate_series(0, (greatest(length(text)-23, 1)-1)//512)) as w from {table})))
 """
 
+_ACGT = "'0123456789abcdef', 'ACGTACGTACGTACGT'"
+
+
+def _part_text(part: str) -> str:
+    key = f"cast(case when ({part}) // 24 % 10 = 5 then ({part}) - 120 else {part} end as varchar)"
+    return f"translate(concat(sha256({key}), sha256(concat({key}, 'x'))), {_ACGT})"
+
+
+_PAIR = "ok, ln, pk, sk"
+_WORN = ", ".join(f"substring(s, {13 * i + 1}, 12), translate(substring(s, {13 * i + 13}, 1), 'ACGT', 'CGTA')" for i in range(5))
+_FLIP = "reverse(translate({}, 'ACGT', 'TGCA'))"
+# Bases from the forward to the reverse end of places a and b.
+_FRAGMENT = """case when a.neg <> b.neg and a.ref_idx = b.ref_idx then
+ case when a.neg then case when b.loc <= a.loc then a.loc + 64 - b.loc end else case when a.loc <= b.loc then b.loc + 64 - a.loc end end end"""
+
 # In order: a view uses only views above it.
 VIEWS = {
     "reads": f"""
@@ -97,6 +112,88 @@ select item_id, doc_id, cast(target_kmers.i-read_seeds.i as bigint) as diag, cas
 from read_seeds join target_kmers on read_seeds.k=target_kmers.k group by 1,2,3 having count(*) >= 3""",
 }
 
+VIEWS |= {
+    # Contig, unclipped 5' position and strand in one number.
+    "read_ends": f"""
+select *, row_number() over (order by {_ID}) as no, (l_linenumber - 1) // 2 as fragment,
+ (ref_idx + 1) * 34359738368 + (case when neg then pos + ref_len - 1 else pos - case cigar when '10S90M' then 10 else 0 end end + 8589934592) * 2
+  + case when neg then 1 else 0 end as fe
+from dense where ref_idx between 1 and 24""",
+    "contig_text": f"""
+select cast(p_partkey % 24 as int) as ref_idx, string_agg({_part_text("p_partkey")}, '' order by p_partkey) as text
+from part group by 1""",
+    "contig_kmers": """
+select ref_idx, i as p, substring(text, i, 24) as k
+from (select ref_idx, text, unnest(generate_series(1, length(text) - 23)) as i from contig_text)""",
+    "pair_ends": f"""
+select {_PAIR}, mate, case when (mate = 1) = (sk % 2 = 0) then s2 else s1 end as seq
+from (select {_PAIR}, case when (ok + pk) % 40 = 0 then left(translate(sha256(concat('n', cast(ok as varchar))), {_ACGT}), 64)
+  else left(f, 64) end as s1, case when (ok + ln) % 50 = 0 then concat({_WORN}) else s end as s2, unnest([1, 2]) as mate
+ from (select *, {_FLIP.format("right(f, 64)")} as s from (
+  select l_orderkey as ok, l_linenumber as ln, l_partkey as pk, l_suppkey as sk,
+   substring(concat({", ".join(_part_text(f"l_partkey + {24 * i}") for i in range(4))}),
+    (l_orderkey * 7 + l_linenumber * 13) % 64 + 1, 270 + (l_orderkey + l_suppkey * 3) % 60) as f from lineitem)))
+where mate = 1 or (ok + 7 * pk) % 30 > 0""",
+    "end_votes": f"""
+select seq, neg, ref_idx, cast(p - i + 1 as int) as loc, cast(count(*) as bigint) as votes
+from (select seq, neg, i, substring(t, i, 24) as k from (
+ select seq, neg, t, unnest(generate_series(1, length(t) - 23, 8)) as i
+ from (select distinct seq, false as neg, seq as t from pair_ends union all select distinct seq, true, {_FLIP.format("seq")} from pair_ends)))
+join contig_kmers using (k) group by seq, neg, ref_idx, p - i having count(*) >= 3""",
+    "end_places": """
+select *, votes = most as is_best, count(*) filter (votes = most) over (partition by seq) = 1 as sole
+from (select *, max(votes) over (partition by seq) as most from end_votes) where votes >= most - 3""",
+    "end_alone": """
+select seq, sole, {'ref_idx': ref_idx, 'loc': loc, 'neg': neg, 'votes': votes} as place from end_places
+qualify row_number() over (partition by seq order by votes desc, ref_idx, loc, neg) = 1""",
+    "end_pairs": f"""
+select q1, q2, cast(count(*) as bigint) as n from (
+ select {_PAIR}, max(seq) filter (mate = 1) as q1, max(seq) filter (mate = 2) as q2 from pair_ends group by all)
+where q1 is not null and q2 is not null group by all""",
+    "fragment_range": f"""
+select greatest(cast(floor(q[1] - 3 * greatest(q[3] - q[1], 1)) as int), 1) as low, cast(floor(q[2]) as int) as centre,
+ cast(ceil(q[3] + 3 * greatest(q[3] - q[1], 1)) as int) as high
+from (select quantile_cont(len, [0.25, 0.5, 0.75]) as q, count(*) as c from (
+ select {_FRAGMENT} as len, unnest(range(n)) from (
+  select x.place as a, y.place as b, n from end_pairs join end_alone x on x.seq = q1 join end_alone y on y.seq = q2 where x.sole and y.sole))
+ where len between 1 and 20000) where c >= 25""",
+    "end_joint": f"""
+select q1, q2, a, b, a.votes + b.votes as score from (
+ select *, row_number() over (partition by q1, q2 order by a.votes + b.votes desc, abs(len - centre), a.ref_idx, a.loc, b.loc, a.neg) as rk
+ from (select *, {_FRAGMENT} as len from (
+  select q1, q2, {{'ref_idx': x.ref_idx, 'loc': x.loc, 'neg': x.neg, 'votes': x.votes}} as a,
+   {{'ref_idx': y.ref_idx, 'loc': y.loc, 'neg': y.neg, 'votes': y.votes}} as b
+  from end_pairs join end_places x on x.seq = q1 join end_places y on y.seq = q2 and x.ref_idx = y.ref_idx)) join fragment_range on true
+ where len between low and high) where rk = 1""",
+    "end_chosen": """
+select q1, q2, sole_a, sole_b, coalesce(score >= sa.votes + sb.votes - 3, false) as proper,
+ case when coalesce(score >= sa.votes + sb.votes - 3, false) then ja else sa end as a,
+ case when coalesce(score >= sa.votes + sb.votes - 3, false) then jb else sb end as b
+from (select p.q1, p.q2, x.place as sa, y.place as sb, x.sole as sole_a, y.sole as sole_b, j.a as ja, j.b as jb, j.score
+ from end_pairs p left join end_alone x on x.seq = q1 left join end_alone y on y.seq = q2
+ left join end_joint j on j.q1 = p.q1 and j.q2 = p.q2)""",
+    "lost_ends": f"""
+select q1, q2, m, case when m.neg then seq else {_FLIP.format("seq")} end as t,
+ greatest(case when m.neg then m.loc + 64 - high else m.loc + low - 64 end, 1) as wlow,
+ case when m.neg then m.loc + 64 - low else m.loc + high - 64 end as whigh
+from (select q1, q2, coalesce(a, b) as m, case when a is null then q1 else q2 end as seq from end_chosen where (a is null) <> (b is null)) join fragment_range on true""",
+    "end_found": """
+select q1, q2, {'ref_idx': m.ref_idx, 'loc': loc, 'neg': not m.neg, 'votes': votes} as place from (
+ select q1, q2, m, loc, cast(count(*) as bigint) as votes from (
+  select w.q1, w.q2, w.m, w.wlow, w.whigh, cast(p - i + 1 as int) as loc from (
+   select q1, q2, m, wlow, whigh, p, substring(text, p, 11) as k from (
+    select q1, q2, m, wlow, whigh, text, unnest(generate_series(wlow, least(whigh + 53, length(text) - 10))) as p
+    from lost_ends join contig_text on contig_text.ref_idx = m.ref_idx where whigh >= wlow)) w
+  join (select q1, q2, i, substring(t, i, 11) as k from (select q1, q2, t, unnest(generate_series(1, 54)) as i from lost_ends)) s
+   on s.q1 = w.q1 and s.q2 = w.q2 and s.k = w.k)
+ where loc between wlow and whigh group by all having count(*) >= 4) join fragment_range on true
+qualify row_number() over (partition by q1, q2 order by votes desc,
+ abs(case when m.neg then m.loc + 64 - loc else loc + 64 - m.loc end - centre), loc) = 1""",
+    "end_final": """
+select c.q1, c.q2, sole_a, sole_b, coalesce(a, place) as a, coalesce(b, place) as b, proper or place is not null as proper
+from end_chosen c left join end_found f on f.q1 = c.q1 and f.q2 = c.q2""",
+}
+
 QUERIES = {
     "placed_reads": f"select {_ID}, ref_idx, pos from placed",
     "alignment_end": f"select {_ID}, cast(end_pos as int) as end_pos from placed",
@@ -192,6 +289,35 @@ from (select distinct c,p,r,v from truth) a left join (select distinct c,p,r,v f
     "seed_best": """
 select item_id, doc_id, diag, votes
 from (select *, row_number() over(partition by item_id order by votes desc, doc_id, diag) rk from votes) x where rk = 1""",
+    "placed_singly": f"""
+select {_PAIR}, mate, cast(coalesce(place.ref_idx, -1) as int) as ref_idx, case when place is null then 0 else greatest(place.loc, 1) end as pos,
+ case when place is null then 4 when place.neg then 16 else 0 end as flag,
+ case when place is null then '*' when place.loc < 1 then concat(1 - place.loc, 'S', 63 + place.loc, 'M') else '64M' end as cigar, place.votes as votes
+from pair_ends left join end_alone using (seq)""",
+    "placed_pairs": f"""
+select {_PAIR}, mate, coalesce(own.ref_idx, -1) as ref_idx, case when own is null then 0 else greatest(own.loc, 1) end as pos,
+ cast(case when paired then 1 else 0 end + case when proper then 2 else 0 end + case when own is null then 4 else 0 end
+  + case when paired and other is null then 8 else 0 end + case when own.neg then 16 else 0 end + case when other.neg then 32 else 0 end
+  + case when paired then case when mate = 1 then 64 else 128 end else 0 end as int) as flag,
+ case when own is not null and (proper or sole) then 60 else 0 end as mapq,
+ case when own is null then '*' when own.loc < 1 then concat(1 - own.loc, 'S', 63 + own.loc, 'M') else '64M' end as cigar,
+ coalesce(other.ref_idx, -1) as mate_ref, case when other is null then 0 else greatest(other.loc, 1) end as mate_pos,
+ case when own.ref_idx = other.ref_idx then cast((greatest(own.loc, other.loc) + 63 - least(greatest(own.loc, 1), greatest(other.loc, 1)) + 1)
+  * case when greatest(own.loc, 1) < greatest(other.loc, 1) or (greatest(own.loc, 1) = greatest(other.loc, 1) and mate = 1) then 1 else -1 end as int)
+  else 0 end as tlen, own.votes as votes
+from (select e.*, q1 is not null and q2 is not null as paired, coalesce(f.proper, false) as proper,
+  case when f.q1 is not null then case when e.mate = 1 then f.a else f.b end else z.place end as own,
+  case when f.q1 is not null then case when e.mate = 1 then f.b else f.a end end as other,
+  coalesce(z.sole, false) as sole
+ from (select *, max(seq) filter (mate = 1) over (partition by ok, ln, pk, sk) as s1, max(seq) filter (mate = 2) over (partition by ok, ln, pk, sk) as s2
+  from pair_ends) e left join end_final f on f.q1 = s1 and f.q2 = s2 left join end_alone z on z.seq = e.seq)""",
+    "pair_duplicates": f"""
+select {_ID}, coalesce(pair_dup, bool_or(pair_dup is not null) over (partition by fe)
+ or row_number() over (partition by fe, pair_dup is null order by mapq desc, no) > 1) as is_dup
+from (select r.*, pair_dup from read_ends r left join (
+  select l_orderkey, fragment, row_number() over (partition by lo, hi order by score desc, no) > 1 as pair_dup
+  from (select l_orderkey, fragment, min(fe) as lo, max(fe) as hi, sum(mapq) as score, min(no) as no
+   from read_ends group by l_orderkey, fragment having count(*) = 2)) j on j.l_orderkey = r.l_orderkey and j.fragment = r.fragment)""",
     "contig_dict": "select ref_idx, contig, length from contigs",
     "sam_scan": """
 select case when ok then id end as qname, case when ok then cast(f as int) end as flag, case when ok then coalesce(i, -1) else -1 end as ref_idx,

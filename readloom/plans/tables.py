@@ -160,3 +160,65 @@ def call_set(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
         "substring('ACGT', cast(l_linenumber % 4 as int) + 1, 1) as r",
         "substring('CGTA', cast(l_suppkey % 4 as int) + 1, 1) as v",
     )
+
+
+# A reference from the parts, and read pairs on it from the line items -----------
+
+PART_WIDTH = 128
+PAIR_LENGTH = 64
+TEMPLATE = ["ok", "ln", "pk", "sk"]
+_HEX, _ACGT = "0123456789abcdef", "ACGT" * 4
+
+
+def _part_text(part: str) -> str:
+    """128 bases of a part; every tenth part of a contig repeats the one five places before."""
+    key = f"cast(case when ({part}) div 24 % 10 = 5 then ({part}) - 120 else {part} end as string)"
+    return f"translate(concat(sha2({key}, 256), sha2(concat({key}, 'x'), 256)), '{_HEX}', '{_ACGT}')"
+
+
+def part_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contigs 0..23 as one chunk of 128 bases per part, that overlaps the next by 24."""
+    text = f"concat({_part_text('p_partkey')}, left({_part_text('p_partkey + 24')}, 24))"
+    last = table(spark, sf_dir, "part").agg(F.max("p_partkey")).scalar()
+    rows = table(spark, sf_dir, "part").withColumn("_last", last)
+    return rows.selectExpr(
+        "concat('part', p_partkey % 24) as contig",
+        f"cast(p_partkey div 24 * {PART_WIDTH} + 1 as int) as chunk_start",
+        f"case when p_partkey + 24 > _last then {_part_text('p_partkey')} else {text} end as bases",
+    )
+
+
+def part_contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "part").groupBy(F.expr("cast(p_partkey % 24 as int)").alias("ref_idx"))
+    length = F.expr(f"cast((max(p_partkey div 24) + 1) * {PART_WIDTH} as int)")
+    return rows.agg(length.alias("length")).withColumn("contig", F.concat(F.lit("part"), "ref_idx"))
+
+
+def read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both ends of a fragment of about 300 bases per line item, 64 bases each, from the place of its part.
+
+    One in 50 second ends differs at every 13th base, one in 40 first ends is noise, one in 30 fragments has an end only.
+    """
+    rows = spread(table(spark, sf_dir, "lineitem").select(*IDS)).selectExpr(
+        "l_orderkey as ok", "l_linenumber as ln", "l_partkey as pk", "l_suppkey as sk"
+    )
+    parts = ", ".join(_part_text(f"pk + {24 * i}") for i in range(4))
+    fragments = rows.selectExpr(
+        "*", f"substring(concat({parts}), cast((ok * 7 + ln * 13) % 64 as int) + 1, cast(270 + (ok + sk * 3) % 60 as int)) as fragment"
+    )
+    first = f"left(fragment, {PAIR_LENGTH})"
+    noise = f"left(translate(sha2(concat('n', cast(ok as string)), 256), '{_HEX}', '{_ACGT}'), {PAIR_LENGTH})"
+    second = f"reverse(translate(right(fragment, {PAIR_LENGTH}), 'ACGT', 'TGCA'))"
+    worn = ", ".join(f"substring(_second, {13 * i + 1}, 12), translate(substring(_second, {13 * i + 13}, 1), 'ACGT', 'CGTA')" for i in range(5))
+    ends = (
+        fragments.withColumn("_second", F.expr(second))
+        .withColumn("_first", F.expr(f"case when (ok + pk) % 40 = 0 then {noise} else {first} end"))
+        .withColumn("_second", F.expr(f"case when (ok + ln) % 50 = 0 then concat({worn}) else _second end"))
+    )
+    swapped = "case when sk % 2 = 0 then _second else _first end"
+    other = "case when sk % 2 = 0 then _first else _second end"
+    both = ends.selectExpr(
+        *TEMPLATE, f"inline(filter(array(struct(1 as mate, {swapped} as seq), struct(2 as mate, {other} as seq)), "
+        "e -> e.mate = 1 or (ok + 7 * pk) % 30 > 0))",
+    )
+    return stage(both.withColumn("qual", F.repeat(F.lit("I"), F.length("seq"))), "read_pairs")

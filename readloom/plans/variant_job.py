@@ -12,14 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.operators import calling, duplicates, intervals, quality, recal, regions, seeding, variants
+from readloom.operators import calling, duplicates, intervals, pairing, quality, recal, regions, variants
 from readloom.operators import reads as R
 from readloom.operators.staging import stage
 from readloom.sources.text import read_vcf
 
 READ_ID = "read_no"
 SECOND_OF_PAIR = 0x80
-MATE_REVERSE = 0x20
 # Secondary and supplementary alignments and reads that failed quality control.
 SET_ASIDE = 0x100 | 0x800 | 0x200
 
@@ -66,8 +65,9 @@ def call_variants(
     flags = {
         "neg": F.col("flag").bitwiseAND(R.REVERSE) != 0,
         "second": F.col("flag").bitwiseAND(SECOND_OF_PAIR) != 0,
-        "mate_neg": F.col("flag").bitwiseAND(MATE_REVERSE) != 0,
     }
+    # Reads of one name are the ends of a fragment, where the alignments do not say otherwise.
+    template = "template" if "template" in alignments.columns else "qname"
     # Written once: the id must not change between the passes over the reads.
     placed = stage(
         R.placed(alignments).withColumns(flags).withColumn(READ_ID, F.monotonically_increasing_id()), "placed"
@@ -80,10 +80,7 @@ def call_variants(
         "score", F.coalesce(F.aggregate("quals", F.lit(0), lambda acc, q: acc + q), F.lit(0))
     )
     aside = F.col("flag").bitwiseAND(set_aside) != 0
-    marked = duplicates.mark_duplicates(
-        scored.withColumn("_aside", aside),
-        [READ_ID], "score", "neg", mate=["mate_contig", "mate_pos", "mate_neg"], within=["region", "_aside"],
-    )
+    marked = duplicates.mark_pair_duplicates(scored.withColumn("_aside", aside), READ_ID, [template], within=["_aside"])
     marked = marked.withColumn("is_dup", F.col("is_dup") & ~F.col("_aside")).drop("_aside")
     reads = stage(regions.region_partitions(R.with_read_group(marked, **read_group), [READ_ID]), "reads")
 
@@ -131,13 +128,13 @@ def _restrict_spans(spots: DataFrame, bed: DataFrame) -> DataFrame:
 
 
 def place_and_call(fastq: DataFrame, ref_chunks: DataFrame, contigs: DataFrame, **options) -> Calls:
-    """``call_variants`` on reads that ``place_reads`` has placed by seeds.
+    """``call_variants`` on pairs that ``place_pairs`` has placed by seeds and by the distance of their ends.
 
     The chunks overlap by ``seeding.K - 1`` bases or more, as the seeds need. The reads are
     staged, so compressed files are unpacked once.
     """
-    placed = seeding.place_reads(stage(fastq, "fastq"), ref_chunks, contigs, ["chunk", "pair_id", "mate"])
-    return call_variants(seeding.as_alignments(placed, contigs), contigs, ref_chunks, **options)
+    placed = pairing.place_pairs(stage(fastq, "fastq"), ref_chunks, contigs, ["chunk", "pair_id"])
+    return call_variants(pairing.as_alignments(placed, contigs), contigs, ref_chunks, **options)
 
 
 def compare_vcf(spark, truth: str, calls: str) -> DataFrame:
