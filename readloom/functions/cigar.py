@@ -96,6 +96,31 @@ def aligned_blocks(pos, cigar) -> Column:
     )
 
 
+def gaps(pos, cigar) -> Column:
+    """Insertions and deletions: ARRAY<STRUCT<locus INT, read_start INT, n INT, op STRING>>.
+
+    ``locus`` is the first reference position at or after the operation, ``read_start`` the
+    read bases before it.
+    """
+    start = _col(pos).cast("int")
+
+    def walk(ops: Column, ref: Column, read: Column) -> Column:
+        return _sites(
+            ops,
+            lambda op: op.isin("I", "D"),
+            lambda i: F.struct(
+                (start + ref[i]).alias("locus"), read[i].alias("read_start"), ops[i]["n"].alias("n"), ops[i]["op"].alias("op")
+            ),
+        )
+
+    return let(
+        _operations(_col(cigar)),
+        lambda ops: let(
+            _starts(ops, _on_reference), lambda ref: let(_starts(ops, _on_read), lambda read: walk(ops, ref, read))
+        ),
+    )
+
+
 def indels(pos, cigar) -> Column:
     """Insertion and deletion sites: ARRAY<STRUCT<locus INT, op STRING>>.
 

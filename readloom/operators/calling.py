@@ -64,7 +64,10 @@ def filter_qual(variants: DataFrame, min_qual: float = MIN_QUAL) -> DataFrame:
 
 
 def vcf_records(calls: DataFrame) -> DataFrame:
-    """Calls with ``contig, p, ref, alt`` as variants, with the text line of each."""
+    """Calls with ``contig, p, ref, alt`` as variants, with the text line of each.
+
+    Calls with ``gt, pl, gq_milli`` show them in a FORMAT and a sample column.
+    """
     qual = F.col("qual_milli") / 1000
     info = F.concat(F.lit("DP="), F.col("dp").cast("string"), F.lit(";AD="), F.col("ad").cast("string"))
     named = calls.select(
@@ -76,5 +79,9 @@ def vcf_records(calls: DataFrame) -> DataFrame:
         info.alias("info"),
     )
     shown = F.call_function("format_number", F.col("qual"), F.lit("0.###"))
-    line = F.concat_ws("\t", "contig", F.col("pos").cast("string"), "id", "ref", "alt", shown, "filter", "info")
-    return named.withColumn("line", line)
+    fields = ["contig", F.col("pos").cast("string"), "id", "ref", "alt", shown, "filter", "info"]
+    if "gt" in calls.columns:
+        quality = F.round(F.col("gq_milli") / 1000).cast("long").cast("string")
+        sample = F.concat_ws(":", "gt", F.col("dp").cast("string"), F.col("ad").cast("string"), quality, "pl")
+        fields += [F.lit("GT:DP:AD:GQ:PL"), sample]
+    return named.withColumn("line", F.concat_ws("\t", *fields))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from readloom import sources
 from readloom.functions import contig_key, guess_encoding
-from readloom.operators import calling, duplicates, intervals, ordering, pairing, quality, recal, regions, seeding, variants
+from readloom.operators import calling, duplicates, genotyping, intervals, ordering, pairing, quality, recal, regions, seeding, variants
 from readloom.operators import reads as R
 from readloom.operators.partitions import spread
 from readloom.operators.staging import stage, staging_path
@@ -276,6 +276,22 @@ def variants_sorted(spark, sf):
     return ranked.select("contig", "pos", "ref", "alt", "info", "rn")
 
 
+@query
+def genotypes(spark, sf):
+    bases = recal.read_bases(T.letters(spark, sf), T.reference(spark, sf), T.READ_IDS)
+    return genotyping.genotypes(bases)
+
+
+@query
+def gap_alleles(spark, sf):
+    return genotyping.gap_alleles(T.gapped_reads(spark, sf), stage(T.repeat_reference(spark, sf), "repeats"))
+
+
+@query
+def gap_genotypes(spark, sf):
+    return genotyping.gap_genotypes(T.gapped_reads(spark, sf), stage(T.repeat_reference(spark, sf), "repeats"))
+
+
 # Call sets --------------------------------------------------------------------
 
 
@@ -284,6 +300,13 @@ def concordance(spark, sf):
     return variants.concordance(_call_vcf(spark, sf, "O"), _call_vcf(spark, sf, "F"))
 
 
+@query
+def normalised_concordance(spark, sf):
+    chunks = stage(T.repeat_reference(spark, sf).withColumn("contig", F.concat(F.lit("chr"), "ref_idx")).drop("ref_idx"), "repeats")
+    truth, calls = (variants.normalised_key(T.spelled_calls(spark, sf, status), chunks) for status in "OF")
+    return variants.concordance(truth, calls)
+
+
 @query
 def matched_variants(spark, sf):
     return variants.matched(T.call_set(spark, sf, "O"), T.call_set(spark, sf, "F"), CALL_KEY)

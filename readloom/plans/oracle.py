@@ -112,7 +112,93 @@ select item_id, doc_id, cast(target_kmers.i-read_seeds.i as bigint) as diag, cas
 from read_seeds join target_kmers on read_seeds.k=target_kmers.k group by 1,2,3 having count(*) >= 3""",
 }
 
+
+def _repeat_text(part: str) -> str:
+    first = f"({part} - 24 * (({part}) // 24 % 3 - 1))"
+    unit = f"left({_part_text(first)}, 1 + {first} % 4)"
+    return f"case when ({part}) // 24 % 3 = 0 then {_part_text(part)} else left(repeat({unit}, 128), 128) end"
+
+
+_PAIRS = ", ".join(f"('{a}', '{b}')" for i, a in enumerate("ACGT") for b in "ACGT"[i:])
+# One base to the left while the last base of the change stands before it; the leftmost spelling stays.
+_SHIFTED = """
+with recursive moves as (
+ select distinct ref_idx, s as s0, d as d0, u as u0, s, d || u as q from {changes}
+ union all
+ select m.ref_idx, s0, d0, u0, s - 1, substring(text, s - 1, 1) || left(q, length(q) - 1) as q
+ from moves m join repeat_text t on t.ref_idx = m.ref_idx
+ where s > 1 and (d0 = '') <> (u0 = '') and substring(text, s - 1, 1) = right(q, 1))
+select ref_idx, s0, d0, u0, min(s) as ms, arg_min(q, s) as q from moves group by 1, 2, 3, 4"""
+_ANCHORED = """
+case when ms = 1 then 1 else ms - 1 end as pos,
+case when ms > 1 then substring(text, ms - 1, 1) || case when d0 = '' then '' else q end
+ else case when d0 = '' then '' else q end || substring(text, ms + length(d0), 1) end as ref,
+case when ms > 1 then substring(text, ms - 1, 1) || case when d0 = '' then q else '' end
+ else case when d0 = '' then q else '' end || substring(text, ms + length(d0), 1) end as alt"""
+
 VIEWS |= {
+    "repeat_text": f"""
+select cast(p_partkey % 24 as int) as ref_idx, string_agg({_repeat_text("p_partkey")}, '' order by p_partkey) as text from part group by 1""",
+    "gapped": f"""
+select cast(l_partkey % 24 as int) as ref_idx, l_partkey // 24 * 128 + o as pos, kind, o, t
+from (select l_partkey, l_linenumber % 5 as kind, cast((l_orderkey * 7 + l_linenumber * 13) % 8 * 16 + 1 as int) as o,
+ concat({_repeat_text("l_partkey")}, {_repeat_text("(l_partkey + 24)")}) as t from lineitem)""",
+    "gap_changes": """
+select ref_idx, s, substring(text, s, n) as d, u, cast(count(*) as bigint) as ad from (
+ select ref_idx, pos + 40 as s, 2 as n, '' as u from gapped where kind = 1
+ union all select ref_idx, pos + 40, 0, substring(t, o + 37, 3) from gapped where kind = 2
+ union all select ref_idx, pos + 20, 5, '' from gapped where kind = 3
+ union all select ref_idx, pos + 35, 0, 'A' from gapped where kind = 3) x join repeat_text using (ref_idx)
+where length(substring(text, s, n)) = n and s <= length(text) + 1 group by all""",
+    "gap_moves": _SHIFTED.format(changes="gap_changes"),
+    "gap_records": f"""
+select ref_idx, cast(pos as int) as pos, ref, alt, cast(sum(ad) as bigint) as ad from (
+ select m.ref_idx, {_ANCHORED}, ad from gap_moves m join gap_changes c on c.ref_idx = m.ref_idx and c.s = s0 and c.d = d0 and c.u = u0
+ join repeat_text t on t.ref_idx = m.ref_idx) group by all""",
+    "gap_blocks": """
+select ref_idx, pos + b[1] as s, pos + b[2] as e from (select ref_idx, pos, unnest(case kind when 0 then [[0, 63]] when 1 then [[0, 39], [42, 65]]
+ when 2 then [[0, 60]] when 3 then [[0, 19], [25, 34], [35, 67]] else [[0, 58]] end) as b from gapped)""",
+    "gap_scores": """
+select *, {'c': l0, 'g': '0/0'} as g0, {'c': l1 + 30000, 'g': '0/1'} as g1, {'c': l2 + 33010, 'g': '1/1'} as g2 from (
+ select *, dp - ad as other, ad * 30000 + (dp - ad) * 4 as l0, dp * 3010 as l1, ad * 4 + (dp - ad) * 30000 as l2 from (
+  select ref_idx, pos, ref, alt, ad, greatest(n, ad) as dp from (
+   select r.ref_idx, r.pos, ref, alt, ad, cast(count(b.s) as bigint) as n
+   from gap_records r left join gap_blocks b on b.ref_idx = r.ref_idx and r.pos between b.s and b.e group by r.ref_idx, r.pos, ref, alt, ad)))""",
+    "spelled": f"""
+select contig, ref_idx, pos, l_linestatus, kind, ref, unnest(string_split(upper(alt), ',')) as alt from (
+ select concat('chr', l_partkey % 24) as contig, cast(l_partkey % 24 as int) as ref_idx, l_partkey // 24 * 128 + o as pos, l_linestatus, kind,
+  case kind when 3 then substring(t, o, 1) when 1 then substring(t, o, 5) else substring(t, o, 3) end as ref,
+  case kind when 0 then substring(t, o, 1) when 1 then concat(substring(t, o, 1), substring(t, o + 3, 2))
+   when 2 then concat(substring(t, o, 1), ',', translate(substring(t, o, 1), 'ACGT', 'CGTA'), substring(t, o + 1, 2))
+   else concat(substring(t, o, 1), substring(t, o + 1, 2)) end as alt
+ from (select l_partkey, l_linestatus, l_linenumber % 4 as kind, {_repeat_text("l_partkey")} as t,
+  cast(2 + (l_orderkey % 12) * 10 + l_suppkey % 2 * 2 as int) as o from lineitem))""",
+    # The shared ends of the alleles cut off: first the longest equal ends, then the longest equal starts.
+    "spelled_changes": """
+select distinct ref_idx, l_linestatus, pos + h as s, substring(r, h + 1) as d, substring(a, h + 1) as u from (
+ select *, coalesce(list_max(list_filter(range(0, least(length(r), length(a)) + 1), lambda k: left(r, k) = left(a, k))), 0) as h from (
+  select *, left(ref, length(ref) - e) as r, left(alt, length(alt) - e) as a from (
+   select *, list_max(list_filter(range(0, least(length(ref), length(alt)) + 1), lambda k: right(ref, k) = right(alt, k))) as e
+   from spelled where ref <> alt)))""",
+    "spelled_moves": _SHIFTED.format(changes="spelled_changes"),
+    "spelled_keys": f"""
+select distinct c.ref_idx, l_linestatus, case when (d = '') <> (u = '') then pos else c.s end as pos,
+ case when (d = '') <> (u = '') then ref else d end as ref, case when (d = '') <> (u = '') then alt else u end as alt
+from spelled_changes c join (select m.ref_idx, s0, d0, u0, {_ANCHORED} from spelled_moves m join repeat_text t on t.ref_idx = m.ref_idx) m
+ on c.ref_idx = m.ref_idx and c.s = s0 and d = d0 and u = u0""",
+    "genotype_likes": f"""
+select ref_idx, p, ref, dp, g1, g2, cast(sum(case when b = g1 and b = g2 then agree when b = g1 or b = g2 then half else miss end) as bigint) as l,
+ cast(sum(case when b = g1 and b = g2 then agree when b = g1 or b = g2 then half else miss end)
+  + case when g1 = ref and g2 = ref then 0 when g1 = g2 then 33010 when g1 = ref or g2 = ref then 30000 else 60000 end as bigint) as c
+from (select ref_idx, p, rb as ref, b, sum(count(*)) over (partition by ref_idx, p) as dp,
+  sum(cast(round(-10000 * log10(1 - pow(10, -q / 10.0))) as bigint)) as agree,
+  sum(cast(round(-10000 * log10(0.5 - pow(10, -q / 10.0) / 3)) as bigint)) as half, sum(q * 1000 + 4771) as miss
+ from letters group by ref_idx, p, rb, b) x, (values {_PAIRS}) as g(g1, g2) group by ref_idx, p, ref, dp, g1, g2""",
+    "genotype_best": """
+select ref_idx, p, any_value(ref) as ref, any_value(dp) as dp, arg_min(g1, (c, g1, g2)) as a, arg_min(g2, (c, g1, g2)) as b,
+ min(c) as best, list_sort(list(c))[2] - min(c) as gq, any_value(c) filter (g1 = ref and g2 = ref) - min(c) as qual,
+ map_from_entries(list((g1 || g2, l))) as likes
+from genotype_likes group by ref_idx, p having any_value(c) filter (g1 = ref and g2 = ref) > min(c)""",
     # Contig, unclipped 5' position and strand in one number.
     "read_ends": f"""
 select *, row_number() over (order by {_ID}) as no, (l_linenumber - 1) // 2 as fragment,
@@ -289,6 +375,27 @@ from (select distinct c,p,r,v from truth) a left join (select distinct c,p,r,v f
     "seed_best": """
 select item_id, doc_id, diag, votes
 from (select *, row_number() over(partition by item_id order by votes desc, doc_id, diag) rk from votes) x where rk = 1""",
+    "genotypes": """
+select ref_idx, cast(p as int) as p, ref, array_to_string(alts, ',') as alt, cast(dp as bigint) as dp,
+ array_to_string(list_transform(alleles, lambda x: cast(coalesce(counts[x], 0) as varchar)), ',') as ad,
+ concat(least(list_position(alleles, a), list_position(alleles, b)) - 1, '/', greatest(list_position(alleles, a), list_position(alleles, b)) - 1) as gt,
+ array_to_string(list_transform(shown, lambda x: cast(cast(round((x - list_min(shown)) / 1000.0) as bigint) as varchar)), ',') as pl,
+ gq as gq_milli, qual as qual_milli
+from (select *, flatten(list_transform(range(1, len(alleles) + 1), lambda k: list_transform(range(1, k + 1),
+  lambda j: likes[least(alleles[j], alleles[k]) || greatest(alleles[j], alleles[k])]))) as shown
+ from (select *, list_concat([ref], alts) as alleles from (select *, list_sort(list_distinct(list_filter([a, b], lambda x: x <> ref))) as alts from genotype_best))) g
+join (select ref_idx, p, map_from_entries(list((b, n))) as counts from (select ref_idx, p, b, count(*) as n from letters group by all) group by all) c
+ using (ref_idx, p)""",
+    "gap_alleles": "select ref_idx, pos, ref, alt, ad from gap_records",
+    "gap_genotypes": """
+select ref_idx, pos as p, ref, alt, dp, concat(other, ',', ad) as ad, gs[1].g as gt,
+ array_to_string(list_transform([l0, l1, l2], lambda x: cast(cast(round((x - least(l0, l1, l2)) / 1000.0) as bigint) as varchar)), ',') as pl,
+ gs[2].c - gs[1].c as gq_milli, l0 - gs[1].c as qual_milli
+from (select *, list_sort([g0, g1, g2]) as gs from gap_scores) where gs[1].g <> '0/0'""",
+    "normalised_concordance": """
+select cast(count(*) as bigint) as total, cast(count(f.pos) as bigint) as matches, cast(count(*) - count(f.pos) as bigint) as diff
+from (select * from spelled_keys where l_linestatus = 'O') o left join (select * from spelled_keys where l_linestatus = 'F') f
+ on o.ref_idx = f.ref_idx and o.pos = f.pos and o.ref = f.ref and o.alt = f.alt""",
     "placed_singly": f"""
 select {_PAIR}, mate, cast(coalesce(place.ref_idx, -1) as int) as ref_idx, case when place is null then 0 else greatest(place.loc, 1) end as pos,
  case when place is null then 4 when place.neg then 16 else 0 end as flag,

@@ -222,3 +222,60 @@ def read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "e -> e.mate = 1 or (ok + 7 * pk) % 30 > 0))",
     )
     return stage(both.withColumn("qual", F.repeat(F.lit("I"), F.length("seq"))), "read_pairs")
+
+
+def _repeat_text(part: str) -> str:
+    """128 bases of a part: of three parts of a contig one as ``_part_text``, the next two a unit of 1 to 4 bases over and over."""
+    first = f"({part} - 24 * (({part}) div 24 % 3 - 1))"
+    unit = f"left({_part_text(first)}, cast(1 + {first} % 4 as int))"
+    return f"case when ({part}) div 24 % 3 = 0 then {_part_text(part)} else left(repeat({unit}, {PART_WIDTH}), {PART_WIDTH}) end"
+
+
+def repeat_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contigs 0..23 as one chunk of 128 bases per part, most of them short repeats."""
+    return table(spark, sf_dir, "part").selectExpr(
+        "cast(p_partkey % 24 as int) as ref_idx",
+        f"cast(p_partkey div 24 * {PART_WIDTH} + 1 as int) as chunk_start",
+        f"{_repeat_text('p_partkey')} as bases",
+    )
+
+
+def gapped_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A read of about 64 bases per line item on the repeats, with the gaps that its line number says."""
+    rows = spread(table(spark, sf_dir, "lineitem").select(*IDS)).selectExpr(
+        "*", f"concat({_repeat_text('l_partkey')}, {_repeat_text('l_partkey + 24')}) as _t",
+        "cast((l_orderkey * 7 + l_linenumber * 13) % 8 * 16 + 1 as int) as _o",
+    )
+    read = """case l_linenumber % 5 when 1 then concat(substring(_t, _o, 40), substring(_t, _o + 42, 24))
+      when 2 then concat(substring(_t, _o, 40), substring(_t, _o + 37, 3), substring(_t, _o + 40, 21))
+      when 3 then concat(substring(_t, _o, 20), substring(_t, _o + 25, 10), 'A', substring(_t, _o + 35, 33))
+      when 4 then concat('ACGTA', substring(_t, _o, 59)) else substring(_t, _o, 64) end"""
+    gapped = rows.selectExpr(
+        *IDS,
+        "cast(l_partkey % 24 as int) as ref_idx",
+        f"cast(l_partkey div 24 * {PART_WIDTH} + _o as int) as pos",
+        "case l_linenumber % 5 when 1 then '40M2D24M' when 2 then '40M3I21M' when 3 then '20M5D10M1I33M' when 4 then '5S59M' else '64M' end as cigar",
+        f"{read} as seq",
+    )
+    return stage(gapped, "gapped_reads")
+
+
+def spelled_calls(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    """Records of one or two alternate alleles on the repeats, in whatever spelling a caller may have used.
+
+    A deletion of two bases (alone, with bases that both alleles share, or beside a substitution) and an insertion, all inside
+    a part; the line status says which set a row belongs to.
+    """
+    rows = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == status).select(*IDS)
+    rows = spread(rows).selectExpr(
+        "*", f"{_repeat_text('l_partkey')} as _t", "cast(2 + (l_orderkey % 12) * 10 + l_suppkey % 2 * 2 as int) as _o",
+        "l_linenumber % 4 as kind",
+    )
+    return rows.selectExpr(
+        "concat('chr', l_partkey % 24) as contig",
+        f"cast(l_partkey div 24 * {PART_WIDTH} + _o as int) as pos",
+        "case kind when 3 then substring(_t, _o, 1) when 1 then substring(_t, _o, 5) else substring(_t, _o, 3) end as ref",
+        """case kind when 0 then substring(_t, _o, 1) when 1 then concat(substring(_t, _o, 1), substring(_t, _o + 3, 2))
+          when 2 then concat(substring(_t, _o, 1), ',', translate(substring(_t, _o, 1), 'ACGT', 'CGTA'), lower(substring(_t, _o + 1, 2)))
+          else concat(substring(_t, _o, 1), substring(_t, _o + 1, 2)) end as alt""",
+    )

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.operators import calling, duplicates, intervals, pairing, quality, recal, regions, variants
+from readloom.operators import calling, duplicates, genotyping, intervals, pairing, quality, recal, regions, variants
 from readloom.operators import reads as R
 from readloom.operators.staging import stage
 from readloom.sources.text import read_vcf
@@ -102,8 +102,8 @@ def call_variants(
     carried = [READ_ID, *[c for c in covariates if c in R.READ_GROUP]]
     table = stage(recal.recal_table(recal.read_bases(usable, chunks, carried, sites), covariates), "recal")
     improved = recal.recalibrate_reads(usable, table, recal.read_values(covariates), [READ_ID])
-    pile = calling.pileup_alleles(recal.read_bases(improved, chunks, [READ_ID]))
-    called = calling.call_sites(pile, min_qual)
+    shown = genotyping.genotypes(recal.read_bases(improved, chunks, [READ_ID]))
+    called = calling.call_sites(shown.unionByName(genotyping.gap_genotypes(usable, chunks)), min_qual)
     points = called.withColumn("start0", F.col("p") - 1).withColumn("end0", F.col("p"))
     in_targets = intervals.restrict(points, bed).drop("start0", "end0")
     named = R.with_contig(regions.assign_regions(in_targets, contig_region), contigs)
@@ -137,8 +137,7 @@ def place_and_call(fastq: DataFrame, ref_chunks: DataFrame, contigs: DataFrame,
     return call_variants(pairing.as_alignments(placed, contigs), contigs, ref_chunks, **options)
 
 
-def compare_vcf(spark, truth: str, calls: str) -> DataFrame:
-    """Concordance of two VCF files."""
-    return variants.concordance(
-        variants.variant_key(read_vcf(spark, truth)), variants.variant_key(read_vcf(spark, calls))
-    )
+def compare_vcf(spark, truth: str, calls: str, ref_chunks: DataFrame | None = None) -> DataFrame:
+    """Concordance of two VCF files; with a reference, of alleles in one spelling rather than of raw text."""
+    key = variants.variant_key if ref_chunks is None else lambda v: variants.normalised_key(v, ref_chunks)
+    return variants.concordance(key(read_vcf(spark, truth)), key(read_vcf(spark, calls)))
