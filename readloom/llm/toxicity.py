@@ -14,8 +14,8 @@ from readloom.llm.common import map_texts
 from readloom.llm.langid import remainder
 
 #: Bound of the training sample: documents per label, and characters of a document that take part.
-SAMPLE = {1: 2000, 0: 4000}
-SAMPLE_CHARS = 8000
+SAMPLE = {1: 1500, 0: 3000}
+SAMPLE_CHARS = 6000
 #: Rows of the weight table, and the byte lengths of the prefixes and n-grams of a word that are hashed to it.
 BUCKETS = 1 << 18
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -70,7 +70,8 @@ def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         fits = left >= size
         rows.append((code[fits] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)).astype(np.int64))
         owners.append(owner[fits])
-    flat, owner = np.concatenate(rows), np.concatenate(owners)
+    flat, owner = np.concatenate(rows).astype(np.int32), np.concatenate(owners)
+    del rows, owners
     order = np.argsort(owner, kind="stable")
     counts = np.bincount(owner, minlength=len(words))
     return flat[order], np.cumsum(counts) - counts
@@ -201,12 +202,12 @@ class Tokens:
 
     def __init__(self, texts: list[str]) -> None:
         numbers: dict[str, int] = {}
-        found = [np.array([numbers.setdefault(w, len(numbers)) for w in WORD.findall(t)], np.int64) for t in texts]
+        found = [np.array([numbers.setdefault(w, len(numbers)) for w in WORD.findall(t)], np.int32) for t in texts]
         known: dict[bytes, int] = {}
-        lowered = np.array([known.setdefault(word_bytes(w), len(known)) for w in numbers], np.int64)
+        lowered = np.array([known.setdefault(word_bytes(w), len(known)) for w in numbers], np.int32)
         self.words = list(known)
         self.sizes = np.array([len(f) for f in found], np.int64)
-        self.word = lowered[np.concatenate(found)] if numbers else np.empty(0, np.int64)
+        self.word = lowered[np.concatenate(found)] if numbers else np.empty(0, np.int32)
         self.stops = np.cumsum(self.sizes)
 
     def of(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,13 +233,15 @@ def token_labels(tokens: Tokens, labels: np.ndarray) -> np.ndarray:
     pairs = np.unique(owners * len(tokens.words) + tokens.word)
     doc, word = pairs // len(tokens.words), pairs % len(tokens.words)
     distinct, number = np.unique(keys, return_inverse=True)
-    number = number.reshape(keys.shape)
-    held = np.concatenate([doc * len(distinct) + number[word, k] for k in range(keys.shape[1])])
-    held = np.unique(held)
-    toxic = labels[held // len(distinct)] == 1
-    which = held % len(distinct)
-    d1 = np.bincount(which[toxic], minlength=len(distinct)).astype(np.float64)
-    d0 = np.bincount(which[~toxic], minlength=len(distinct)).astype(np.float64)
+    number = number.reshape(keys.shape).astype(np.int32)
+    d1, d0 = np.zeros(len(distinct)), np.zeros(len(distinct))
+    for column in number.T:
+        # A prefix counts once a document, however many of its words begin with it.
+        held = np.unique(doc * len(distinct) + column[word])
+        label = labels[held // len(distinct)]
+        held %= len(distinct)
+        d1 += np.bincount(held[label == 1], minlength=len(distinct))
+        d0 += np.bincount(held[label == 0], minlength=len(distinct))
     n1, n0 = float((labels == 1).sum()), float((labels == 0).sum())
     share = (d1 + d0) / (n1 + n0)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -326,12 +329,12 @@ def _tag_again(tokens: Tokens, chain: Chain, emissions: np.ndarray, toxic: np.nd
 def fit(labelled: DataFrame, sample: dict[int, int] = SAMPLE, max_chars: int = SAMPLE_CHARS) -> Model:
     """A model from a bounded sample of ``(doc_id, text, toxic)``.
 
-    Of each label the ``sample`` documents with the smallest hashes of id and text are drawn, with their first
+    Of each label the ``sample`` documents with the smallest hashes of their id are drawn, with their first
     ``max_chars`` characters: that bounds what the driver receives. Rows without a label give nothing.
     """
     usable = labelled.where(F.col("toxic").isin(0, 1)).select(
         F.col("toxic").cast("int").alias("toxic"), F.left(F.coalesce("text", F.lit("")), F.lit(max_chars)).alias("text"),
-        F.xxhash64("doc_id", "text").alias("draw"),
+        F.xxhash64("doc_id").alias("draw"),
     )
     rows = []
     for label, n in sample.items():
@@ -339,14 +342,20 @@ def fit(labelled: DataFrame, sample: dict[int, int] = SAMPLE, max_chars: int = S
     return train([r["text"] for r in rows], [r["toxic"] for r in rows])
 
 
-def fit_on_fold(docs: DataFrame, labels: DataFrame) -> Model:
+def fit_on_fold(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> Model:
     """The registered query's model: labelled documents but those with remainder 2 of 4 may be drawn.
 
-    A document with several labels counts as toxic if one of them says so.
+    A document with several labels counts as toxic if one of them says so. The ids are drawn
+    first, so that only texts of the sample leave their tasks.
     """
-    of = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    texts = docs.where(F.coalesce(remainder(4) != 2, F.lit(False))).select("doc_id", "text")
-    return fit(texts.join(of, "doc_id"))
+    of = labels.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    ids = docs.where(F.coalesce(remainder(4) != 2, F.lit(False))).select("doc_id").distinct().join(of, "doc_id")
+    drawn = None
+    for label, n in sample.items():
+        some = ids.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+        drawn = some if drawn is None else drawn.unionAll(some)
+    # At most the rows of ``sample``.
+    return fit(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"), sample)
 
 
 def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
