@@ -1,6 +1,7 @@
 import gzip
 import io
 import os
+import random
 import subprocess
 import sys
 
@@ -77,6 +78,56 @@ def test_fastq(spark, tmp_path):
     assert sources.read_fastq(spark, str(folder / "chunk1.fq")).count() == 1
 
 
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_plain_fastq_in_ranges(spark, tmp_path, ending):
+    rnd = random.Random(9)
+    records = []
+    for i in range(400):
+        n = rnd.choice([1, 2, 30, 31])
+        seq, qual = "".join(rnd.choice("ACGTN") for _ in range(n)), "".join(rnd.choice("@+I") for _ in range(n))
+        records.append(f"@r{i // 2}/{i % 2 + 1}{ending}{seq}{ending}+{'@x' if i % 7 == 0 else ''}{ending}{qual}{ending}")
+    (tmp_path / "a.x.fq").write_bytes("".join(records).encode() + ending.encode())
+    (tmp_path / "b.fq").write_text(record("z", "A", "@"))
+    whole = rows(sources.read_fastq(spark, str(tmp_path)))
+    assert [r[:3] for r in whole if r[0] == "a"] == [("a", i // 2, i % 2 + 1) for i in range(400)]
+    for split in (64, 997, 9000):
+        got = sources.read_fastq(spark, str(tmp_path), split=split)
+        assert rows(got) == whole and got.rdd.getNumPartitions() > (tmp_path / "a.x.fq").stat().st_size // split
+
+
+def test_every_seam_finds_its_record(tmp_path, monkeypatch):
+    monkeypatch.setattr(fastq, "_BLOCK", 64)
+    rnd = random.Random(2)
+    texts = []
+    for i in range(40):
+        n = rnd.randrange(3, 12)
+        texts.append(f"@r{i}\n{'ACGT' * n}\n+\n{''.join(rnd.choice('@+') for _ in range(4 * n))}\n")
+    path = tmp_path / "x.fq"
+    path.write_text("".join(texts))
+    starts = [sum(map(len, texts[:i])) for i in range(len(texts) + 1)]
+    with open(path, "rb") as raw:
+        for at in range(starts[-1] - 1):
+            want = min(s for s in starts if s >= at)
+            found = fastq._first_record(raw, fastq._Range(str(path), "x", at, at + 50))
+            assert (starts[-1] if found is None else found) == want
+
+
+def test_doubtful_seams_raise(spark, tmp_path):
+    (tmp_path / "c.fq").write_text("@a\nAC\n+\nIII\n" * 50)
+    with pytest.raises(Exception, match="cannot tell where records start"):
+        sources.read_fastq(spark, str(tmp_path), split=100).collect()
+
+
+def test_fastq_folders(spark, tmp_path):
+    for lane in ("l1", "l2"):
+        (tmp_path / lane).mkdir()
+        (tmp_path / lane / "s.fq").write_text(record(lane, "A", "I"))
+    (tmp_path / "l2" / "t.fq").write_text(record("t", "A", "I"))
+    got = sources.read_fastq(spark, [str(tmp_path / "l1"), str(tmp_path / "l2")])
+    assert [r[0] for r in rows(got)] == ["l1/s", "l2/s", "l2/t"]
+    assert sorted(r[0] for r in rows(sources.read_fastq(spark, [str(tmp_path / "l1" / "s.fq"), str(tmp_path / "l2" / "t.fq")]))) == ["s", "t"]
+
+
 def test_fastq_source_travels_without_the_package(spark, tmp_path):
     sources.read_fastq(spark, str(tmp_path))  # marks the module
     (tmp_path / "source").write_bytes(cloudpickle.dumps(fastq.FastqSource))
