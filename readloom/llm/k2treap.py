@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from readloom.operators.staging import stage
 
 #: Bytes of text behind one grid.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Terms of all items that are looked up in one pass over the index.
 BLOCK_TERMS = 200_000
 #: Document ranges of an item that descend at once.
