@@ -16,9 +16,12 @@ UNDETERMINED = "und"
 SIZES = (2, 3, 4)
 BUCKETS = 1 << 14
 DIM = 16
-#: Bound of the training sample: documents per language, and characters of a document that may take part.
+#: Bound of the training sample: documents per language and of all languages, first characters of a
+#: document that take part, and languages, the most frequent ones.
 SAMPLE_PER_LANG = 1500
+SAMPLE_DOCS = 6000
 SAMPLE_CHARS = 20_000
+MAX_LANGS = 256
 EPOCHS = 4
 #: Share of correctly read calibration documents that the rejection may cost.
 REJECTED = 0.0005
@@ -162,19 +165,24 @@ def words_seen(texts: list[str]) -> tuple[np.ndarray, float]:
 def fit(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG, max_chars: int = SAMPLE_CHARS) -> Model:
     """A model from a bounded sample of ``(doc_id, text, lang)``.
 
-    A language gives about ``per_lang`` documents, chosen by a hash of their text
-    and id, of at most ``max_chars`` characters each: that bounds what the driver
-    receives. Rows without a language or a letter give nothing.
+    Each of the ``MAX_LANGS`` most frequent languages gives about ``per_lang`` documents, fewer where that would be
+    over ``SAMPLE_DOCS`` in all, chosen by a hash of their text and id; of a longer text the first
+    ``max_chars`` characters take part. That bounds what the driver receives and the model's size. Rows without a
+    language or a letter give nothing.
     """
-    usable = labelled.where(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= max_chars)
-    ).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    start = F.left("text", F.lit(max_chars))
+    usable = labelled.where(F.col("lang").isNotNull() & start.rlike(r"\p{L}")).select("doc_id", "text", "lang")
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
     if not sizes:
         return train([], [])
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_lang / n))])
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000
-    rows = sorted((r["lang"], r["text"]) for r in usable.where(drawn).select("lang", "text").collect())
+    quota = max(1, min(per_lang, SAMPLE_DOCS // len(sizes)))
+    shares = labelled.sparkSession.createDataFrame(
+        [(r["lang"], min(1.0, quota / r["n"]) * (1 << 40)) for r in sizes], "_lang string, _share double"
+    )
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < F.col("_share")
+    # One row per language, at most MAX_LANGS.
+    sample = usable.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).where(drawn)
+    rows = sorted((r["lang"], r["text"]) for r in sample.select("lang", start.alias("text")).collect())
     return train([t for _, t in rows], [lang for lang, _ in rows])
 
 
@@ -184,8 +192,8 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFr
     Null texts and texts without a letter are ``und``, score 0, and rejected; others
     are rejected if their score is below the calibrated threshold, or their share of
     unseen subwords above the calibrated one: the score only tells the trained languages
-    from each other. The model has a fixed size (``BUCKETS`` rows per subword size, ``SEEN``
-    bits), which bounds what tasks receive.
+    from each other. Rows that repeat are read alike, and other columns are not looked at. The model has ``BUCKETS``
+    rows per subword size of a number per language, and ``SEEN`` bits, which bounds what tasks receive.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom.functions.arrays import let
+from readloom.functions.texts import blocks_of, piece, running_max
 from readloom.llm.common import matches
 
 # Patterns are written so that no start is tried twice and no repetition is taken
@@ -149,23 +150,27 @@ def redact(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
         )
     )
 
-    def rebuilt(spans: Column) -> Column:
-        reach = lambda i: F.coalesce(F.array_max(F.transform(F.slice(spans, F.lit(1), i), lambda s: -s["back"])), F.lit(0))
-        # Text from the furthest stop so far to this start, then this span's label unless it begins inside another.
-        parts = F.transform(
-            spans,
-            lambda s, i: let(
-                reach(i),
-                lambda at: F.when(
-                    s["start"] >= at,
-                    F.concat(F.substring(text, at + 1, s["start"] - at), F.lit("<"), F.upper(s["kind"]), F.lit(">")),
+    def rebuilt(spans: Column, blocks: Column) -> Column:
+        # The furthest stop before each span, and behind the last.
+        stops = F.concat(F.transform(spans, lambda s: -s["back"]), F.array(F.lit(0)))
+        whole = F.length(text)
+
+        def parts(reach: Column) -> Column:
+            # Text from the furthest stop so far to this start, then this span's label unless it begins inside another.
+            shown = F.transform(
+                spans,
+                lambda s, i: F.when(
+                    s["start"] >= reach[i],
+                    F.concat(piece(blocks, reach[i], s["start"] - reach[i]), F.lit("<"), F.upper(s["kind"]), F.lit(">")),
                 ).otherwise(F.lit("")),
-            ),
-        )
-        rest = let(reach(F.size(spans)), lambda at: F.substring(text, at + 1, F.length(text)))
-        return F.concat(F.array_join(parts, ""), rest)
+            )
+            last = reach[F.size(spans)]
+            return F.array_join(F.concat(shown, F.array(piece(blocks, last, whole - last))), "")
+
+        return let(running_max(stops, F.lit(0)), parts)
 
-    changed = docs.withColumn("text", F.when(F.size("pii") > 0, let(ordered, rebuilt)).otherwise(text)).drop("pii")
+    cleaned = let(ordered, lambda spans: let(blocks_of(text), lambda blocks: rebuilt(spans, blocks)))
+    changed = docs.withColumn("text", F.when(F.size("pii") > 0, cleaned).otherwise(text)).drop("pii")
     return changed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else changed
 
 

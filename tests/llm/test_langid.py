@@ -63,3 +63,50 @@ def test_foreign_text_is_rejected_and_clean_text_stays(spark, frame):
     held = docs.where((langid.remainder(4) == 2) & docs["text"].rlike(r"\p{L}"))
     rows = langid.predict(held, model, ("doc_id",)).collect()
     assert sum(r["rejected"] for r in rows) <= 0.005 * len(rows)
+
+
+def plain_subwords(text):
+    """Rows of the table, n-gram by n-gram."""
+    letters = "".join(c if ord(c) > 127 or "a" <= c <= "z" else c.lower() if "A" <= c <= "Z" else " " for c in text)
+    codes = b" " + b" ".join(w for w in letters.encode().split(b" ") if w) + b" "
+    rows = []
+    for k, size in enumerate(langid.SIZES):
+        for i in range(len(codes) - size + 1):
+            code = int.from_bytes(codes[i : i + size], "little")
+            mixed = (code * 2654435761 % 2**32) ^ (code >> 15)
+            rows.append((mixed * 2246822519 % 2**32 >> 32 - 14) + k * langid.BUCKETS)
+    return rows
+
+
+def test_prediction_is_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit_on_fold(docs)
+    texts = dict(docs.select("doc_id", "text").collect())
+    for r in langid.predict(docs, model, ("doc_id",)).collect():
+        text = texts[r["doc_id"]]
+        if not any(c.isalpha() for c in text or ""):
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+            continue
+        rows = plain_subwords(text)
+        logits = [sum(float(model.table[i, j]) for i in rows) / len(rows) + model.bias[j] for j in range(len(model.langs))]
+        p = np.exp((np.array(logits) - max(logits)) / model.heat)
+        p /= p.sum()
+        assert r["lang_pred"] == model.langs[int(p.argmax())] and abs(r["score"] - p.max()) < 1e-6
+
+
+def test_a_language_of_long_texts_is_learned(frame):
+    german, english = "haus baum garten wald und die strasse ", "house tree garden wood and the street "
+    rows = [(i, german, "de") for i in range(40)] + [(100 + i, english * 700, "en") for i in range(40)]
+    rows = [(i, f"{t}{'abcdefgh'[i % 8]}", lang) for i, t, lang in rows]
+    model = langid.fit(frame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == ["de", "en"] and model.predict("house tree garden wood")[0] == "en"
+
+
+def test_many_languages_are_bounded(frame, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGS", 5)
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 20)
+    rows = [(i, f"word{chr(97 + i % 9)} text number {i}", f"l{i % 9 if i % 9 < 5 else i}") for i in range(360)]
+    taught = []
+    monkeypatch.setattr(langid, "train", lambda texts, langs: taught.extend(langs))
+    langid.fit(frame(rows, "doc_id long, text string, lang string"))
+    assert set(taught) <= {f"l{i}" for i in range(5)} and 0 < len(taught) <= 60
