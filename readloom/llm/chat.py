@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom.functions.arrays import indices, let
+from readloom.operators.ordering import ranked
 from readloom.operators.staging import stage
 
 QUOTED = r"^(?:[ \t]*>)+"
@@ -49,10 +50,16 @@ def passages(text: Column) -> Column:
 
 
 def keys(run: Column) -> Column:
-    """Hashes by which a run is found: of the whole run, then of each of its lines; blank ones give none."""
+    """Hashes by which a run is found: of the whole run, of each of its paragraphs, of each of its lines; blank ones give none.
+
+    A paragraph ends at a blank line. White space is normalised, so one that a mail client has wrapped anew keeps its hash.
+    """
+    part = lambda n, passage: F.struct(F.lit(n).alias("part"), plain(passage).alias("passage"))
+    paragraphs = F.split(F.array_join(run["lines"], "\n"), r"\n\s*\n", -1)
     parts = F.concat(
-        F.array(F.struct(F.lit(0).alias("part"), plain(F.array_join(run["lines"], " ")).alias("passage"))),
-        F.transform(run["lines"], lambda x: F.struct(F.lit(1).alias("part"), plain(x).alias("passage"))),
+        F.array(part(0, F.array_join(run["lines"], " "))),
+        F.transform(paragraphs, lambda x: part(1, x)),
+        F.transform(run["lines"], lambda x: part(2, x)),
     )
     return F.transform(
         F.filter(parts, lambda p: p["passage"] != ""),
@@ -63,10 +70,10 @@ def keys(run: Column) -> Column:
 def link(messages: DataFrame) -> DataFrame:
     """``(conv_id, turn, role, text, chat, n_quotes, max_level, parent_turn, thread_turn, depth)``, one row per row.
 
-    ``text`` is the message without its quoted lines. A quoted run, or failing that
+    ``text`` is the message without its quoted lines. A quoted run, one of its paragraphs, or failing that
     one of its lines, is joined by hash to the earliest message of the conversation
     that says it itself and comes before. Of a message's links the one with the
-    lowest level wins, then whole runs before lines, then the latest original: its turn is
+    lowest level wins, then whole runs before paragraphs before lines, then the latest original: its turn is
     ``parent_turn``. Following parents leads to ``thread_turn``, in ``depth`` steps; a
     message without a link is its own thread. Ordered by conv_id, thread_turn, turn
     every reply comes after what it answers. ``chat`` is the text under its role.
@@ -128,6 +135,24 @@ def link(messages: DataFrame) -> DataFrame:
     )
 
 
+def conversations(linked: DataFrame, size: int = 1000) -> DataFrame:
+    """``(conv_id, thread_turn, part, messages, chat)``: the threads of ``link`` in reply order, every message without quotes.
+
+    ``messages`` are ``(position, turn, role, parent_turn, depth, text)`` by turn, so each comes after what it answers;
+    ``chat`` is the same under role marks. A thread of over ``size`` messages has several rows, in order of ``part``: no
+    task holds more of one, however long it is. Messages without conv_id or turn make threads of their own.
+    """
+    numbered = ranked(linked, ["turn", "role", "text"], group=["conv_id", "thread_turn"], name="position")
+    message = F.struct("position", "turn", "role", "parent_turn", "depth", "text", "chat")
+    parts = numbered.groupBy("conv_id", "thread_turn", F.floor((F.col("position") - 1) / size).cast("int").alias("part")).agg(
+        F.array_sort(F.collect_list(message)).alias("messages")
+    )
+    return parts.select(
+        "conv_id", "thread_turn", "part", F.transform("messages", lambda m: m.dropFields("chat")).alias("messages"),
+        F.array_join(F.transform("messages", lambda m: m["chat"]), "\n").alias("chat"),
+    )
+
+
 def thread_of(parents: DataFrame) -> DataFrame:
     """``(conv_id, turn, parent_turn, thread_turn, depth)`` by pointer doubling: rounds grow with the log of the depth."""
     heads = parents.select("conv_id", "turn", "parent_turn", F.col("parent_turn").alias("thread_turn"), F.lit(1).cast("long").alias("depth"))

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -9,9 +10,15 @@ SF = "/root/testdata/sf0.01"
 SCHEMA = "conv_id long, turn long, role string, text string, key string, hash string, level string"
 
 
+def passages(lines):
+    """Whole run, paragraphs and lines, normalised."""
+    norm = lambda t: " ".join(t.lower().split())
+    blocks = re.split(r"\n\s*\n", "\n".join(lines))
+    return [(0, norm(" ".join(lines))), *((1, norm(x)) for x in blocks), *((2, norm(x)) for x in lines)]
+
+
 def brute(rows):
     """The documented result, message by message."""
-    norm = lambda t: " ".join(t.lower().split())
     parsed = []
     for conv, turn, role, text in rows:
         runs = []
@@ -23,12 +30,12 @@ def brute(rows):
                 runs.append((level, []))
             runs[-1][1].append(body)
         own = [r for r in runs if r[0] == 0]
-        said = {norm(" ".join(r[1])) for r in own} | {norm(x) for r in own for x in r[1]}
+        said = {passage for r in own for _, passage in passages(r[1])}
         parsed.append((conv, turn, role, "\n".join(x for r in own for x in r[1]).strip(" "), said - {""}, [r for r in runs if r[0]]))
     parents = {}
     for conv, turn, _, _, _, quotes in parsed:
         for level, lines in quotes:
-            for part, passage in [(0, norm(" ".join(lines))), *((1, norm(x)) for x in lines)]:
+            for part, passage in passages(lines):
                 origins = [t for c, t, _, _, said, _ in parsed if c == conv and c is not None and passage and passage in said and t is not None]
                 if origins and turn is not None and min(origins) < turn:
                     link = (-level, -part, min(origins))
@@ -89,3 +96,40 @@ def test_query_is_brute_force(spark):
 
 def test_empty(frame):
     assert chat.link(frame([], SCHEMA)).count() == 0
+
+
+def test_some_rewrapped_paragraphs_are_linked(frame):
+    said = "The first paragraph runs over\ntwo lines of text.\n\nThe second one is short.\n\nThe third paragraph also\nruns over lines."
+    reply = "> The first paragraph\n> runs over two lines\n> of text.\n>\n> The third paragraph also runs over\n> lines.\n\nI agree."
+    rows = [(1, 0, "a", said), (1, 1, "b", "unrelated"), (1, 2, "b", reply)]
+    got = {r["turn"]: r for r in chat.link(frame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[2]["parent_turn"] == 0 and got[2]["text"].strip() == "I agree."
+
+
+def test_quoted_corpus_is_brute_force_and_in_reply_order(frame):
+    rng = random.Random(4)
+    rows = []
+    for conv in range(12):
+        said = []
+        for turn in range(40):
+            own = "\n\n".join(" ".join(rng.choices("ab cd ef gh ij kl mn".split(), k=rng.randrange(2, 9))) for _ in range(rng.randrange(1, 4)))
+            text = own
+            if said and rng.random() < 0.7:
+                quoted = rng.choice(said).split("\n\n")
+                some = quoted if rng.random() < 0.5 else [rng.choice(quoted)]
+                words = "\n>\n".join("> " + x.replace(" ", rng.choice([" ", "\n> "]), 1) for x in some)
+                text = f"{'>' if rng.random() < 0.3 else ''}{words}\n{own}"
+            said.append(own)
+            rows.append((conv, turn, rng.choice(["user", "assistant"]), text))
+    linked = chat.link(frame(rows, "conv_id long, turn long, role string, text string"))
+    assert result(linked) == brute(rows) and sum(r[6] is not None for r in brute(rows)) > 200
+    seen = {}
+    for r in chat.conversations(linked, size=7).collect():
+        assert len(r["messages"]) <= 7 and ">" not in "".join(m["text"] for m in r["messages"])
+        for m in r["messages"]:
+            assert m["position"] == 7 * r["part"] + r["messages"].index(m) + 1
+            seen[r["conv_id"], m["turn"]] = (r["thread_turn"], m["position"], m["parent_turn"])
+    assert len(seen) == len(rows)
+    for (conv, _), (thread, position, parent) in seen.items():
+        assert parent is None or (seen[conv, parent][0] == thread and seen[conv, parent][1] < position)
+    assert chat.conversations(linked.where("false")).count() == 0

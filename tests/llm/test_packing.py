@@ -72,3 +72,27 @@ def test_odd_rows(odd_documents, no_documents):
     assert sum(r["n_words"] for r in rows if r["doc_id"] == 8) == 36_000
     assert len([r for r in rows if r["doc_id"] == 6]) == 2
     assert packing.pack(no_documents).count() == 0
+
+
+def test_equal_rows_are_spread_and_kept(spark):
+    docs = spark.range(3000).selectExpr("1L as doc_id", "'same words here' as text", "'s' as source")
+    rows = packing.pack(docs, shard=200).collect()
+    assert len(rows) == 3000 and len({r["shard"] for r in rows}) == 15
+    assert max(Counter((r["shard"], r["bin"]) for r in rows).values()) == 1
+    rows = packing.pack_texts(docs, shard=200).collect()
+    assert Counter(r["text"] for r in rows) == {"same words here": 3000} and len({r["shard"] for r in rows}) == 15
+
+
+def test_texts_and_windows_hold_every_word_once(spark, odd_documents, no_documents):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source").unionAll(odd_documents.select("doc_id", "text", "source"))
+    pieces = packing.pack_texts(docs).collect()
+    texts = {}
+    for r in sorted(pieces, key=lambda r: r["piece"]):
+        assert len(r["text"].split()) == r["n_words"]
+        texts.setdefault(r["doc_id"], []).append(r["text"])
+    for r in docs.where("doc_id > 10 and text is not null").collect():
+        assert " ".join(x for x in texts[r["doc_id"]] if x) == b" ".join(r["text"].encode().split()).decode()
+    shown = packing.windows(packing.pack_texts(docs)).collect()
+    assert sum(r["n_words"] for r in shown) == sum(r["n_words"] for r in pieces)
+    assert all(r["n_words"] == len(r["text"].split()) <= packing.CAPACITY and len(r["doc_ids"]) == len(r["text"].split("\n")) for r in shown)
+    assert packing.windows(packing.pack_texts(no_documents)).count() == 0
