@@ -34,8 +34,8 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lay all documents out in windows of ``packing.CAPACITY`` words."""
-    return packing.pack(docs)
+    """Lay all documents out in windows of ``packing.CAPACITY`` words: a row per piece, with its text and its place."""
+    return packing.pack_texts(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
