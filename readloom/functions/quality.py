@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 SANGER_MAX = 60
 ILLUMINA_OFFSET = 31
 ASCII_OFFSET = 33
-SHIFT_ERROR = "Error converting Phred 64 to Phred 33 quality : "
+SHIFT_ERROR = "quality below 0 when re-based: "
 
 
 def decode_phred(qual: str) -> Column:

@@ -18,6 +18,10 @@ from readloom.functions.contig import region_string
 # The reach of a covered interval and the padding of an indel site.
 READ_GAP = 51
 INDEL_PAD = 10
+# Mismatches that make a target: share of the quality in per cent, depth, and bases between two such loci.
+MISMATCH_SHARE = 15
+MISMATCH_DEPTH = 4
+MISMATCH_WINDOW = 10
 
 MERGE_BITS = 16
 JOIN_BITS = 12
@@ -151,6 +155,37 @@ def indel_targets(loci: DataFrame, pad: int = INDEL_PAD, contig: str = "ref_idx"
     return merged.withColumnsRenamed({"start": "s", "end": "e", "n": "support"})
 
 
+def mismatch_loci(
+    bases: DataFrame, share: int = MISMATCH_SHARE, depth: int = MISMATCH_DEPTH, contig: str = "ref_idx"
+) -> DataFrame:
+    """Loci ``contig, p`` where mismatches hold at least ``share`` per cent of the quality, at a depth of ``depth`` or more.
+
+    ``bases`` are as from ``read_bases``: ``p, q, mm``. Whole numbers, so the order of the reads plays no part.
+    """
+    wrong = F.sum(F.when(F.col("mm"), F.col("q")).otherwise(0).cast("bigint"))
+    mass = bases.groupBy(contig, "p").agg(F.count("*").alias("_dp"), wrong.alias("_wrong"), F.sum("q").alias("_all"))
+    return mass.where((F.col("_dp") >= depth) & (F.col("_wrong") > 0) & (100 * F.col("_wrong") >= share * F.col("_all"))).select(contig, "p")
+
+
+def mismatch_clusters(loci: DataFrame, window: int = MISMATCH_WINDOW, contig: str = "ref_idx") -> DataFrame:
+    """Runs ``contig, s, e, n`` of two or more mismatching loci, each less than ``window`` bases after the one before."""
+    merged = merge_intervals(loci.select(contig, F.col("p").alias("s"), F.col("p").alias("e")), [contig], "s", "e", window - 1)
+    return merged.where("n > 1").withColumnsRenamed({"start": "s", "end": "e"})
+
+
+def realignment_targets(loci: DataFrame, clusters: DataFrame, pad: int = INDEL_PAD, contig: str = "ref_idx") -> DataFrame:
+    """Targets ``contig, s, e, support`` around gaps (``locus, n``) and around clusters of mismatches (``s, e, n``).
+
+    Both are padded and merged where they meet; ``support`` sums reads with a gap and loci with mismatches.
+    """
+    around = lambda df, s, e: df.select(
+        contig, F.greatest(F.col(s) - pad, F.lit(1)).cast("int").alias("s"), (F.col(e) + pad).cast("int").alias("e"), F.col("n").cast("bigint").alias("n")
+    )
+    both = around(loci, "locus", "locus").unionAll(around(clusters, "s", "e"))
+    merged = merge_intervals(both, [contig], "s", "e", 0, weight=F.col("n"))
+    return merged.withColumnsRenamed({"start": "s", "end": "e", "n": "support"})
+
+
 def half_open(covered: DataFrame) -> DataFrame:
     """1-based inclusive ``s, e`` as 0-based half-open ``start0, end0``."""
     return covered.withColumn("start0", F.col("s") - 1).withColumn("end0", F.col("e")).drop("s", "e")

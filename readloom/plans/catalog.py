@@ -30,7 +30,7 @@ def query(fn: Query) -> Query:
 
 
 def _region_map(spark, sf):
-    return regions.balance_regions(regions.count_contigs(T.placed(spark, sf)))
+    return stage(regions.balance_regions(regions.count_contigs(T.placed(spark, sf))), "regions")
 
 
 def _covered(spark, sf):
@@ -214,6 +214,12 @@ def indel_targets(spark, sf):
     return intervals.indel_targets(intervals.indel_loci(T.placed(spark, sf)))
 
 
+@query
+def realignment_targets(spark, sf):
+    clusters = intervals.mismatch_clusters(intervals.mismatch_loci(T.bases(spark, sf)))
+    return intervals.realignment_targets(intervals.indel_loci(T.dense(spark, sf).where("ref_idx between 1 and 24")), clusters)
+
+
 # Recalibration and calling ----------------------------------------------------
 
 
@@ -231,6 +237,17 @@ def recal_apply(spark, sf):
     return new.select(*T.READ_IDS, F.array_join(F.col("quals").cast("array<string>"), ",").alias("quals"), total.alias("new_q"))
 
 
+@query
+def recal_by_levels(spark, sf):
+    grouped = T.bases(spark, sf, T.known(spark, sf)).withColumn("rg", F.concat(F.lit("g"), F.col("pk") % 3))
+    # Read group g0 and a quality stay unknown, and some combinations of the others.
+    levels = recal.recal_levels(grouped.where("pk % 3 > 0 and q <> 27 and not (q > 30 and cyc = 5)"), "rg", ("cyc",))
+    reads = T.base_arrays(spark, sf).withColumn("rg", F.concat(F.lit("g"), F.col("pk") % 3))
+    values = {"rg": F.array_repeat("rg", F.size("quals")), "q": F.col("quals"), "cyc": F.col("cycles")}
+    new = recal.recalibrate_by_levels(reads, levels, values)
+    return new.select(*T.READ_IDS, F.array_join(F.col("quals").cast("array<string>"), ",").alias("quals"))
+
+
 @query
 def aligned_bases(spark, sf):
     bases = recal.read_bases(T.letters(spark, sf), T.reference(spark, sf), T.READ_IDS, T.known(spark, sf))

@@ -199,6 +199,27 @@ select ref_idx, p, any_value(ref) as ref, any_value(dp) as dp, arg_min(g1, (c, g
  min(c) as best, list_sort(list(c))[2] - min(c) as gq, any_value(c) filter (g1 = ref and g2 = ref) - min(c) as qual,
  map_from_entries(list((g1 || g2, l))) as likes
 from genotype_likes group by ref_idx, p having any_value(c) filter (g1 = ref and g2 = ref) > min(c)""",
+    "mismatching": """
+select ref_idx, p from bases group by ref_idx, p
+having count(*) >= 4 and sum(case when mm then q else 0 end) > 0 and 100 * sum(case when mm then q else 0 end) >= 15 * sum(q)""",
+    "clusters": """
+select ref_idx, min(p) as s, max(p) as e, count(*) as n from (
+ select *, sum(o) over (partition by ref_idx order by p) as g from (
+  select ref_idx, p, case when p - lag(p) over (partition by ref_idx order by p) < 10 then 0 else 1 end as o from mismatching))
+group by ref_idx, g having count(*) > 1""",
+    "dense_loci": """
+select ref_idx, pos + case cigar when '50M2D48M' then 50 else 40 end as locus, case cigar when '50M2D48M' then 'D' else 'I' end as op,
+ cast(count(*) as bigint) as n from dense where cigar in ('50M2D48M','40M3I57M') and ref_idx between 1 and 24 group by 1,2,3""",
+    "level_bases": """
+select concat('g', pk % 3) as rg, q, cyc, mm from bases b
+where pk % 3 > 0 and q <> 27 and not (q > 30 and cyc = 5) and not exists (select 1 from known k where k.ref_idx = b.ref_idx and k.p = b.p)""",
+    "level_groups": "select rg, (count(*) filter (mm) + 1.0::double) / (count(*) + 2.0::double) as rate from level_bases group by rg",
+    "level_quals": """
+select rg, q, (err + 20 * g.rate) / (n + 20) as rate
+from (select rg, q, count(*) as n, count(*) filter (mm) as err from level_bases group by rg, q) join level_groups g using (rg)""",
+    "level_cycles": """
+select rg, q, cyc, (err + 20 * p.rate) / (n + 20) as rate
+from (select rg, q, cyc, count(*) as n, count(*) filter (mm) as err from level_bases group by rg, q, cyc) join level_quals p using (rg, q)""",
     # Contig, unclipped 5' position and strand in one number.
     "read_ends": f"""
 select *, row_number() over (order by {_ID}) as no, (l_linenumber - 1) // 2 as fragment,
@@ -375,6 +396,19 @@ from (select distinct c,p,r,v from truth) a left join (select distinct c,p,r,v f
     "seed_best": """
 select item_id, doc_id, diag, votes
 from (select *, row_number() over(partition by item_id order by votes desc, doc_id, diag) rk from votes) x where rk = 1""",
+    "realignment_targets": """
+select ref_idx, cast(min(s) as int) as s, cast(max(e) as int) as e, cast(sum(n) as bigint) as support from (
+ select *, sum(case when pm is null or s > pm then 1 else 0 end) over(partition by ref_idx order by s,e,n rows between unbounded preceding and current row) grp
+ from (select *, max(e) over(partition by ref_idx order by s,e,n rows between unbounded preceding and 1 preceding) pm
+  from (select ref_idx, greatest(locus-10,1) s, locus+10 e, n from dense_loci union all select ref_idx, greatest(s-10,1), e+10, n from clusters) i) g) h
+group by ref_idx, grp""",
+    "recal_by_levels": """
+select ok, ln, pk, sk, string_agg(cast(case when g is null then q else
+ least(greatest((coalesce(l, g) + coalesce(c - coalesce(l, g), 0) + 500) // 1000, 1), 93) end as varchar), ',' order by p) as quals
+from (select b.rid, b.ok, b.ln, b.pk, b.sk, b.p, b.q, cast(round(-10000 * log10(g.rate)) as int) as g,
+  cast(round(-10000 * log10(l.rate)) as int) as l, cast(round(-10000 * log10(c.rate)) as int) as c
+ from bases b left join level_groups g on g.rg = concat('g', pk % 3) left join level_quals l on l.rg = concat('g', pk % 3) and l.q = b.q
+ left join level_cycles c on c.rg = concat('g', pk % 3) and c.q = b.q and c.cyc = b.cyc) group by rid, ok, ln, pk, sk""",
     "genotypes": """
 select ref_idx, cast(p as int) as p, ref, array_to_string(alts, ',') as alt, cast(dp as bigint) as dp,
  array_to_string(list_transform(alleles, lambda x: cast(coalesce(counts[x], 0) as varchar)), ',') as ad,

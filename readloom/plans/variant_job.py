@@ -32,6 +32,7 @@ class Calls:
     metrics: DataFrame
     intervals: DataFrame
     indel_targets: DataFrame
+    realignment_targets: DataFrame
     recal_table: DataFrame
     variants: DataFrame
     region_reads: DataFrame
@@ -94,12 +95,13 @@ def call_variants(
     usable = stage(inside.where(~F.col("is_dup") & F.col("quality_error").isNull()), "usable")
 
     loci = intervals.indel_loci(inside)
-    spots = intervals.indel_targets(loci, pad)
-    indel_targets = _restrict_spans(spots, bed)
+    indel_targets = _restrict_spans(intervals.indel_targets(loci, pad), bed)
 
     chunks = ref_chunks.join(index, "contig").select("ref_idx", "chunk_start", "bases")
     sites = known_sites.join(index, "contig").select("ref_idx", F.col("pos").alias("p"))
     carried = [READ_ID, *[c for c in covariates if c in R.READ_GROUP]]
+    clusters = intervals.mismatch_clusters(intervals.mismatch_loci(recal.read_bases(usable, chunks, [READ_ID], sites)))
+    realignment_targets = _restrict_spans(intervals.realignment_targets(loci, clusters, pad), bed)
     table = stage(recal.recal_table(recal.read_bases(usable, chunks, carried, sites), covariates), "recal")
     improved = recal.recalibrate_reads(usable, table, recal.read_values(covariates), [READ_ID])
     shown = genotyping.genotypes(recal.read_bases(improved, chunks, [READ_ID]))
@@ -114,6 +116,7 @@ def call_variants(
         metrics=duplicates.dup_metrics(reads, ["rg_lb"]),
         intervals=bed,
         indel_targets=indel_targets,
+        realignment_targets=realignment_targets,
         recal_table=table,
         variants=records,
         region_reads=R.stage_counts(reads, "region"),

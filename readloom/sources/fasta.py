@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from readloom.functions.texts import ROUNDS, blocks_of
+
 
 def read_fasta(spark: SparkSession, path: str, width: int = 1024, overlap: int = 0) -> DataFrame:
     """``contig, chunk_start, bases``: chunks of ``width`` bases and ``overlap`` more, starts from 1."""
@@ -61,7 +63,12 @@ def read_fasta(spark: SparkSession, path: str, width: int = 1024, overlap: int =
         )
         .where(F.col("contig").isNotNull())
     )
-    # A line goes to every chunk it reaches, cut to fit; a chunk is width + overlap bases at most.
+    # A line of any length in blocks, so that cutting it does not walk over it for every chunk.
+    blocks = F.posexplode(blocks_of(F.col("_text"))).alias("_block", "_part")
+    placed = placed.select("contig", "_at", blocks).select(
+        "contig", (F.col("_at") + F.col("_block") * ROUNDS[-1]).alias("_at"), F.col("_part").alias("_text")
+    )
+    # A block goes to every chunk it reaches, cut to fit; a chunk is width + overlap bases at most.
     size = F.length("_text")
     first = F.greatest(F.floor((F.col("_at") - (width + overlap) + 1 + width - 1) / width), F.lit(0))
     last = F.floor((F.col("_at") + size - 1) / width)

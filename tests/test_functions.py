@@ -88,7 +88,7 @@ def test_guess_encoding(frame, quals, encoding):
 def test_rebase_and_error(frame):
     r = one(frame, "q array<int>", ([31, 40, 30, 2],), n=fn.rebase("q"), e=fn.quality_error("q"))
     assert r.n == [0, 9, -1, -29]
-    assert r.e == "Error converting Phred 64 to Phred 33 quality : -1"
+    assert r.e == "quality below 0 when re-based: -1"
     assert one(frame, "q array<int>", ([31, 40],), e=fn.quality_error("q")).e is None
 
 
@@ -97,3 +97,27 @@ def test_phred_round_trip(frame):
     assert r.q == [0, 31, 93, 40]
     assert one(frame, "q array<int>", ([0, 31, 93, 40],), s=fn.encode_phred("q")).s == "!@~I"
     assert one(frame, "s string", ("*",), q=fn.decode_phred("s")).q is None
+
+
+@pytest.mark.parametrize("rounds", [(8, 4, 2), (1000, 3), (5,)])
+def test_pieces_of_long_texts(frame, rounds):
+    from readloom.functions import texts
+
+    given = ["", "a", "\U0001f600é" * 40 + "x", "abcdefg" * 9, None]
+    df = frame(list(enumerate(given)), "id int, t string")
+    size = rounds[-1]
+    blocks = [r.b for r in df.select(texts.blocks_of(F.col("t"), rounds).alias("b")).collect()]
+    for text, got in zip(given[:4], blocks, strict=False):
+        assert got == [text[i : i + size] for i in range(0, len(text), size)]
+    for start, n in [(0, 1), (1, 5), (7, 0), (3, 40), (0, 200)]:
+        cut = texts.piece(texts.blocks_of(F.col("t"), rounds), F.lit(start), F.lit(n), size).alias("p")
+        assert [r.p for r in df.where("id < 4").select(cut).collect()] == [t[start : start + n] for t in given[:4]]
+
+
+def test_running_max(frame):
+    from readloom.functions import texts
+
+    rows = [[], [3], [1, 5, 2, 7, 7, 1, 9, 0, 3, 4, 12]]
+    df = frame([(x,) for x in rows], "x array<int>")
+    got = [r.m for r in df.select(texts.running_max(F.col("x"), F.lit(2)).alias("m")).collect()]
+    assert got == [[max([2, *x[:i]]) for i in range(len(x))] for x in rows]

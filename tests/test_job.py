@@ -105,6 +105,8 @@ def test_sam_to_vcf(spark, files, tmp_path):
     bed = rows(result.intervals.select("contig", "start0", "end0"))
     assert len(bed) == 3 and all(e - s > 900 for _, s, e in bed)
     assert result.indel_targets.count() == 0
+    # Neighbouring differences are a target without any gap.
+    assert [(r.s, r.e) for r in result.realignment_targets.collect()] == [(1014, 1035)]
 
     called = rows(result.variants.select("contig", "p", "ref", "alt"))
     assert called == expected(variants)
@@ -115,6 +117,69 @@ def test_sam_to_vcf(spark, files, tmp_path):
     assert sorted(p.name for p in (tmp_path / "by").glob("region=*")) == ["region=1", "region=2"]
 
 
+def test_deletion_and_genotypes_reach_the_vcf(spark, files):
+    folder, _ = files
+    given = inputs(spark, folder)
+    ref, _ = genome()
+    # A repeat of three units loses one on one allele; the gaps lie at different units.
+    text = ref["chr1"]
+    at = next(i for i in range(100, 1200) if text[i] != text[i + 1] and text[i : i + 2] == text[i + 2 : i + 4])
+    start = next(s for s in range(at, 0, -1) if text[s - 1] != text[s + 1])
+    sam = []
+    for i in range(40):
+        first = at - 30 - i % 7
+        shift = 2 * (i % 2)
+        if i % 2:
+            left = start + shift - first
+            seq, cigar = text[first : start + shift] + text[start + shift + 2 : first + 82], f"{left}M2D{80 - left}M"
+        else:
+            seq, cigar = text[first : first + 80], "80M"
+        sam.append(f"d{i}\t{16 * (i % 4 // 2)}\tchr1\t{first + 1}\t60\t{cigar}\t*\t0\t0\t{seq}\t{'E' * 80}")
+    path = folder / "deletion.sam"
+    path.write_text("\n".join(sam) + "\n")
+    alignments = sources.read_sam(spark, str(path), given["contigs"])
+    result = call_variants(alignments, **given)
+    [r] = result.variants.collect()
+    assert (r.p, r.ref, r.alt, r.gt) == (start, text[start - 1 : start + 2], text[start - 1], "0/1")
+    assert r.line.split("\t")[8] == "GT:DP:AD:GQ:PL" and r.line.split("\t")[9].startswith("0/1:")
+    [t] = result.indel_targets.collect()
+    assert t.s <= start + 1 <= t.e
+
+
+def test_a_repeat_is_called_in_the_copy_of_the_mates(spark, tmp_path):
+    rnd = random.Random(21)
+    unit = "".join(rnd.choice("ACGT") for _ in range(300))
+    parts = ["".join(rnd.choice("ACGT") for _ in range(700)) for _ in range(3)]
+    text = parts[0] + unit + parts[1] + unit + parts[2]
+    second = 700 + 300 + 700
+    differs = second + 150
+    alt = "ACGT"[("ACGT".index(text[differs]) + 1) % 4]
+    own = text[:differs] + alt + text[differs + 1 :]
+    flip = lambda s: s.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    records = []
+    for i in range(500):
+        size = rnd.randrange(330, 370)
+        s = rnd.randrange(0, len(own) - size)
+        ends = [own[s : s + 80], flip(own[s + size - 80 : s + size])]
+        records += [f"@p{i}/{m + 1}\n{ends[m]}\n+\n{'E' * 80}\n" for m in (0, 1)]
+    (tmp_path / "fq").mkdir()
+    (tmp_path / "fq" / "x.fq").write_text("".join(records))
+    (tmp_path / "g.dict").write_text(f"@HD\n@SQ\tSN:chrM\tLN:9\n@SQ\tSN:chr1\tLN:{len(text)}\n")
+    (tmp_path / "g.fa").write_text(f">chr1\n{text}\n")
+    (tmp_path / "t.bed").write_text(f"chr1\t0\t{len(text)}\n")
+    (tmp_path / "k.vcf").write_text("##x\nchr1\t5\trs\tA\tC\t.\t.\t.\n")
+    contigs = sources.read_contigs(spark, str(tmp_path / "g.dict"))
+    result = place_and_call(
+        sources.read_fastq(spark, str(tmp_path / "fq"), split=20_000),
+        sources.read_fasta(spark, str(tmp_path / "g.fa"), 256, seeding.K - 1),
+        contigs,
+        known_sites=sources.read_vcf(spark, str(tmp_path / "k.vcf")),
+        targets=sources.read_bed(spark, str(tmp_path / "t.bed")),
+    )
+    [r] = result.variants.collect()
+    assert (r.p, r.ref, r.alt, r.gt) == (differs + 1, text[differs], alt, "1/1")
+
+
 def test_fastq_to_calls(spark, files):
     folder, variants = files
     given = inputs(spark, folder, seeding.K - 1)

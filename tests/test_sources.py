@@ -219,3 +219,11 @@ def test_interval_and_alignment_sinks(spark, frame, tmp_path):
     for part in sorted((tmp_path / "sorted").glob("part-*")):
         keys += [(r.ref_idx, r.pos, r.qname) for r in spark.read.parquet(str(part)).collect()]
     assert keys == sorted(keys) and len(keys) == 3000
+
+
+def test_fasta_line_of_any_length(spark, tmp_path):
+    rnd = random.Random(1)
+    text = "".join(rnd.choices("ACGT", k=3_000_000))
+    (tmp_path / "x.fa").write_text(f">a\n{text}\n>b\nAC\n")
+    got = {r.chunk_start: r.bases for r in sources.read_fasta(spark, str(tmp_path / "x.fa"), 1000, 10).where("contig = 'a'").collect()}
+    assert got == {i + 1: text[i : i + 1010] for i in range(0, len(text), 1000)}
