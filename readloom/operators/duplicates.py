@@ -76,6 +76,11 @@ def _packed(score: Column, number: Column) -> Column:
     return falling * F.lit(Decimal(1 << 64)) + (number.cast("decimal(20,0)") + F.lit(Decimal(1 << 63)))
 
 
+def _number(rank: Column) -> Column:
+    """The number in a rank of ``_packed``."""
+    return (F.pmod(rank, F.lit(Decimal(1 << 64))) - F.lit(Decimal(1 << 63))).cast("bigint")
+
+
 def _flagged(keyed: DataFrame, winners: DataFrame, meets: Column, same: Sequence[str], columns: Sequence[str]) -> DataFrame:
     for c in same:
         meets = meets & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
@@ -127,7 +132,7 @@ def mark_pair_duplicates(
     contig: str = "ref_idx",
     within: Sequence[str] = (),
 ) -> DataFrame:
-    """Flag ``is_dup`` on the reads of all but the best of each group of equal fragments.
+    """Flag ``is_dup`` on the reads of all but the best of each group of equal fragments, and say of which in ``dup_of``.
 
     Two reads of one ``template`` are a pair, whose key is both unclipped 5' ends: a clip at either end
     splits no group. Of equal pairs the one with the highest sum of scores stays, then that with the smallest
@@ -136,6 +141,9 @@ def mark_pair_duplicates(
     pair has the same end. ``within`` names columns, such as a library, that keep fragments apart. ``read_id`` is
     a whole number of its own for each read, ``score`` a whole number whose NULL is the lowest.
 
+    ``dup_of`` is the ``read_id`` of the first read of the fragment that a duplicate equals; NULL for reads that stay,
+    and for single reads that lose to a pair.
+
     Keys are longs and ranks decimals, so every aggregation is one by hash with partial sums; an end that holds a
     third of all reads never meets in a task. What the steps share is staged without sequences.
     """
@@ -158,7 +166,9 @@ def mark_pair_duplicates(
     pairs = pairs.where(F.col("_n") == 2).withColumn("_rank", _packed(F.col("_score"), F.col("_first")))
     pairs = stage(pairs.select(*named, *apart, "_low", "_high", "_rank"), "pairs")
     best = pairs.groupBy("_low", "_high", *apart).agg(F.min("_rank").alias("_best"))
-    judged = _joined(pairs, best, ["_low", "_high", *apart]).select(*named, *apart, (F.col("_rank") != F.col("_best")).alias("_pair_dup"))
+    judged = _joined(pairs, best, ["_low", "_high", *apart]).select(
+        *named, *apart, (F.col("_rank") != F.col("_best")).alias("_pair_dup"), _number(F.col("_best")).alias("_pair_of")
+    )
     found = stage(_joined(ends, judged, [*named, *apart], "left"), "judged")
     single = F.col("_pair_dup").isNull()
     rank = _packed(F.col("_score"), F.col("_id"))
@@ -166,7 +176,10 @@ def mark_pair_duplicates(
         F.min(F.when(single, rank)).alias("_best"), F.count_if(~single).alias("_pairs")
     )
     lost = (F.col("_pairs") > 0) | (rank != F.col("_best"))
-    flags = _joined(found, groups, ["_end", *apart]).select("_id", F.coalesce("_pair_dup", lost).alias("is_dup"))
+    equal = F.when(single, F.when(F.col("_pairs") == 0, _number(F.col("_best")))).otherwise(F.col("_pair_of"))
+    flags = _joined(found, groups, ["_end", *apart]).select(
+        "_id", F.coalesce("_pair_dup", lost).alias("is_dup"), F.when(F.coalesce("_pair_dup", lost), equal).alias("dup_of")
+    )
     return reads.join(flags, F.col(read_id) == F.col("_id")).drop("_id")
 
 
@@ -177,3 +190,82 @@ def _joined(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "in
     for c in on:
         same = same & F.col(c).eqNullSafe(F.col(f"_r{c}"))
     return left.join(named, same, how).drop(*[f"_r{c}" for c in on])
+
+
+# Pixels within which copies of one cluster lie.
+OPTICAL_PIXELS = 100
+# Halvings of the range in which the size of a library is sought.
+HALVINGS = 40
+
+
+def flow_cell_place(name: Column) -> Column:
+    """``struct<tile, x, y>`` of a read name whose last three fields, by colons, are tile, x and y; NULL for others.
+
+    ``tile`` keeps all fields before, so equal tiles are tiles of one lane.
+    """
+    parts = F.regexp_extract_all(name, F.lit(r"^(.*:[0-9]+):([0-9]+):([0-9]+)(?:[ /].*)?$"), F.lit(1))
+    x = F.regexp_extract(name, r"^.*:[0-9]+:([0-9]+):([0-9]+)(?:[ /].*)?$", 1).try_cast("int")
+    y = F.regexp_extract(name, r"^.*:[0-9]+:([0-9]+):([0-9]+)(?:[ /].*)?$", 2).try_cast("int")
+    return F.when(F.size(parts) > 0, F.struct(parts[0].alias("tile"), x.alias("x"), y.alias("y")))
+
+
+def with_optical(marked: DataFrame, read_id: str, name: str = "qname", pixels: int = OPTICAL_PIXELS) -> DataFrame:
+    """Duplicates of ``mark_pair_duplicates`` with ``is_optical``: on the tile of the read that stays, ``pixels`` or less away in x and in y.
+
+    Each duplicate meets the one read it equals, so a group of g copies costs g rows. Reads whose name says no place are not
+    optical.
+    """
+    place = flow_cell_place(F.col(name))
+    kept = marked.where(~F.col("is_dup")).select(F.col(read_id).alias("_kept"), place.alias("_there"))
+    here = F.col("_here")
+    there = F.col("_there")
+    near = (here["tile"] == there["tile"]) & (F.abs(here["x"] - there["x"]) <= pixels) & (F.abs(here["y"] - there["y"]) <= pixels)
+    met = marked.withColumn("_here", place).join(kept, F.col("dup_of") == F.col("_kept"), "left")
+    return met.select(*marked.columns, F.coalesce(F.col("is_dup") & near, F.lit(False)).alias("is_optical"))
+
+
+def library_size(pairs: Column, distinct: Column) -> Column:
+    """Fragments in a library of which ``pairs`` were read and ``distinct`` are different; NULL without duplicates.
+
+    The x that solves distinct / x = 1 - exp(-pairs / x): reading draws with replacement. Found by halving a range, inside
+    the expression.
+    """
+    n, c = pairs.cast("double"), distinct.cast("double")
+    left = lambda times: 1 / times - 1 + F.exp(-n / (times * c))
+    widened = F.aggregate(F.sequence(F.lit(1), F.lit(12)), F.lit(100.0), lambda high, _: F.when(left(high) > 0, high * 10).otherwise(high))
+
+    def halve(range_: Column, _: Column) -> Column:
+        middle = (range_["low"] + range_["high"]) / 2
+        above = left(middle) > 0
+        return F.struct(
+            F.when(above, middle).otherwise(range_["low"]).alias("low"), F.when(above, range_["high"]).otherwise(middle).alias("high")
+        )
+
+    start = F.struct(F.lit(1.0).alias("low"), widened.alias("high"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), start, halve, lambda r: c * (r["low"] + r["high"]) / 2)
+    return F.when((distinct > 0) & (pairs > distinct), F.round(found).cast("bigint"))
+
+
+def pair_metrics(marked: DataFrame, template: Sequence[str], library: Sequence[str] = ()) -> DataFrame:
+    """Per library: ``pairs`` (templates of two reads), ``pair_dups``, ``pair_optical``, ``single``, ``single_dups`` and ``library_size``.
+
+    ``marked`` as from ``with_optical``. A pair is optical if its first read is, by the smaller of its ends. The size of
+    the library leaves optical copies out, as they say nothing of how often a fragment was drawn.
+    """
+    whole = F.lit(True)
+    for c in template:
+        whole = whole & F.col(c).isNotNull()
+    lone = marked.withColumn("_no", F.monotonically_increasing_id()).withColumn("_lone", F.when(~whole, F.col("_no")))
+    per = lone.groupBy(*template, *library, "_lone").agg(
+        F.count("*").alias("_n"), F.bool_or("is_dup").alias("_dup"), F.bool_or("is_optical").alias("_optical"),
+        F.count_if("is_dup").alias("_dups"),
+    )
+    pair = F.col("_n") == 2
+    counted = per.groupBy(*library).agg(
+        F.count_if(pair).alias("pairs"), F.count_if(pair & F.col("_dup")).alias("pair_dups"),
+        F.count_if(pair & F.col("_optical")).alias("pair_optical"),
+        F.coalesce(F.sum(F.when(~pair, F.col("_n"))), F.lit(0)).alias("single"),
+        F.coalesce(F.sum(F.when(~pair, F.col("_dups"))), F.lit(0)).alias("single_dups"),
+    )
+    size = library_size(F.col("pairs") - F.col("pair_optical"), F.col("pairs") - F.col("pair_dups"))
+    return counted.withColumn("library_size", size)

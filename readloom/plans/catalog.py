@@ -367,12 +367,20 @@ def placed_pairs(spark, sf):
     )
 
 
+def _marked_pairs(spark, sf):
+    numbered = ordering.ranked(T.fragment_reads(spark, sf), IDS, name="read_no")
+    return duplicates.mark_pair_duplicates(numbered, "read_no", ["l_orderkey", "fragment"], "mapq", within=["lib"])
+
+
 @query
 def pair_duplicates(spark, sf):
-    reads = R.placed(T.dense(spark, sf)).withColumn("fragment", F.expr("(l_linenumber - 1) div 2"))
-    numbered = ordering.ranked(reads, IDS, name="read_no")
-    marked = duplicates.mark_pair_duplicates(numbered, "read_no", ["l_orderkey", "fragment"], "mapq")
-    return marked.select(*IDS, "is_dup")
+    return _marked_pairs(spark, sf).select(*IDS, "is_dup", "dup_of")
+
+
+@query
+def pair_metrics(spark, sf):
+    marked = duplicates.with_optical(stage(_marked_pairs(spark, sf), "marked"), "read_no")
+    return duplicates.pair_metrics(marked, ["l_orderkey", "fragment"], ["lib"])
 
 
 # Scans: the tables are written in each format and read back ---------------------

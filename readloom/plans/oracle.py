@@ -222,10 +222,30 @@ select rg, q, cyc, (err + 20 * p.rate) / (n + 20) as rate
 from (select rg, q, cyc, count(*) as n, count(*) filter (mm) as err from level_bases group by rg, q, cyc) join level_quals p using (rg, q)""",
     # Contig, unclipped 5' position and strand in one number.
     "read_ends": f"""
-select *, row_number() over (order by {_ID}) as no, (l_linenumber - 1) // 2 as fragment,
+select *, row_number() over (order by {_ID}) as no,
  (ref_idx + 1) * 34359738368 + (case when neg then pos + ref_len - 1 else pos - case cigar when '10S90M' then 10 else 0 end end + 8589934592) * 2
   + case when neg then 1 else 0 end as fe
-from dense where ref_idx between 1 and 24""",
+from (select {_ID}, cast(1 + l_orderkey % 3 as int) as ref_idx, cast(1 + l_partkey % 6 * 40 as int) as pos, cigar, ref_len, mapq, neg,
+ (l_linenumber - 1) // 2 as fragment, concat('lib', l_orderkey % 2) as lib, l_orderkey % 4 as tile,
+ (l_orderkey * 37 + (l_linenumber - 1) // 2 * 5) % 300 as x, l_orderkey * 11 % 300 as y from reads)""",
+    "end_marks": """
+select r.*, pair_dup, coalesce(pair_dup, bool_or(pair_dup is not null) over (partition by lib, fe)
+  or row_number() over (partition by lib, fe, pair_dup is null order by mapq desc, r.no) > 1) as is_dup,
+ case when pair_dup is not null then pair_of when not bool_or(pair_dup is not null) over (partition by lib, fe)
+  then first_value(r.no) over (partition by lib, fe, pair_dup is null order by mapq desc, r.no) end as equal_of
+from read_ends r left join (
+ select l_orderkey, fragment, row_number() over (partition by lib, lo, hi order by score desc, no) > 1 as pair_dup,
+  first_value(no) over (partition by lib, lo, hi order by score desc, no) as pair_of
+ from (select l_orderkey, fragment, lib, min(fe) as lo, max(fe) as hi, sum(mapq) as score, min(no) as no
+  from read_ends group by l_orderkey, fragment, lib having count(*) = 2)) j on j.l_orderkey = r.l_orderkey and j.fragment = r.fragment""",
+    "optical": """
+select m.*, coalesce(m.is_dup and m.tile = k.tile and abs(m.x - k.x) <= 100 and abs(m.y - k.y) <= 100, false) as is_optical
+from end_marks m left join end_marks k on k.no = m.equal_of and m.is_dup and not k.is_dup""",
+    "fragment_counts": """
+select lib, count(*) filter (n = 2) as pairs, count(*) filter (n = 2 and d) as pair_dups, count(*) filter (n = 2 and o) as pair_optical,
+ cast(coalesce(sum(n) filter (n <> 2), 0) as bigint) as single, cast(coalesce(sum(ds) filter (n <> 2), 0) as bigint) as single_dups
+from (select lib, l_orderkey, fragment, count(*) as n, bool_or(is_dup) as d, bool_or(is_optical) as o, count(*) filter (is_dup) as ds
+ from optical group by all) group by lib""",
     "contig_text": f"""
 select cast(p_partkey % 24 as int) as ref_idx, string_agg({_part_text("p_partkey")}, '' order by p_partkey) as text
 from part group by 1""",
@@ -452,13 +472,14 @@ from (select e.*, q1 is not null and q2 is not null as paired, coalesce(f.proper
   coalesce(z.sole, false) as sole
  from (select *, max(seq) filter (mate = 1) over (partition by ok, ln, pk, sk) as s1, max(seq) filter (mate = 2) over (partition by ok, ln, pk, sk) as s2
   from pair_ends) e left join end_final f on f.q1 = s1 and f.q2 = s2 left join end_alone z on z.seq = e.seq)""",
-    "pair_duplicates": f"""
-select {_ID}, coalesce(pair_dup, bool_or(pair_dup is not null) over (partition by fe)
- or row_number() over (partition by fe, pair_dup is null order by mapq desc, no) > 1) as is_dup
-from (select r.*, pair_dup from read_ends r left join (
-  select l_orderkey, fragment, row_number() over (partition by lo, hi order by score desc, no) > 1 as pair_dup
-  from (select l_orderkey, fragment, min(fe) as lo, max(fe) as hi, sum(mapq) as score, min(no) as no
-   from read_ends group by l_orderkey, fragment having count(*) = 2)) j on j.l_orderkey = r.l_orderkey and j.fragment = r.fragment)""",
+    "pair_duplicates": f"select {_ID}, is_dup, case when is_dup then equal_of end as dup_of from end_marks",
+    "pair_metrics": """
+select lib, pairs, pair_dups, pair_optical, single, single_dups, case when c > 0 and n > c then cast(round(c * (r.lo + r.hi) / 2) as bigint) end as library_size
+from (select *, list_reduce([{'lo': 1.0::double, 'hi': high}] || list_transform(range(40), lambda i: {'lo': 0.0::double, 'hi': 0.0::double}),
+  lambda r, _: case when 1 / ((r.lo + r.hi) / 2) - 1 + exp(-n / ((r.lo + r.hi) / 2 * c)) > 0
+   then {'lo': (r.lo + r.hi) / 2, 'hi': r.hi} else {'lo': r.lo, 'hi': (r.lo + r.hi) / 2} end) as r
+ from (select *, list_reduce(list_transform(range(13), lambda i: 100.0::double), lambda h, _: case when 1 / h - 1 + exp(-n / (h * c)) > 0 then h * 10 else h end) as high
+  from (select *, (pairs - pair_optical)::double as n, (pairs - pair_dups)::double as c from fragment_counts)))""",
     "contig_dict": "select ref_idx, contig, length from contigs",
     "sam_scan": """
 select case when ok then id end as qname, case when ok then cast(f as int) end as flag, case when ok then coalesce(i, -1) else -1 end as ref_idx,

@@ -279,3 +279,18 @@ def spelled_calls(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
           when 2 then concat(substring(_t, _o, 1), ',', translate(substring(_t, _o, 1), 'ACGT', 'CGTA'), lower(substring(_t, _o + 1, 2)))
           else concat(substring(_t, _o, 1), substring(_t, _o + 1, 2)) end as alt""",
     )
+
+
+def fragment_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads that start at few places, two lines of an order to a fragment, with names that say a place on a flow cell."""
+    return reads(spark, sf_dir).selectExpr(
+        *IDS,
+        "cast(1 + l_orderkey % 3 as int) as ref_idx",
+        "cast(1 + l_partkey % 6 * 40 as int) as pos",
+        "cigar",
+        "mapq",
+        "neg",
+        "(l_linenumber - 1) div 2 as fragment",
+        "concat('lib', l_orderkey % 2) as lib",
+        "concat_ws(':', 'm', l_orderkey % 4, (l_orderkey * 37 + (l_linenumber - 1) div 2 * 5) % 300, l_orderkey * 11 % 300) as qname",
+    )

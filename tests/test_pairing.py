@@ -4,6 +4,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from readloom.operators import duplicates, pairing
 
@@ -162,7 +163,7 @@ def test_pair_duplicates_are_brute_force(frame, within):
     df = frame(reads, "id long, name string, ref_idx int, pos int, cigar string, neg boolean, score int, lib int")
     got = duplicates.mark_pair_duplicates(df, "id", ["name"], within=["lib"] if within else [])
     assert rows(got.select("id", "is_dup")) == brute([dict(zip(columns, r, strict=True)) for r in reads], within)
-    assert got.columns == [*df.columns, "is_dup"]
+    assert got.columns == [*df.columns, "is_dup", "dup_of"]
 
 
 def test_a_clipped_mate_splits_no_group_and_other_fragments_stay(frame):
@@ -184,3 +185,34 @@ def test_aggregations_of_pair_duplicates_are_by_hash(frame):
     df = frame([(1, "a", 1, 101, "50M", False, 10)], "id long, name string, ref_idx int, pos int, cigar string, neg boolean, score int")
     plan = duplicates.mark_pair_duplicates(df, "id", ["name"])._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_duplicates_name_what_they_equal_and_optical_ones_lie_near_it(frame):
+    at = lambda i, name, pos, score, neg=False: (i, name, 1, pos, "50M", neg, score)
+    tile = lambda n, x, y: f"m:1:f:1:{n}:{x}:{y}"
+    names = [tile(7, 500, 500), tile(7, 580, 430), tile(7, 601, 500), tile(8, 500, 500), "no place"]
+    reads = []
+    for k, name in enumerate(names):
+        reads += [at(2 * k, name, 101, 50 - k), at(2 * k + 1, name, 301, 50 - k, True)]
+    reads += [at(20, tile(7, 1, 1), 901, 9), at(21, tile(7, 90, 101), 901, 5), at(22, tile(7, 500, 500) + " x", 101, 5)]
+    df = frame(reads, "id long, qname string, ref_idx int, pos int, cigar string, neg boolean, score int")
+    marked = duplicates.with_optical(duplicates.mark_pair_duplicates(df, "id", ["qname"]), "id")
+    got = {r["id"]: r for r in marked.collect()}
+    assert [got[i]["dup_of"] for i in (0, 2, 9, 20, 21, 22)] == [None, 0, 0, None, 20, None]
+    assert sorted(i for i in got if got[i]["is_optical"]) == [2, 3, 21]
+    m = duplicates.pair_metrics(marked, ["qname"]).first()
+    assert (m["pairs"], m["pair_dups"], m["pair_optical"], m["single"], m["single_dups"]) == (5, 4, 1, 3, 2)
+    # 4 pairs drawn, 1 different: x solves 1 / x = 1 - exp(-4 / x).
+    assert m["library_size"] == 1
+
+
+@pytest.mark.parametrize("size,drawn", [(1000, 500), (50_000, 60_000), (10**9, 10**6)])
+def test_library_size_solves_its_equation(frame, size, drawn):
+    import math
+
+    distinct = round(size * (1 - math.exp(-drawn / size)))
+    found = frame([(drawn, distinct), (7, 7), (0, 0)], "n long, c long").select(
+        duplicates.library_size(F.col("n"), F.col("c")).alias("x")
+    ).collect()
+    assert found[1].x is None and found[2].x is None
+    assert abs(distinct / found[0].x - (1 - math.exp(-drawn / found[0].x))) < 1 / found[0].x
