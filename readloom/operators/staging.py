@@ -4,9 +4,33 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the tables staged inside once the block ends, also by an error: write results in it, and read them after.
+
+    Gives the list of their paths. Blocks may be nested; each removes its own. Without a block staged
+    tables stay, as lazy results still read them.
+    """
+    paths: list[str] = []
+    token = _open.set(paths)
+    try:
+        yield paths
+    finally:
+        _open.reset(token)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in paths:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
 
 def staging_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a folder of our own only where none is set.
@@ -25,7 +49,10 @@ def staging_dir(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    return f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if (paths := _open.get()) is not None:
+        paths.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "table") -> DataFrame:

@@ -43,3 +43,23 @@ def test_spread_only_small_scans(spark):
     small = spark.range(0, 10, 1, 1)
     assert spread(small).rdd.getNumPartitions() == cores and rows(spread(small)) == rows(small)
     assert spread(small, limit=10) is small
+
+
+def test_staged_tables_go_when_their_block_ends(spark, tmp_path):
+    import os
+
+    from readloom.operators.staging import stage, staged_tables
+
+    with staged_tables(spark) as outer:
+        first = stage(spark.range(5), "first")
+        with staged_tables(spark) as inner:
+            stage(spark.range(7), "second").write.parquet(str(tmp_path / "kept"))
+        assert len(inner) == 1 and not os.path.exists(inner[0].removeprefix("file:"))
+        assert first.count() == 5
+    assert len(outer) == 1 and not os.path.exists(outer[0].removeprefix("file:"))
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 7
+    with pytest.raises(ZeroDivisionError), staged_tables(spark) as broken:
+        stage(spark.range(3), "third")
+        1 / 0
+    assert not os.path.exists(broken[0].removeprefix("file:"))
+    assert stage(spark.range(2), "fourth").count() == 2
