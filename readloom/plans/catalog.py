@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from readloom import sources
 from readloom.functions import contig_key, guess_encoding
-from readloom.operators import calling, duplicates, genotyping, intervals, ordering, pairing, quality, recal, regions, seeding, variants
+from readloom.operators import calling, chaining, duplicates, genotyping, intervals, ordering, pairing, quality, recal, regions, seeding, variants
 from readloom.operators import reads as R
 from readloom.operators.partitions import spread
 from readloom.operators.staging import stage, staging_path
@@ -347,6 +347,13 @@ def seed_best(spark, sf):
     return seeding.best_placement(_votes(spark, sf), "item_id", "doc_id")
 
 
+@query
+def chained_seeds(spark, sf):
+    targets = spread(T.table(spark, sf, "documents").select("doc_id", "text"))
+    # Ordered by a digest that other engines have too.
+    return chaining.chain_reads(T.table(spark, sf, "benchmark"), targets, "item_id", "doc_id", order=F.md5)
+
+
 def _part_reference(spark, sf):
     return stage(T.part_reference(spark, sf), "part_reference"), T.part_contigs(spark, sf)
 

@@ -321,6 +321,37 @@ select c.q1, c.q2, sole_a, sole_b, coalesce(a, place) as a, coalesce(b, place) a
 from end_chosen c left join end_found f on f.q1 = c.q1 and f.q2 = c.q2""",
 }
 
+_NEXT = ", ".join(f"lead(h, {j}) over along" for j in range(1, 8))
+_MINIMISERS = """
+select distinct {id}, cast(substring(m, 33, 9) as int) as i, substring(m, 42) as word from (
+ select {id}, least(h, {following}) as m, row_number() over along as s, count(*) over (partition by no) as n
+ from (select {id}, no, i, md5(word) || lpad(cast(i as varchar), 9, '0') || word as h from (
+  select {id}, no, w*512 + i as i, substring(part, i, 15) as word from (
+   select {id}, no, w, part, unnest(generate_series(1, length(part) - 14)) as i from (
+    select {id}, no, w, substring(text, w*512 + 1, 526) as part from (
+     select {id}, no, text, unnest(generate_series(0, (length(text) - 15)//512)) as w
+     from (select {id}, text, row_number() over () as no from {table}) where length(text) >= 15)))))
+ window along as (partition by no order by i))
+where s <= greatest(n - 7, 1)"""
+VIEWS |= {
+    "item_words": _MINIMISERS.format(id="item_id", table="benchmark", following=_NEXT),
+    "doc_words": _MINIMISERS.format(id="doc_id", table="documents", following=_NEXT),
+    "item_anchors": """
+select item_id, doc_id, k.i as x, d.i as y from (
+ select *, sum(often) over (partition by item_id order by often, i rows unbounded preceding) as total,
+  row_number() over (partition by item_id order by often, i) as rk
+ from item_words join (select word, count(*) as often from doc_words group by word) using (word)) k
+join doc_words d using (word) where total <= 64 or rk = 1""",
+    # Lists of one anchor each, folded to the list of all with the best score that ends there.
+    "item_ends": """
+select item_id, doc_id, unnest(list_reduce(anchors, lambda done, b: list_append(done, {'y': b[1].y, 'x': b[1].x,
+  'f': greatest(15, coalesce(list_max(list_transform(list_filter(done, lambda p: p.x < b[1].x and p.y < b[1].y),
+   lambda p: cast(p.f + least(b[1].x - p.x, b[1].y - p.y, 15) - ceil(abs((b[1].x - p.x) - (b[1].y - p.y)) / 4) as int))), 15))}))) as e
+from (select item_id, doc_id, list([{'y': y, 'x': x, 'f': 15}] order by y, x) as anchors
+ from (select *, unnest([{'half': 0, 'band': cast(floor((y - x) / 128) as int)}, {'half': 1, 'band': cast(floor((y - x + 64) / 128) as int)}]) as b from item_anchors)
+ group by item_id, doc_id, b)""",
+}
+
 QUERIES = {
     "placed_reads": f"select {_ID}, ref_idx, pos from placed",
     "alignment_end": f"select {_ID}, cast(end_pos as int) as end_pos from placed",
@@ -450,6 +481,9 @@ from (select *, list_sort([g0, g1, g2]) as gs from gap_scores) where gs[1].g <>
 select cast(count(*) as bigint) as total, cast(count(f.pos) as bigint) as matches, cast(count(*) - count(f.pos) as bigint) as diff
 from (select * from spelled_keys where l_linestatus = 'O') o left join (select * from spelled_keys where l_linestatus = 'F') f
  on o.ref_idx = f.ref_idx and o.pos = f.pos and o.ref = f.ref and o.alt = f.alt""",
+    "chained_seeds": """
+select item_id, doc_id, e.f as score, e.y - e.x as diag from item_ends where e.f >= 30
+qualify row_number() over (partition by item_id, doc_id order by e.f desc, e.y, e.x) = 1""",
     "placed_singly": f"""
 select {_PAIR}, mate, cast(coalesce(place.ref_idx, -1) as int) as ref_idx, case when place is null then 0 else greatest(place.loc, 1) end as pos,
  case when place is null then 4 when place.neg then 16 else 0 end as flag,

@@ -19,7 +19,7 @@ placed_reads alignment_end contig_sort_key contig_counts region_assignment regio
 chunk_counts chunk_union covered_intervals bed_lines region_strings interval_span interval_label merged_ranges
 interval_intersect restrict_to_targets clean_clip read_groups quality_encoding quality_fix mark_duplicates dup_metrics
 dup_counts indel_loci indel_targets recal_table recal_apply aligned_bases pileup_alleles pileup called_variants variants_per_region variants_sorted concordance
-matched_variants missed_variants realignment_targets recal_by_levels genotypes gap_alleles gap_genotypes normalised_concordance seed_votes seed_best placed_singly placed_pairs pair_duplicates pair_metrics fastq_scan sam_scan contig_dict bed_scan vcf_scan fasta_scan
+matched_variants missed_variants realignment_targets recal_by_levels genotypes gap_alleles gap_genotypes normalised_concordance seed_votes seed_best chained_seeds placed_singly placed_pairs pair_duplicates pair_metrics fastq_scan sam_scan contig_dict bed_scan vcf_scan fasta_scan
 """.split()
 
 
