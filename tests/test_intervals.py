@@ -153,11 +153,11 @@ def test_hot_position_is_combined_before_the_shuffle(spark):
 def test_mismatch_clusters(frame):
     at = lambda p, wrong, n=8: [(1, p, 30, i < wrong) for i in range(n)]
     bases = at(100, 4) + at(105, 1) + at(109, 2) + at(118, 8) + at(128, 3) + at(140, 3, 3) + at(141, 4) + at(300, 4) + at(304, 4)
-    loci = intervals.mismatch_loci(frame(bases, "ref_idx int, p int, q int, mm boolean"))
+    loci = I.mismatch_loci(frame(bases, "ref_idx int, p int, q int, mm boolean"))
     # One in eight is too little, three reads are too few.
     assert sorted(r.p for r in loci.collect()) == [100, 109, 118, 128, 141, 300, 304]
     # 128 is ten bases after 118: that is no longer within the window.
-    clusters = intervals.mismatch_clusters(loci)
+    clusters = I.mismatch_clusters(loci)
     assert rows(clusters.select("s", "e", "n")) == [(100, 118, 3), (300, 304, 2)]
     gaps = frame([(1, 130, "D", 5), (1, 500, "I", 1)], "ref_idx int, locus int, op string, n long")
-    assert rows(intervals.realignment_targets(gaps, clusters).select("s", "e", "support")) == [(90, 140, 8), (290, 314, 2), (490, 510, 1)]
+    assert rows(I.realignment_targets(gaps, clusters).select("s", "e", "support")) == [(90, 140, 8), (290, 314, 2), (490, 510, 1)]

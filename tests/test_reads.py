@@ -208,7 +208,7 @@ def test_first_read_decides_for_its_region(frame):
         4: (False, [69, 40], None),
         5: (False, [], None),
     }
-    with pytest.raises(Exception, match="Phred 33 quality : -1"):
+    with pytest.raises(Exception, match="quality below 0 when re-based: -1"):
         quality.rebase_region(df, ["id"], strict=True).collect()
 
 
