@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,6 +100,8 @@ def replaced_along(
     ``combine`` sees the entries of a whole batch of rows as one array. A NULL row stays NULL; where a value's
     array is shorter than ``array`` the rest of it is NULL. The rows go through Arrow as they are.
     """
+    # Executors need not have this package: what the tasks run travels with the query.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     names = list(values)
     kept, added = [f"c{i}" for i in range(len(rows.columns))], [f"v{i}" for i in range(len(names))]
     target = rows.columns.index(array)
