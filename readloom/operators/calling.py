@@ -43,7 +43,9 @@ def pileup_alleles(bases: DataFrame, by: Sequence[str] = ("ref_idx", "p")) -> Da
             F.sum(F.when(allele == b, F.col("q") * 1000).otherwise(0).cast("bigint")).alias(f"_q{b}"),
         )
     ]
-    loci = bases.groupBy(*by).agg(F.count("*").alias("dp"), F.min("ref_base").alias("ref"), *sums)
+    # The reference base as a number: a minimum of texts would make this an aggregation by sort, of every base.
+    loci = bases.groupBy(*by).agg(F.count("*").alias("dp"), F.min(F.ascii("ref_base")).alias("_ref"), *sums)
+    loci = loci.withColumn("ref", F.char("_ref"))
     alleles = F.array(
         *[F.struct(F.lit(b).alias("alt"), F.col(f"_n{b}").alias("ad"), F.col(f"_q{b}").alias("mass")) for b in BASES]
     )
