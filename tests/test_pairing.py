@@ -114,6 +114,9 @@ def test_few_pairs_are_placed_singly(spark, genome):
     assert (found[1]["flag"], found[2]["flag"]) == (0x1 | 0x20 | 0x40, 0x1 | 0x10 | 0x80)
     assert (found[1]["tlen"], found[2]["tlen"]) == (260, -260)
     assert pairing.place_pairs(df.where("false"), chunks, contigs, ["name"]).count() == 0
+    # Tables of pairs and sequences grow with the reads, whatever the planner takes their size for.
+    plan = pairing.place_pairs(df, chunks, contigs, ["name"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
 
 
 # Duplicates ---------------------------------------------------------------------
