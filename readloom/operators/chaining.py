@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.functions.arrays import let
-from readloom.operators.seeding import _SPANS
+from readloom.operators import seeding
+from readloom.operators.seeding import _SPANS, FILTER_SEEDS
+from readloom.operators.staging import stage
 
 K = 15
 # K-mers in a window, of which the least is taken.
@@ -36,13 +38,16 @@ def minimisers(
     window; those shorter than ``k`` have none. Windows are cut out in rounds and every k-mer is ordered once per piece.
     """
     tail = k + w - 2
-    parts = df.where(F.length(text) >= k).select(*ids, F.lit(0).alias("_base"), F.col(text).alias("_part"))
+    windows = F.greatest(F.length(text) - tail, F.lit(1))
+    parts = df.where(F.length(text) >= k).select(*ids, F.lit(0).alias("_base"), windows.alias("_own"), F.col(text).alias("_part"))
     for size in _SPANS:
-        starts = F.greatest(F.length("_part") - tail, F.lit(1))
+        done = F.col("_w") * size
+        # Beyond its own windows a piece reads on to the last one that shares a k-mer with them.
         parts = (
-            parts.withColumn("_w", F.explode(F.sequence(F.lit(0), F.floor((starts - 1) / size).cast("int"))))
-            .withColumn("_part", F.substr("_part", F.col("_w") * size + 1, F.lit(size + tail)))
-            .withColumn("_base", F.col("_base") + F.col("_w") * size)
+            parts.withColumn("_w", F.explode(F.sequence(F.lit(0), F.floor((F.col("_own") - 1) / size).cast("int"))))
+            .withColumn("_part", F.substr("_part", done + 1, F.lit(size + tail + w - 1)))
+            .withColumn("_own", F.least(F.lit(size), F.col("_own") - done))
+            .withColumn("_base", F.col("_base") + done)
             .drop("_w")
         )
     part = F.col("_part")
@@ -52,17 +57,16 @@ def minimisers(
     )
     least = let(
         words,
-        lambda xs: F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.size(xs) - (w - 1), F.lit(1))),
-                lambda s: F.array_min(F.slice(xs, s, F.lit(w)))["j"],
-            )
+        lambda xs: F.transform(
+            F.sequence(F.lit(1), F.least(F.col("_own") + (w - 1), F.greatest(F.size(xs) - (w - 1), F.lit(1)))),
+            lambda s: F.array_min(F.slice(xs, s, F.lit(w)))["j"],
         ),
     )
-    # A k-mer may be the least of windows in two pieces.
-    return parts.withColumn("_j", F.explode(least)).select(
+    # A k-mer may be the least of windows in two pieces: the later one gives it, so no shuffle has to find it twice.
+    given = let(least, lambda js: F.array_except(F.slice(js, F.lit(1), F.col("_own")), F.slice(js, F.col("_own") + 1, F.lit(w))))
+    return parts.withColumn("_j", F.explode(given)).select(
         *ids, (F.col("_base") + F.col("_j")).alias("i"), F.substr(part, F.col("_j"), F.lit(k)).alias("word")
-    ).distinct()
+    )
 
 
 def anchors(reads: DataFrame, targets: DataFrame, read_id: str, target_id: str, places: int = PLACES) -> DataFrame:
@@ -71,7 +75,15 @@ def anchors(reads: DataFrame, targets: DataFrame, read_id: str, target_id: str,
     A read takes its seeds from the rarest in the targets on, while the places of those taken are ``places``
     or fewer in all; the rarest one it takes whatever it costs. So a seed that a third of the reads and of the targets share meets only the
     reads that have nothing rarer, and rows grow with the reads, not with the product of both.
+
+    Seeds of the targets that no read has are left where they are, by a bitmap of fixed size (see ``seeding``), and what
+    is left is staged, as it is counted before it is joined.
     """
+    reads = stage(reads.select(read_id, "i", "word"), "read_seeds", "zstd")
+    targets = targets.select(target_id, "i", F.col("word").alias("kmer"))
+    if reads.count() <= FILTER_SEEDS:
+        targets = seeding._may_match(targets, reads.select(F.col("word").alias("kmer")))
+    targets = stage(targets.withColumnRenamed("kmer", "word"), "target_seeds", "zstd")
     often = targets.groupBy("word").agg(F.count("*").alias("_often"))
     met = reads.join(often, "word")
     by_rarity = Window.partitionBy(read_id).orderBy("_often", "i")
