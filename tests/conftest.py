@@ -24,3 +24,20 @@ def frame(spark):
 
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
+
+
+def shuffled_rows(df):
+    """Rows that shuffles of the query wrote."""
+    df.collect()
+    found, plans = 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        elif name == "ShuffleExchangeExec":
+            found += plan.metrics().apply("shuffleRecordsWritten").value()
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return found

@@ -5,7 +5,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import rows
+from conftest import rows, shuffled_rows
 from pyspark.sql import functions as F
 
 from readloom.operators import chaining, seeding
@@ -113,29 +113,12 @@ def test_a_frequent_seed_stays_linear(frame):
     assert large < 2.5 * small and large < 200 * (chaining.PLACES + 1)
 
 
-def shuffled_rows(spark, df):
-    """Rows that shuffles of the query wrote."""
-    df.collect()
-    found, plans = 0, [df._jdf.queryExecution().executedPlan()]
-    while plans:
-        plan = plans.pop()
-        name = plan.getClass().getSimpleName()
-        if name == "AdaptiveSparkPlanExec":
-            plans.append(plan.executedPlan())
-        elif name.endswith("QueryStageExec"):
-            plans.append(plan.plan())
-        elif name == "ShuffleExchangeExec":
-            found += plan.metrics().apply("shuffleRecordsWritten").value()
-        plans += [plan.children().apply(i) for i in range(plan.children().size())]
-    return found
-
-
-def test_seeds_that_no_read_has_are_not_shuffled(spark, frame):
+def test_seeds_that_no_read_has_are_not_shuffled(frame):
     rnd = random.Random(9)
     targets = frame([(i, letters(rnd, 3000)) for i in range(20)], "t int, text string")
     text = targets.where("t = 3").first().text
     reads = frame([(1, text[500:640])], "r int, text string")
     seeds = chaining.minimisers(targets, ["t"], "text")
-    assert shuffled_rows(spark, seeds) == 0 and seeds.count() > 10_000
+    assert shuffled_rows(seeds) == 0 and seeds.count() > 10_000
     found = chaining.anchors(chaining.minimisers(reads, ["r"], "text"), seeds, "r", "t")
-    assert shuffled_rows(spark, found) < 500 and {(r.t, r.y - r.x) for r in found.collect()} == {(3, 500)}
+    assert shuffled_rows(found) < 500 and {(r.t, r.y - r.x) for r in found.collect()} == {(3, 500)}

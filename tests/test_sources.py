@@ -6,7 +6,7 @@ import subprocess
 import sys
 
 import pytest
-from conftest import rows
+from conftest import rows, shuffled_rows
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -227,3 +227,13 @@ def test_fasta_line_of_any_length(spark, tmp_path):
     (tmp_path / "x.fa").write_text(f">a\n{text}\n>b\nAC\n")
     got = {r.chunk_start: r.bases for r in sources.read_fasta(spark, str(tmp_path / "x.fa"), 1000, 10).where("contig = 'a'").collect()}
     assert got == {i + 1: text[i : i + 1010] for i in range(0, len(text), 1000)}
+
+
+def test_fasta_shuffles_only_what_blocks_share(spark, tmp_path):
+    rnd = random.Random(2)
+    contigs = {f"c{i}": "".join(rnd.choices("ACGT", k=100_000 + i)) for i in range(5)}
+    lines = [f">{name}\n" + "\n".join(seq[i : i + 60] for i in range(0, len(seq), 60)) for name, seq in contigs.items()]
+    (tmp_path / "x.fa").write_text("\n".join(lines) + "\n>last")
+    found = sources.read_fasta(spark, str(tmp_path / "x.fa"), 256, 16)
+    # About 8,400 lines and 1,950 chunks, in 65 blocks.
+    assert shuffled_rows(found) < 250 and rows(found) == fasta_chunks(contigs, 256, 16)
