@@ -176,10 +176,11 @@ def mark_pair_duplicates(
         F.min(F.when(single, rank)).alias("_best"), F.count_if(~single).alias("_pairs")
     )
     lost = (F.col("_pairs") > 0) | (rank != F.col("_best"))
-    equal = F.when(single, F.when(F.col("_pairs") == 0, _number(F.col("_best")))).otherwise(F.col("_pair_of"))
-    flags = _joined(found, groups, ["_end", *apart]).select(
-        "_id", F.coalesce("_pair_dup", lost).alias("is_dup"), F.when(F.coalesce("_pair_dup", lost), equal).alias("dup_of")
-    )
+    equal = F.when(F.col("_pairs") == 0, _number(F.col("_best")))
+    # Reads of pairs are judged already: only single ones ask what else has their end.
+    lone = _joined(found.where(single), groups, ["_end", *apart]).select("_id", lost.alias("is_dup"), F.when(lost, equal).alias("dup_of"))
+    paired = found.where(~single).select("_id", F.col("_pair_dup").alias("is_dup"), F.when(F.col("_pair_dup"), F.col("_pair_of")).alias("dup_of"))
+    flags = lone.union(paired)
     return reads.join(flags, F.col(read_id) == F.col("_id")).drop("_id")
 
 
@@ -194,6 +195,8 @@ def _joined(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "in
 
 # Pixels within which copies of one cluster lie.
 OPTICAL_PIXELS = 100
+# Copies of a read that meet it at once.
+COPIES = 100_000
 # Halvings of the range in which the size of a library is sought.
 HALVINGS = 40
 
@@ -209,19 +212,30 @@ def flow_cell_place(name: Column) -> Column:
     return F.when(F.size(parts) > 0, F.struct(parts[0].alias("tile"), x.alias("x"), y.alias("y")))
 
 
-def with_optical(marked: DataFrame, read_id: str, name: str = "qname", pixels: int = OPTICAL_PIXELS) -> DataFrame:
+def with_optical(marked: DataFrame, read_id: str, name: str = "qname", pixels: int = OPTICAL_PIXELS, copies: int = COPIES) -> DataFrame:
     """Duplicates of ``mark_pair_duplicates`` with ``is_optical``: on the tile of the read that stays, ``pixels`` or less away in x and in y.
 
     Each duplicate meets the one read it equals, so a group of g copies costs g rows. Reads whose name says no place are not
-    optical.
+    optical. Only duplicates that name a read are joined, and a read with more than ``copies`` of them meets them in
+    as many parts, so neither a large group nor the reads without ``dup_of`` come together in a task. The large groups
+    are broadcast: a row for every ``copies`` reads at most.
     """
     place = flow_cell_place(F.col(name))
-    kept = marked.where(~F.col("is_dup")).select(F.col(read_id).alias("_kept"), place.alias("_there"))
+    named = marked.where(F.col("dup_of").isNotNull())
+    sizes = named.groupBy("dup_of").agg(F.ceil(F.count("*") / copies).cast("int").alias("_parts"))
+    large = sizes.where("_parts > 1").select(F.col("dup_of").alias("_large"), "_parts")
+    part = F.coalesce(F.pmod(F.xxhash64(read_id), F.col("_parts")), F.lit(0)).cast("int")
+    named = named.join(F.broadcast(large), F.col("dup_of") == F.col("_large"), "left").withColumn("_part", part)
+    kept = marked.where(~F.col("is_dup")).join(F.broadcast(large), F.col(read_id) == F.col("_large"), "left").select(
+        F.col(read_id).alias("_kept"), place.alias("_there"),
+        F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_there_part"),
+    )
     here = F.col("_here")
     there = F.col("_there")
     near = (here["tile"] == there["tile"]) & (F.abs(here["x"] - there["x"]) <= pixels) & (F.abs(here["y"] - there["y"]) <= pixels)
-    met = marked.withColumn("_here", place).join(kept, F.col("dup_of") == F.col("_kept"), "left")
-    return met.select(*marked.columns, F.coalesce(F.col("is_dup") & near, F.lit(False)).alias("is_optical"))
+    met = named.withColumn("_here", place).join(kept, (F.col("dup_of") == F.col("_kept")) & (F.col("_part") == F.col("_there_part")), "left")
+    found = met.select(*marked.columns, F.coalesce(F.col("is_dup") & near, F.lit(False)).alias("is_optical"))
+    return found.union(marked.where(F.col("dup_of").isNull()).withColumn("is_optical", F.lit(False)))
 
 
 def library_size(pairs: Column, distinct: Column) -> Column:
@@ -257,13 +271,12 @@ def pair_metrics(marked: DataFrame, template: Sequence[str], library: Sequence[s
         whole = whole & F.col(c).isNotNull()
     lone = marked.withColumn("_no", F.monotonically_increasing_id()).withColumn("_lone", F.when(~whole, F.col("_no")))
     per = lone.groupBy(*template, *library, "_lone").agg(
-        F.count("*").alias("_n"), F.bool_or("is_dup").alias("_dup"), F.bool_or("is_optical").alias("_optical"),
-        F.count_if("is_dup").alias("_dups"),
-    )
+        F.count("*").alias("_n"), F.count_if("is_dup").alias("_dups"), F.count_if("is_optical").alias("_opticals")
+    )
     pair = F.col("_n") == 2
     counted = per.groupBy(*library).agg(
-        F.count_if(pair).alias("pairs"), F.count_if(pair & F.col("_dup")).alias("pair_dups"),
-        F.count_if(pair & F.col("_optical")).alias("pair_optical"),
+        F.count_if(pair).alias("pairs"), F.count_if(pair & (F.col("_dups") > 0)).alias("pair_dups"),
+        F.count_if(pair & (F.col("_opticals") > 0)).alias("pair_optical"),
         F.coalesce(F.sum(F.when(~pair, F.col("_n"))), F.lit(0)).alias("single"),
         F.coalesce(F.sum(F.when(~pair, F.col("_dups"))), F.lit(0)).alias("single_dups"),
     )

@@ -36,6 +36,9 @@ def ranked(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name:
         "_first",
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
     )
+    if not group:
+        # A row per partition; all rows of a partition would meet in a task otherwise.
+        offsets = F.broadcast(offsets)
     same = F.col("_part") == F.col("_g_part")
     for c in group:
         # A NULL group is a group.

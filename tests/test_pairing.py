@@ -219,3 +219,23 @@ def test_library_size_solves_its_equation(frame, size, drawn):
     ).collect()
     assert found[1].x is None and found[2].x is None
     assert abs(distinct / found[0].x - (1 - math.exp(-drawn / found[0].x))) < 1 / found[0].x
+
+
+def test_optical_copies_of_a_large_group_meet_in_parts(spark, frame):
+    # Half of the copies lie beside the read that stays; the names of reads that equal none say a place too.
+    reads = [(i, f"m:1:{500 if i % 2 == 0 else 900}:500", i > 0, 0 if i > 0 else None) for i in range(400)]
+    reads += [(1000 + i, "m:1:500:500", True, None) for i in range(400)]
+    df = frame(reads, "id long, qname string, is_dup boolean, dup_of long")
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        found = duplicates.with_optical(df, "id", copies=10)
+        assert sorted(r.id for r in found.where("is_optical").collect()) == list(range(2, 400, 2)) and found.count() == 800
+        tasks = found.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # Reads without dup_of stay where they were, in at most as many tasks as the input has; the copies are spread.
+    assert len(tasks) > 20
