@@ -62,6 +62,20 @@ class Lookup:
         total = np.zeros(len(columns[0]), np.int64) if columns else np.zeros(0, np.int64)
         beyond = np.zeros(len(total), bool)
         for low, listed, size, column in zip(self.lows, self.listed, self.sizes, columns, strict=True):
+            if isinstance(column, pa.DictionaryArray):
+                # Few values along many entries: each is numbered once. NULL comes last.
+                known = Lookup([low], [listed], [size], self.codes, self.values).code([pa.concat_arrays([column.dictionary, pa.nulls(1, column.dictionary.type)])])
+                part = known[pc.fill_null(column.indices, len(known) - 1).to_numpy(zero_copy_only=False)]
+                beyond |= part < 0
+                total = total * size + part
+                continue
+            if listed is None and not column.null_count:
+                part = column.to_numpy(zero_copy_only=False).astype(np.int64)
+                part -= low - 1
+                beyond |= (part < 1) | (part >= size)
+                total *= size
+                total += part
+                continue
             missing = column.is_null().to_numpy(zero_copy_only=False)
             if listed is None:
                 part = column.cast(pa.int64()).fill_null(low).to_numpy(zero_copy_only=False) - low + 1
@@ -93,21 +107,23 @@ class Lookup:
 
 
 def replaced_along(
-    rows: DataFrame, array: str, values: Mapping[str, Column], combine: Callable[[pa.Array, dict[str, pa.Array]], pa.Array]
+    rows: DataFrame, array: str, values: Mapping[str, Column | str], combine: Callable[[pa.Array, dict[str, pa.Array]], pa.Array]
 ) -> DataFrame:
     """``rows`` with the whole numbers of ``array`` replaced by ``combine`` of them and of ``values``, which run along it.
 
+    A value given by name is a column of ``rows`` and is not sent twice; one that is no array is the same along its row.
     ``combine`` sees the entries of a whole batch of rows as one array. A NULL row stays NULL; where a value's
     array is shorter than ``array`` the rest of it is NULL. The rows go through Arrow as they are.
     """
     # Executors need not have this package: what the tasks run travels with the query.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     names = list(values)
-    kept, added = [f"c{i}" for i in range(len(rows.columns))], [f"v{i}" for i in range(len(names))]
+    kept = [f"c{i}" for i in range(len(rows.columns))]
+    added = [f"c{rows.columns.index(v)}" if isinstance(v, str) else f"v{i}" for i, v in enumerate(values.values())]
     target = rows.columns.index(array)
     given = rows.select(
         *[F.col(c).alias(k) for c, k in zip(rows.columns, kept, strict=True)],
-        *[values[n].alias(a) for n, a in zip(names, added, strict=True)],
+        *[values[n].alias(a) for n, a in zip(names, added, strict=True) if not isinstance(values[n], str)],
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +146,12 @@ def replaced_along(
 
 
 def _fitted(column: pa.Array, lengths: np.ndarray) -> pa.Array:
-    """The flat entries of lists, cut or filled up with NULL to the given lengths."""
+    """The flat entries of lists, cut or filled up with NULL to the given lengths; of plain values each as often as its length."""
+    if not (pa.types.is_list(column.type) or pa.types.is_large_list(column.type)):
+        column = column.dictionary_encode()
+        indices = pc.fill_null(column.indices, len(column.dictionary)).to_numpy(zero_copy_only=False)
+        repeated = np.repeat(indices, lengths)
+        return pa.DictionaryArray.from_arrays(pa.array(repeated, mask=repeated == len(column.dictionary)), column.dictionary)
     sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
     flat = column.flatten()
     if np.array_equal(sizes, lengths):
