@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +22,10 @@ DEPTH = 5
 BLOCK = 16 << 20
 STEP = 1 << 20
 #: Grams that a task weighs at once.
-SHARD = 250_000
+SHARD = 100_000
+#: Parts of all grams and words, and the blocks whose share in one part is as much as one block holds.
+PARTS = 64
+PART_BLOCKS = 4
 #: Nodes up to this depth lie above all shards of the tree: at most 256 contexts of one byte and the root.
 TOP = 1
 END = b"\n"
@@ -174,37 +179,98 @@ def summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return grams[first], np.add.reduceat(n, first)
 
 
-def block_statistics(docs: pa.Table) -> pa.Table:
-    """Distinct grams and words of a block, each with its number in training texts."""
-    learn = np.array(docs.column("learn").to_pylist(), bool)
-    texts, counts, words, unused = [], [], Counter(), set()
-    for text, use in zip(unpacked(docs), learn.tolist(), strict=True):
-        own, read = body(text)
-        texts.append(read)
-        words.update(own) if use else unused.update(own)
-        words[END] += use
-    words.update(dict.fromkeys(unused, 0))
-    for i, j in steps(texts):
-        # The lowest bit tells training texts, so one sort counts both.
-        used = np.repeat(learn[i:j], [len(t) for t in texts[i:j]])
-        grams, n = np.unique(codes_of(texts[i:j]) << 1 | used, return_counts=True)
-        counts.append((grams >> 1, n * (grams & 1)))
-        if len(counts) == 4:
-            counts = [summed(counts)]
-    grams, n = summed(counts)
-    gram = pa.chunked_array([pa.array(grams), pa.nulls(len(words), pa.int64())])
-    word = pa.chunked_array([pa.nulls(len(grams), pa.binary()), pa.array(list(words), pa.binary())])
-    total = pa.chunked_array([pa.array(n), pa.array(list(words.values()), pa.int64())])
-    block = pa.array(np.full(len(total), docs.column("block")[0].as_py()), pa.int32())
-    kind = pa.array(["gram"] * len(grams) + ["word"] * len(words))
-    return pa.table({"block": block, "gram": gram, "word": word, "n": total, "kind": kind})
+def gram_parts(grams: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each gram, by a multiplicative hash."""
+    return ((grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(parts)
+
+
+def in_parts(values: pa.Array, n: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """The parts that occur, and for each a list of its values and one of their counts."""
+    order = np.argsort(part, kind="stable")
+    found, sizes = np.unique(part, return_counts=True)
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, x.take(pa.array(order))) for x in (values, pa.array(n, pa.int64()))]
+    return found, *lists
+
+
+def block_statistics(parts: int) -> Callable[[pa.Table], pa.Table]:
+    """Distinct grams and words of a block, each with its number in training texts, as a row for each part."""
+
+    def run(docs: pa.Table) -> pa.Table:
+        learn = np.array(docs.column("learn").to_pylist(), bool)
+        texts, counts, words, unused = [], [], Counter(), set()
+        for text, use in zip(unpacked(docs), learn.tolist(), strict=True):
+            own, read = body(text)
+            texts.append(read)
+            words.update(own) if use else unused.update(own)
+            words[END] += use
+        words.update(dict.fromkeys(unused, 0))
+        for i, j in steps(texts):
+            # The lowest bit tells training texts, so one sort counts both.
+            used = np.repeat(learn[i:j], [len(t) for t in texts[i:j]])
+            grams, n = np.unique(codes_of(texts[i:j]) << 1 | used, return_counts=True)
+            counts.append((grams >> 1, n * (grams & 1)))
+            if len(counts) == 4:
+                counts = [summed(counts)]
+        grams, n = summed(counts)
+        of_words = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
+        gram_part, gram_lists, gram_n = in_parts(pa.array(grams), n, gram_parts(grams, parts))
+        word_part, word_lists, word_n = in_parts(pa.array(list(words), pa.binary()), np.fromiter(words.values(), np.int64, len(words)), of_words)
+        a, b = len(gram_part), len(word_part)
+        columns = {
+            "block": pa.array(np.full(a + b, docs.column("block")[0].as_py()), pa.int32()),
+            "part": pa.array(np.concatenate([gram_part, word_part]), pa.int32()),
+            "grams": pa.chunked_array([gram_lists, pa.nulls(b, gram_lists.type)]),
+            "words": pa.chunked_array([pa.nulls(a, word_lists.type), word_lists]),
+            "n": pa.chunked_array([gram_n, word_n]),
+            "kind": pa.array(["gram"] * a + ["word"] * b),
+        }
+        return pa.table(columns)
+
+    return run
+
+
+def lists_of(table: pa.Table, name: str) -> tuple[pa.Array, pa.Array]:
+    """Where the list of each row ends in all values (after a 0), and these."""
+    lists = table.column(name).combine_chunks()
+    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), lists.flatten()
+
+
+def sum_grams(part: pa.Table) -> pa.Table:
+    """Distinct grams of a part of all blocks, with their number in the corpus."""
+    grams, n = summed([(lists_of(part, "grams")[1].to_numpy(), lists_of(part, "n")[1].to_numpy())])
+    return pa.table({"gram": grams, "n": n})
+
+
+def count_words(part: pa.Table) -> pa.Table:
+    """For each block its words of a part with their number in the corpus; the first row also has the part's totals."""
+    ends, words = lists_of(part, "words")
+    coded = words.dictionary_encode()
+    at = coded.indices.to_numpy()
+    n = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(n, at, lists_of(part, "n")[1].to_numpy())
+    totals = np.zeros((2, part.num_rows), np.int64)
+    totals[:, 0] = n.sum(), (n > 0).sum()
+    lists = [pa.ListArray.from_arrays(ends, x) for x in (words, pa.array(n[at]))]
+    return pa.table([part.column("block"), *lists, *map(pa.array, totals)], names=["block", "words", "counts", "tokens", "distinct"])
+
+
+def look_up(part: pa.Table, values: pa.Table) -> pa.Table:
+    """For each block its grams of a part with their values."""
+    ends, grams = lists_of(part, "grams")
+    known = values.column("gram").to_numpy()
+    order = np.argsort(known)
+    log_p = values.column("value").to_numpy()[order][np.searchsorted(known[order], grams.to_numpy())]
+    return pa.table({"block": part.column("block"), **{k: pa.ListArray.from_arrays(ends, x) for k, x in (("grams", grams), ("log_p", pa.array(log_p)))}})
 
 
 def score_block(train_tokens: int, n_distinct: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return OUT.empty_table()
-        of = lambda name: known.column(name).combine_chunks().flatten()
+        of = lambda name: lists_of(known, name)[1]
         grams, log_p = of("grams").to_numpy(), of("log_p").to_numpy().astype(np.float64)
         order = np.argsort(grams)
         grams, log_p = grams[order], log_p[order]
@@ -251,9 +317,9 @@ def score(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
     text (each byte's part in single precision, their sum in double), ``bits_per_byte`` its code length. ``base_score`` is the add-one unigram score of the words and an end.
 
     Texts are dealt by hash to blocks of about ``block`` bytes. A block sends its
-    distinct grams (byte and context) and words with their counts; these are summed over the corpus, the tree is
-    weighted in shards by the two bytes before the predicted one, and each block gets back only
-    what it holds. Only the nodes of depth 0 and 1, at most 65,792, pass through the driver.
+    distinct grams (byte and context) and words with their counts, a list to each part of all grams and words;
+    parts, by hash, sum them over the corpus. The tree is weighted in shards by the two bytes before the
+    predicted one, and each block gets back from the parts only what it holds. Only the nodes of depth 0 and 1, at most 65,792, pass through the driver.
     Null texts are empty; a null ``learn`` is false; repeated rows count as often as they occur.
     """
     rows = docs.select(
@@ -265,24 +331,29 @@ def score(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
     blocks = max(1, -(-size // block))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     dealt = map_texts(dealt, ["doc_id", "learn", "block"], packer, {"packed": "binary"})
-    stats = dealt.groupBy("block").applyInArrow(block_statistics, "block int, gram long, word binary, n long, kind string")
-    # Grams and words in files of their own, as each is read twice.
+    parts = max(PARTS, -(-blocks // PART_BLOCKS))
+    stats = dealt.groupBy("block").applyInArrow(
+        block_statistics(parts), "block int, part int, grams array<long>, words array<binary>, n array<long>, kind string"
+    )
+    # Grams and words in files of their own, as grams are read twice.
     stats.write.partitionBy("kind").parquet(path := staging_path(docs.sparkSession, "statistics"))
     stats = docs.sparkSession.read.schema(stats.schema).parquet(path)
-    block_grams = stats.where("kind = 'gram'").select("block", "gram", "n")
-    block_words = stats.where("kind = 'word'").select("block", "word", "n")
+    block_grams = stats.where("kind = 'gram'").select("block", "part", "grams", "n")
+    block_words = stats.where("kind = 'word'").select("block", "part", "words", "n")
 
-    words = block_words.groupBy("word").agg(F.sum("n").alias("n"))
+    words = block_words.groupBy("part").applyInArrow(
+        count_words, "block int, words array<binary>, counts array<long>, tokens long, distinct long"
+    )
     words = stage(words, "words")
-    totals = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
-    train_tokens, n_distinct = totals[0] or 0, totals[1]
+    totals = words.agg(F.sum("tokens"), F.sum("distinct")).first()
+    train_tokens, n_distinct = totals[0] or 0, totals[1] or 0
 
-    grams = block_grams.groupBy("gram").agg(F.sum("n").alias("n"))
+    grams = block_grams.groupBy("part").applyInArrow(sum_grams, "gram long, n long")
     grams = stage(grams, "grams")
     # All that shares the two bytes before the predicted one is weighed in one task.
-    parts = max(1, -(-grams.count() // SHARD))
+    shards = max(1, -(-grams.count() // SHARD))
     two_bytes = F.shiftright("gram", 8).bitwiseAND(0xFFFF)
-    grams = grams.withColumn("shard", F.pmod(F.xxhash64(two_bytes), F.lit(parts)).cast("int"))
+    grams = grams.withColumn("shard", F.pmod(F.xxhash64(two_bytes), F.lit(shards)).cast("int"))
     trained = grams.where("n > 0").groupBy("shard")
     roots = trained.applyInArrow(roots_of, "node long, zeros double, ones double, weighted double")
     # The nodes under depth 1: context byte and bits so far.
@@ -295,16 +366,12 @@ def score(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
     def weigh(part: pa.Table) -> pa.Table:
         codes = part.column("gram").to_numpy()
         value = gram_scores(codes, part.column("n").to_numpy(), top.value)
-        return pa.table({"gram": codes, "value": value.astype(np.float32)})
-
-    values = grams.groupBy("shard").applyInArrow(weigh, "gram long, value float")
-    # The corpus's own tables have a row per gram or word: hashing them saves sorting the rows of all blocks.
-    # They go back as one row per block; a task's share of a block is put together before the shuffle.
-    known_grams = block_grams.drop("n").join(values.hint("shuffle_hash"), "gram").groupBy("block")
-    known_words = block_words.drop("n").join(words.hint("shuffle_hash"), "word").groupBy("block")
-    back = known_grams.agg(F.collect_list("gram").alias("grams"), F.collect_list("value").alias("log_p")).join(
-        known_words.agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("counts")), "block"
-    )
+        return pa.table({"part": pa.array(gram_parts(codes, parts), pa.int32()), "gram": codes, "value": value.astype(np.float32)})
+
+    values = grams.groupBy("shard").applyInArrow(weigh, "part int, gram long, value float")
+    known = block_grams.select("block", "part", "grams").groupBy("part").cogroup(values.groupBy("part"))
+    known = known.applyInArrow(look_up, "block int, grams array<long>, log_p array<float>")
+    back = known.unionByName(words.select("block", "words", "counts"), allowMissingColumns=True)
     found = dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         score_block(train_tokens, n_distinct),
         "doc_id long, n_tokens long, n_known long, base_score double, score double, bits_per_byte double",

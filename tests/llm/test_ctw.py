@@ -1,11 +1,14 @@
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from readloom.llm import ctw
 from readloom.llm.queries import op3_context_tree
+from readloom.operators.staging import staged_tables
 
 SF = "/root/testdata/sf0.01"
 
@@ -102,3 +105,34 @@ def test_odd_rows(odd_documents, no_documents):
     assert ctw.score(no_documents, F.lit(True)).count() == 0
     nothing = ctw.score(odd_documents, F.lit(False)).where("doc_id = 4").first()
     assert nothing["n_known"] == 0 and nothing["score"] == pytest.approx(4 * 8 * math.log10(0.5), rel=1e-6)
+
+
+def test_grams_and_words_move_as_lists(spark, frame):
+    """A row per gram or word of every block, and aggregates that collect them, filled an executor's heap."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [" ".join(letters[i % 26] + letters[j] + letters[(i + j) % 26] * 3 for j in range(26)) for i in range(60)]
+    df = frame(list(enumerate(texts)), "doc_id long, text string")
+    with staged_tables(spark) as paths:
+        scored = ctw.score(df, F.col("doc_id") % 3 > 0, block=2_000)
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "collect_list" not in plan and "Join" not in plan
+        got = {r["doc_id"]: r["score"] for r in scored.collect()}
+        moved = spark.read.parquet(next(p for p in paths if "/statistics-" in p))
+        blocks = -(-sum(map(len, texts)) // 2_000)
+        assert moved.count() <= 2 * ctw.PARTS * blocks
+        held = moved.where("kind = 'gram'").agg(F.sum(F.size("grams"))).first()[0]
+        assert held > 2 * moved.where("kind = 'gram'").count()
+    wanted = brute_scores([ctw.body(t.encode())[1] for t in texts], [i % 3 > 0 for i in range(60)], ctw.DEPTH)
+    assert [got[i] for i in range(60)] == pytest.approx(wanted, rel=1e-6)
+
+
+def test_parts_give_back_what_blocks_sent():
+    grams, n = np.array([7, 1 << 40, 9, 3]), np.array([2, 0, 5, 1])
+    part, lists, counts = ctw.in_parts(pa.array(grams), n, np.array([5, 0, 5, 2]))
+    assert part.tolist() == [0, 2, 5] and lists.to_pylist() == [[1 << 40], [3], [7, 9]] and counts.to_pylist() == [[0], [1], [2, 5]]
+    table = pa.table({"block": [1, 2], "grams": [[3, 7], [7]], "words": [[b"a", b"b"], [b"b"]], "n": [[1, 0], [4]]})
+    assert ctw.sum_grams(table).to_pydict() == {"gram": [3, 7], "n": [1, 4]}
+    words = ctw.count_words(table.set_column(3, "n", pa.array([[1, 0], [0]]))).to_pydict()
+    assert words == {"block": [1, 2], "words": [[b"a", b"b"], [b"b"]], "counts": [[1, 0], [0]], "tokens": [1, 0], "distinct": [1, 0]}
+    values = pa.table({"gram": [7, 3], "value": pa.array([0.5, 0.25], pa.float32())})
+    assert ctw.look_up(table, values).to_pydict() == {"block": [1, 2], "grams": [[3, 7], [7]], "log_p": [[0.25, 0.5], [0.5]]}
