@@ -21,13 +21,13 @@ DEPTH = 5
 #: Bytes of text that one task holds, and that one numpy step works on.
 BLOCK = 16 << 20
 STEP = 1 << 20
-#: Grams that a task weighs at once.
+#: Grams that a task weighs at once; a context with more is split by the byte before it.
 SHARD = 100_000
 #: Parts of all grams and words, and the blocks whose share in one part is as much as one block holds.
 PARTS = 64
 PART_BLOCKS = 4
-#: Nodes up to this depth lie above all shards of the tree: at most 256 contexts of one byte and the root.
-TOP = 1
+#: Shards of the tree begin at this depth, or deeper where a context is split.
+CUT = 2
 END = b"\n"
 
 
@@ -93,6 +93,11 @@ def bits_of(codes: np.ndarray) -> np.ndarray:
     return (codes[:, None] & 255) >> (7 - np.arange(8)) & 1
 
 
+def above(nodes: np.ndarray, depth: int) -> np.ndarray:
+    """The node of ``depth`` over each node that is one or more deeper."""
+    return (nodes >> 8 & ((1 << (8 * depth)) - 1)) << 8 | nodes & 255
+
+
 class Level:
     """The nodes of one depth under a set of codes: counts, estimate, and the weight of the own estimate in the mixture."""
 
@@ -107,8 +112,7 @@ class Level:
         if below is None:
             self.log_weighted, self.own_share = own, np.ones(len(own))
         else:
-            up = (below.keys >> 8 & ((1 << (8 * depth)) - 1)) << 8 | below.keys & 255
-            children = np.bincount(np.searchsorted(self.keys, up), below.log_weighted, len(self.keys))
+            children = np.bincount(np.searchsorted(self.keys, above(below.keys, depth)), below.log_weighted, len(self.keys))
             self.log_weighted = np.logaddexp(own, children) - np.log(2)
             self.own_share = share(own, children)
 
@@ -127,45 +131,61 @@ def mix(below: np.ndarray | None, zeros: np.ndarray, ones: np.ndarray, own_share
     return np.where(seen > 0, mixed, np.nan)
 
 
-def tree(codes: np.ndarray, n: np.ndarray) -> list[Level]:
-    """Levels from ``DEPTH`` up to the one under ``TOP``."""
+def tree(codes: np.ndarray, n: np.ndarray, cut: int) -> list[Level]:
+    """Levels from ``DEPTH`` up to ``cut``."""
     levels: list[Level] = []
-    for depth in range(DEPTH, TOP, -1):
+    for depth in range(DEPTH, cut - 1, -1):
         levels.append(Level(codes, n, depth, levels[-1] if levels else None))
     return levels
 
 
 def roots_of(shard: pa.Table) -> pa.Table:
     """The uppermost level of a shard, to be summed into the nodes above it."""
-    codes, n = shard.column("gram").to_numpy(), shard.column("n").to_numpy()
-    top = tree(codes, n)[-1]
-    return pa.table({"node": top.keys, "zeros": top.zeros, "ones": top.ones, "weighted": top.log_weighted})
+    codes, n, cut = shard.column("gram").to_numpy(), shard.column("n").to_numpy(), shard.column("cut")[0].as_py()
+    top = tree(codes, n, cut)[-1]
+    depth = pa.array(np.full(len(top.keys), cut - 1), pa.int32())
+    return pa.table({"depth": depth, "node": above(top.keys, cut - 1), "zeros": top.zeros, "ones": top.ones, "weighted": top.log_weighted})
 
 
-class Top:
-    """Nodes of depth 1 and 0; no more than 65,792 whatever the corpus."""
+class Upper:
+    """Nodes of one depth above the shards, from what their children sum to; the last node is none, for those never met."""
 
     def __init__(self, nodes: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> None:
-        size = 1 << 16
-        fill = lambda values: np.bincount(nodes, values, size)
-        self.zeros, self.ones = [fill(zeros)], [fill(ones)]
-        own = log_kt(self.zeros[0], self.ones[0])
-        weighted = np.logaddexp(own, fill(children)) - np.log(2)
-        self.share = [share(own, fill(children))]
-        by_context = lambda x: x.reshape(256, 256).sum(axis=0)
-        self.zeros.append(by_context(self.zeros[0]))
-        self.ones.append(by_context(self.ones[0]))
-        self.share.append(share(log_kt(self.zeros[1], self.ones[1]), by_context(np.where(self.zeros[0] + self.ones[0] > 0, weighted, 0.0))))
-
-
-def gram_scores(codes: np.ndarray, n: np.ndarray, top: Top) -> np.ndarray:
+        self.keys, at = np.unique(np.append(nodes, np.iinfo(np.int64).max), return_inverse=True)
+        self.zeros, self.ones, children = (np.bincount(at, np.append(x, 0.0)) for x in (zeros, ones, children))
+        own = log_kt(self.zeros, self.ones)
+        self.log_weighted = np.logaddexp(own, children) - np.log(2)
+        self.own_share = share(own, children)
+
+    def of(self, nodes: np.ndarray) -> list[np.ndarray]:
+        at = np.searchsorted(self.keys, nodes)
+        at = np.where(self.keys[at] == nodes, at, len(self.keys) - 1)
+        return [self.zeros[at], self.ones[at], self.own_share[at]]
+
+
+def upper_levels(depth: np.ndarray, *sums: np.ndarray) -> list[Upper]:
+    """Levels from the deepest above a shard to the root, last; ``sums`` has nodes, zeros, ones and what their children in shards weigh."""
+    levels: list[Upper] = []
+    for d in range(DEPTH - 1, -1, -1):
+        here = [x[depth == d] for x in sums]
+        if levels:
+            low = levels[-1]
+            inner = above(low.keys[:-1], d), low.zeros[:-1], low.ones[:-1], low.log_weighted[:-1]
+            here = [np.concatenate(x) for x in zip(here, inner, strict=True)]
+        levels.append(Upper(*here))
+    return levels
+
+
+def gram_scores(codes: np.ndarray, n: np.ndarray, cut: int, upper: list[Upper]) -> np.ndarray:
     """log10 of the mixed probability of each code's byte in its context."""
     bits, p = bits_of(codes), None
-    for level in tree(codes, n):
+    for level in tree(codes, n, cut):
         at = level.at
         p = mix(p, level.zeros[at], level.ones[at], level.own_share[at], bits)
-    for depth, (zeros, ones, own) in zip((1, 0), zip(top.zeros, top.ones, top.share, strict=True), strict=True):
-        at = bit_nodes(codes, depth)
+    nodes = level.keys
+    for depth in range(cut - 1, -1, -1):
+        nodes = above(nodes, depth)
+        zeros, ones, own = upper[DEPTH - 1 - depth].of(nodes)
         p = mix(p, zeros[at], ones[at], own[at], bits)
     return np.log10(np.where(np.isnan(p), 0.5, p)).sum(axis=1)
 
@@ -305,7 +325,32 @@ OUT = pa.schema(
 )
 
 
-def score(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
+def in_shards(grams: DataFrame, size: int) -> DataFrame:
+    """Grams with ``cut`` and ``shard``: all under one context of ``cut`` bytes are together, and no more than ``size``.
+
+    A context with more is split by the byte before it; only these, at most a ``size``-th of the grams for each
+    depth, are listed on the driver.
+    """
+    context = lambda depth: F.shiftright("gram", 8).bitwiseAND((1 << (8 * depth)) - 1)
+    total, cut, large, rest = 0, F.lit(DEPTH), [], grams
+    for depth in range(CUT, DEPTH):
+        counted = rest.groupBy(context(depth).alias("context")).count()
+        n, listed = counted.agg(F.sum("count"), F.collect_list(F.when(F.col("count") > size, F.col("context")))).first()
+        total = total or n or 0
+        large.append((depth, listed))
+        if not listed:
+            break
+        rest = rest.where(context(depth).isin(listed))
+    for depth, listed in reversed(large):
+        cut = F.when(context(depth).isin(listed), cut).otherwise(depth) if listed else F.lit(depth)
+    own = F.lit(None)
+    for depth in range(CUT, DEPTH + 1):
+        own = F.when(F.col("cut") == depth, context(depth)).otherwise(own)
+    shards = max(1, -(-total // size))
+    return grams.withColumn("cut", cut.cast("int")).withColumn("shard", F.pmod(F.xxhash64(own), F.lit(shards)).cast("int"))
+
+
+def score(docs: DataFrame, learn: Column, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """``(doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)`` for every row.
 
     The model reads a text as its words (ASCII white space apart, A-Z lowered) with
@@ -318,8 +363,9 @@ def score(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
 
     Texts are dealt by hash to blocks of about ``block`` bytes. A block sends its
     distinct grams (byte and context) and words with their counts, a list to each part of all grams and words;
-    parts, by hash, sum them over the corpus. The tree is weighted in shards by the two bytes before the
-    predicted one, and each block gets back from the parts only what it holds. Only the nodes of depth 0 and 1, at most 65,792, pass through the driver.
+    parts, by hash, sum them over the corpus. The tree is weighted in shards of whole contexts: of two bytes, or
+    more where one has over ``shard`` grams. Each block gets back from the parts only what it holds. Only the nodes above
+    shards pass through the driver: at most 65,792 of depth 0 and 1, and 255 for each context that is split.
     Null texts are empty; a null ``learn`` is false; repeated rows count as often as they occur.
     """
     rows = docs.select(
@@ -350,25 +396,21 @@ def score(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
 
     grams = block_grams.groupBy("part").applyInArrow(sum_grams, "gram long, n long")
     grams = stage(grams, "grams")
-    # All that shares the two bytes before the predicted one is weighed in one task.
-    shards = max(1, -(-grams.count() // SHARD))
-    two_bytes = F.shiftright("gram", 8).bitwiseAND(0xFFFF)
-    grams = grams.withColumn("shard", F.pmod(F.xxhash64(two_bytes), F.lit(shards)).cast("int"))
-    trained = grams.where("n > 0").groupBy("shard")
-    roots = trained.applyInArrow(roots_of, "node long, zeros double, ones double, weighted double")
-    # The nodes under depth 1: context byte and bits so far.
-    upper = roots.groupBy(F.col("node").bitwiseAND(0xFFFF).cast("int").alias("node"))
-    upper = upper.agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("weighted")).toPandas()
-    top = docs.sparkSession.sparkContext.broadcast(
-        Top(upper["node"].to_numpy(np.int64), *(upper[c].to_numpy(np.float64) for c in ("zeros", "ones", "weighted")))
+    grams = in_shards(grams, shard)
+    trained = grams.where("n > 0").groupBy("cut", "shard")
+    sums = trained.applyInArrow(roots_of, "depth int, node long, zeros double, ones double, weighted double").groupBy("depth", "node")
+    sums = sums.agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("weighted")).toPandas()
+    of = lambda name, kind: sums[name].to_numpy(kind)
+    upper = docs.sparkSession.sparkContext.broadcast(
+        upper_levels(of("depth", np.int64), of("node", np.int64), *(of(c, np.float64) for c in ("zeros", "ones", "weighted")))
     )
 
     def weigh(part: pa.Table) -> pa.Table:
         codes = part.column("gram").to_numpy()
-        value = gram_scores(codes, part.column("n").to_numpy(), top.value)
+        value = gram_scores(codes, part.column("n").to_numpy(), part.column("cut")[0].as_py(), upper.value)
         return pa.table({"part": pa.array(gram_parts(codes, parts), pa.int32()), "gram": codes, "value": value.astype(np.float32)})
 
-    values = grams.groupBy("shard").applyInArrow(weigh, "part int, gram long, value float")
+    values = grams.groupBy("cut", "shard").applyInArrow(weigh, "part int, gram long, value float")
     known = block_grams.select("block", "part", "grams").groupBy("part").cogroup(values.groupBy("part"))
     known = known.applyInArrow(look_up, "block int, grams array<long>, log_p array<float>")
     back = known.unionByName(words.select("block", "words", "counts"), allowMissingColumns=True)

@@ -136,3 +136,20 @@ def test_parts_give_back_what_blocks_sent():
     assert words == {"block": [1, 2], "words": [[b"a", b"b"], [b"b"]], "counts": [[1, 0], [0]], "tokens": [1, 0], "distinct": [1, 0]}
     values = pa.table({"gram": [7, 3], "value": pa.array([0.5, 0.25], pa.float32())})
     assert ctw.look_up(table, values).to_pydict() == {"block": [1, 2], "grams": [[3, 7], [7]], "log_p": [[0.25, 0.5], [0.5]]}
+
+
+def test_common_contexts_are_split(frame):
+    """Grams after the same two bytes, and after the same three or four, lie in shards of their own."""
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("ab "), 60)) + "the " + "".join(rng.choice(list("abcdefg"), 30)) for _ in range(12)]
+    df = frame(list(enumerate(texts)), "doc_id long, text string")
+    learn = [i % 4 > 0 for i in range(12)]
+    read = [ctw.body(t.encode())[1] for t in texts]
+    codes = np.unique(ctw.codes_of(read))
+    grams = ctw.in_shards(frame([(int(c), 1) for c in codes], "gram long, n long"), 6).toPandas()
+    assert set(grams["cut"]) == {2, 3, 4, 5}
+    for cut, own in grams.groupby("cut"):
+        contexts = Counter(own["gram"].to_numpy() >> 8 & ((1 << 8 * cut) - 1))
+        assert cut == ctw.DEPTH or max(contexts.values()) <= 6
+    got = {r["doc_id"]: r["score"] for r in ctw.score(df, F.col("doc_id") % 4 > 0, block=300, shard=6).collect()}
+    assert [got[i] for i in range(12)] == pytest.approx(brute_scores(read, learn, ctw.DEPTH), rel=1e-6)
