@@ -18,9 +18,10 @@ from readloom.operators.staging import stage, staging_path
 
 #: Bytes of context of the deepest nodes.
 DEPTH = 5
-#: Bytes of text that one task holds, and that one numpy step works on.
+#: Bytes of text that one task holds, and that one numpy step counts or scores.
 BLOCK = 16 << 20
 STEP = 1 << 20
+SCORE_STEP = 256 << 10
 #: Grams that a task weighs at once; a context with more is split by the byte before it.
 SHARD = 100_000
 #: Parts of all grams and words, and the blocks whose share in one part is as much as one block holds.
@@ -60,9 +61,9 @@ def codes_of(texts: list[bytes]) -> np.ndarray:
     return codes[keep]
 
 
-def steps(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``STEP`` bytes."""
-    at = np.cumsum([len(t) for t in texts]) // STEP
+def steps(texts: list[bytes], size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``size`` bytes."""
+    at = np.cumsum([len(t) for t in texts]) // size
     cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(texts)]
     yield from ((a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
 
@@ -225,7 +226,7 @@ def block_statistics(parts: int) -> Callable[[pa.Table], pa.Table]:
             words.update(own) if use else unused.update(own)
             words[END] += use
         words.update(dict.fromkeys(unused, 0))
-        for i, j in steps(texts):
+        for i, j in steps(texts, STEP):
             # The lowest bit tells training texts, so one sort counts both.
             used = np.repeat(learn[i:j], [len(t) for t in texts[i:j]])
             grams, n = np.unique(codes_of(texts[i:j]) << 1 | used, return_counts=True)
@@ -306,7 +307,7 @@ def score_block(train_tokens: int, n_distinct: int) -> Callable[[pa.Table, pa.Ta
             tokens.append(len(own))
             n_known.append(int((n[at] > 0).sum()))
             base.append(float(base_of[at].sum()))
-        for i, j in steps(texts):
+        for i, j in steps(texts, SCORE_STEP):
             own, at = np.unique(codes_of(texts[i:j]), return_inverse=True)
             p = log_p[np.searchsorted(grams, own)][at]
             sums.append(np.add.reduceat(p, np.cumsum([0, *[len(t) for t in texts[i : j - 1]]])))
