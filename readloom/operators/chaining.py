@@ -1,4 +1,4 @@
-"""Placement by chains of sampled seeds: a few k-mers of every window, the rare ones first, joined up along both texts.
+"""Placement by chains of sampled seeds: a few k-mers of every window, joined up along both texts.
 
 Where ``seeding`` counts every k-mer of the targets, this looks at about 2 / (w + 1) of them, and a gap in
 a read costs a chain a little instead of splitting its votes. A definition of its own, after
@@ -7,8 +7,12 @@ published descriptions of window minima, adaptive seeds and collinear chaining.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import sys
+from bisect import bisect_left
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +24,7 @@ from readloom.operators.staging import stage
 K = 15
 # K-mers in a window, of which the least is taken.
 W = 8
-# Places in the targets up to which a read's seeds are taken, from the rarest on; the rarest one always is.
+# Places in the targets up to which ``anchors`` takes a read's seeds, from the rarest on; ``chain_reads`` takes all.
 PLACES = 64
 # Diagonals of a band; bands overlap by half.
 BAND = 128
@@ -69,17 +73,20 @@ def minimisers(
     )
 
 
-def anchors(reads: DataFrame, targets: DataFrame, read_id: str, target_id: str, places: int = PLACES) -> DataFrame:
+def anchors(reads: DataFrame, targets: DataFrame, read_id: str, target_id: str, places: int | None = PLACES) -> DataFrame:
     """``read_id, target_id, x, y``: where seeds of the reads (``i, word``) occur in the targets.
 
-    A read takes its seeds from the rarest in the targets on, while the places of those taken are ``places``
-    or fewer in all; the rarest one it takes whatever it costs. So a seed that a third of the reads and of the targets share meets only the
-    reads that have nothing rarer, and rows grow with the reads, not with the product of both.
+    Without ``places`` every seed meets all its places. With it a read takes its seeds from the rarest in the targets on, while
+    the places of those taken are ``places`` or fewer in all; the rarest one it takes whatever it costs. So a seed that a third of the
+    reads and of the targets share meets only the reads that have nothing rarer, and partners beyond those are not found.
 
     Seeds of the targets that no read has are left where they are, by a bitmap of fixed size (see ``seeding``), and what
     is left is staged, as it is counted before it is joined.
     """
     reads = stage(reads.select(read_id, "i", "word"), "read_seeds", "zstd")
+    if places is None:
+        met = reads.select(read_id, "word", F.col("i").alias("x")).join(targets.select(target_id, "word", F.col("i").alias("y")), "word")
+        return met.select(read_id, target_id, "x", "y")
     targets = targets.select(target_id, "i", F.col("word").alias("kmer"))
     if reads.count() <= FILTER_SEEDS:
         targets = seeding._may_match(targets, reads.select(F.col("word").alias("kmer")))
@@ -93,20 +100,29 @@ def anchors(reads: DataFrame, targets: DataFrame, read_id: str, target_id: str,
     return kept.join(targets.select(target_id, "word", F.col("i").alias("y")), "word").select(read_id, target_id, "x", "y")
 
 
-def _chained(sorted_anchors: Column, k: int) -> Column:
-    """Per anchor, in order of ``y, x``: ``struct<y, x, f>`` with the best score ``f`` of a chain that ends there."""
+def best_end(ys: Sequence[int], xs: Sequence[int], k: int) -> tuple[int, int, int]:
+    """``(score, y, x)`` at the end of the best chain of anchors of one band, in order of ``y, x``; of equal scores the first end.
 
-    def step(done: Column, a: Column) -> Column:
-        before = F.filter(done, lambda p: (p["x"] < a["x"]) & (p["y"] < a["y"]))
-
-        def joined(p: Column) -> Column:
-            dx, dy = a["x"] - p["x"], a["y"] - p["y"]
-            return p["f"] + F.least(dx, dy, F.lit(k)) - F.ceil(F.abs(dx - dy) / SLACK).cast("int")
-
-        best = F.greatest(F.lit(k), F.coalesce(F.array_max(F.transform(before, joined)), F.lit(k)))
-        return F.concat(done, F.array(F.struct(a["y"].alias("y"), a["x"].alias("x"), best.alias("f"))))
-
-    return F.aggregate(sorted_anchors, F.array().cast("array<struct<y:int,x:int,f:int>>"), step)
+    Scores rise along a diagonal by as much as a step counts, so of the anchors of a diagonal only the last one
+    before an anchor can lead to it best: an anchor costs a search per diagonal of the band, however many there are.
+    """
+    found: dict[int, tuple[list[int], list[int]]] = {}
+    top = (0, 0, 0)
+    for y, x in zip(ys, xs, strict=True):
+        own, best = y - x, k
+        for diagonal, (starts, scores) in found.items():
+            # Before it in both texts.
+            n = bisect_left(starts, y if diagonal >= own else y - own + diagonal)
+            if n:
+                dy = y - starts[n - 1]
+                off = diagonal - own
+                best = max(best, scores[n - 1] + min(dy, dy + off, k) - (abs(off) + SLACK - 1) // SLACK)
+        starts, scores = found.setdefault(own, ([], []))
+        starts.append(y)
+        scores.append(best)
+        if best > top[0]:
+            top = (best, y, x)
+    return top
 
 
 def chains(
@@ -117,18 +133,35 @@ def chains(
     A chain runs up both texts inside a band of ``band`` diagonals; bands overlap by half. Its first seed counts
     ``k``, each further one the bases it adds, ``k`` at most, less one for every ``SLACK`` bases by which the two steps
     differ. ``diag`` is target less read position at the end of the chain; of equal scores the first end. A read meets a
-    band of a target in one row, and has few seeds there, as it took the rare ones.
+    band of a target in one row, which holds at most as many seeds as the read has, times ``band``.
     """
     diag = F.col("y") - F.col("x")
     bands = F.array(
         F.struct(F.lit(0).alias("half"), F.floor(diag / band).cast("int").alias("band")),
         F.struct(F.lit(1).alias("half"), F.floor((diag + band // 2) / band).cast("int").alias("band")),
     )
+    place = F.shiftleft(F.col("y").cast("bigint"), 32) + F.col("x")
     grouped = found.withColumn("_b", F.explode(bands)).groupBy(read_id, target_id, "_b.half", "_b.band").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x")))).alias("_a")
+        F.array_sort(F.collect_list(place)).alias("_a")
     )
-    ends = F.transform(_chained(F.col("_a"), k), lambda e: F.struct((-e["f"]).alias("f"), e["y"].alias("y"), e["x"].alias("x")))
-    best = grouped.select(read_id, target_id, F.array_min(ends).alias("_e")).groupBy(read_id, target_id).agg(F.min("_e").alias("_e"))
+    ids = grouped.select(F.col(read_id).alias("_read"), F.col(target_id).alias("_target"), "_a")
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("_a")
+            found = []
+            for i in range(len(lists)):
+                at = lists[i].values.to_numpy()
+                found.append(best_end((at >> 32).tolist(), (at & 0xFFFFFFFF).tolist(), k))
+            scores = [pa.array(c, pa.int32()) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int32())] * 3
+            yield pa.RecordBatch.from_arrays([batch.column("_read"), batch.column("_target"), *scores], names=["_read", "_target", "f", "y", "x"])
+
+    # Executors need not have this package: what the tasks run travels with the query.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    schema = ", ".join(f"{c} {ids.schema[c].dataType.simpleString()}" for c in ("_read", "_target"))
+    scored = ids.mapInArrow(ends, schema + ", f int, y int, x int").withColumnsRenamed({"_read": read_id, "_target": target_id})
+    end = F.struct((-F.col("f")).alias("f"), "y", "x")
+    best = scored.groupBy(read_id, target_id).agg(F.min(end).alias("_e"))
     return best.where(-F.col("_e.f") >= min_score).select(
         read_id, target_id, (-F.col("_e.f")).alias("score"), (F.col("_e.y") - F.col("_e.x")).alias("diag")
     )
@@ -136,9 +169,9 @@ def chains(
 
 def chain_reads(
     reads: DataFrame, targets: DataFrame, read_id: str, target_id: str, text: str = "text",
-    k: int = K, w: int = W, order: Callable[[Column], Column] = F.xxhash64, places: int = PLACES, min_score: int = MIN_SCORE,
+    k: int = K, w: int = W, order: Callable[[Column], Column] = F.xxhash64, places: int | None = None, min_score: int = MIN_SCORE,
 ) -> DataFrame:
-    """The best chain of every read and target, from their texts."""
+    """The best chain of every read and target, from their texts; all seeds of a read count unless ``places`` says otherwise."""
     found = anchors(
         minimisers(reads, [read_id], text, k, w, order), minimisers(targets, [target_id], text, k, w, order), read_id, target_id, places
     )

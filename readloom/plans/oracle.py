@@ -337,11 +337,7 @@ VIEWS |= {
     "item_words": _MINIMISERS.format(id="item_id", table="benchmark", following=_NEXT),
     "doc_words": _MINIMISERS.format(id="doc_id", table="documents", following=_NEXT),
     "item_anchors": """
-select item_id, doc_id, k.i as x, d.i as y from (
- select *, sum(often) over (partition by item_id order by often, i rows unbounded preceding) as total,
-  row_number() over (partition by item_id order by often, i) as rk
- from item_words join (select word, count(*) as often from doc_words group by word) using (word)) k
-join doc_words d using (word) where total <= 64 or rk = 1""",
+select item_id, doc_id, k.i as x, d.i as y from item_words k join doc_words d using (word)""",
     # Lists of one anchor each, folded to the list of all with the best score that ends there.
     "item_ends": """
 select item_id, doc_id, unnest(list_reduce(anchors, lambda done, b: list_append(done, {'y': b[1].y, 'x': b[1].x,

@@ -122,3 +122,27 @@ def test_seeds_that_no_read_has_are_not_shuffled(frame):
     assert shuffled_rows(seeds) == 0 and seeds.count() > 10_000
     found = chaining.anchors(chaining.minimisers(reads, ["r"], "text"), seeds, "r", "t")
     assert shuffled_rows(found) < 500 and {(r.t, r.y - r.x) for r in found.collect()} == {(3, 500)}
+
+
+def test_no_partner_is_left_out(frame):
+    rnd = random.Random(10)
+    common = letters(rnd, 70)
+    targets = [(i, letters(rnd, 30) + common + letters(rnd, 30)) for i in range(90)]
+    reads = [(i, targets[i][1][10:120]) for i in range(3)] + [(7, common), (8, "AC" * 40)]
+    targets += [(200, "ACAC" * 60), (201, common + letters(rnd, 9) + common)]
+    got = rows(chaining.chain_reads(frame(reads, "r int, text string"), frame(targets, "t int, text string"), "r", "t", order=F.md5))
+    assert got == brute_chains(reads, targets, 15, 8, 10**9, 30)
+    assert all({t for r, t, *_ in got if r == i} >= set(range(90)) for i in (0, 1, 2, 7))
+
+
+def test_best_end_is_brute_force():
+    rnd = random.Random(11)
+    for n in (1, 5, 60, 400):
+        for _ in range(10):
+            places = sorted({(x + rnd.randrange(128), x) for x in (rnd.randrange(n + 9) for _ in range(n))})
+            done = []
+            for y, x in places:
+                steps = [pf + min(x - px, y - py, 15) - -(-abs((x - px) - (y - py)) // 4) for py, px, pf in done if px < x and py < y]
+                done.append((y, x, max([15, *steps])))
+            want = min((-f, y, x) for y, x, f in done)
+            assert chaining.best_end(*zip(*places, strict=True), 15) == (-want[0], *want[1:])
