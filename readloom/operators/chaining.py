@@ -11,6 +11,7 @@ import sys
 from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
@@ -80,13 +81,13 @@ def anchors(reads: DataFrame, targets: DataFrame, read_id: str, target_id: str,
     the places of those taken are ``places`` or fewer in all; the rarest one it takes whatever it costs. So a seed that a third of the
     reads and of the targets share meets only the reads that have nothing rarer, and partners beyond those are not found.
 
-    Seeds of the targets that no read has are left where they are, by a bitmap of fixed size (see ``seeding``), and what
-    is left is staged, as it is counted before it is joined.
+    With ``places``, seeds of the targets that no read has are left where they are, by a bitmap of fixed size (see ``seeding``), and what
+    is left is staged, as it is counted before it is joined. Without, ``minimisers_among`` gives the targets' seeds that matter.
     """
-    reads = stage(reads.select(read_id, "i", "word"), "read_seeds", "zstd")
     if places is None:
         met = reads.select(read_id, "word", F.col("i").alias("x")).join(targets.select(target_id, "word", F.col("i").alias("y")), "word")
         return met.select(read_id, target_id, "x", "y")
+    reads = stage(reads.select(read_id, "i", "word"), "read_seeds", "zstd")
     targets = targets.select(target_id, "i", F.col("word").alias("kmer"))
     if reads.count() <= FILTER_SEEDS:
         targets = seeding._may_match(targets, reads.select(F.col("word").alias("kmer")))
@@ -167,12 +168,120 @@ def chains(
     )
 
 
+# Bits that the words sought have in a bitmap, for each of them and at most, and places of a piece of text that are looked at at once.
+WORD_BITS, MOST_BITS, PIECE = 64, 1 << 30, 1 << 16
+_FACTOR, _MIX, _OTHER_MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
+
+
+def word_codes(text: str, k: int) -> np.ndarray:
+    """A 64-bit code of each k-mer of a text, equal for equal k-mers."""
+    letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = len(letters) - k + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    # Codes of 1, 2, 4, ... letters, put together to k by its bits.
+    whole, done, part, size = np.zeros(n, np.uint64), 0, letters, 1
+    while True:
+        if k & size:
+            whole += part[done : done + n] * np.uint64(pow(_FACTOR, done, 1 << 64))
+            done += size
+        if done == k:
+            break
+        part = part[:-size] + part[size:] * np.uint64(pow(_FACTOR, size, 1 << 64))
+        size *= 2
+    whole ^= whole >> np.uint64(32)
+    whole *= np.uint64(_MIX)
+    whole ^= whole >> np.uint64(29)
+    return whole
+
+
+def _bits_of(codes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    shift = np.uint64(64 - bits)
+    return codes >> shift, codes * np.uint64(_OTHER_MIX) >> shift
+
+
+def _bitmap(words: DataFrame, k: int) -> tuple[np.ndarray, int]:
+    """Two bits for each of the ``word``s in a bitmap of at most ``MOST_BITS``, and the power of two of its size."""
+    bits = max(min(WORD_BITS * words.count(), MOST_BITS) - 1, 1 << 9).bit_length()
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = np.concatenate([np.empty(0, np.uint64), *(word_codes(w, k) for w in batch.column("word").to_pylist())])
+            at = np.unique(np.concatenate(_bits_of(codes, bits))).astype(np.int64)
+            yield pa.record_batch([pa.array(at >> 6), pa.array(at & 63)], names=["slot", "bit"])
+
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit").cast("int"))
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    masks = words.select("word").mapInArrow(rows, "slot long, bit long").groupBy("slot").agg(F.bit_or(one).alias("mask")).toArrow()
+    bitmap = np.zeros(1 << bits - 6, np.int64)
+    bitmap[masks.column("slot").to_numpy()] = masks.column("mask").to_numpy()
+    return bitmap.view(np.uint64), bits
+
+
+def minimisers_among(
+    df: DataFrame, ids: Sequence[str], text: str, words: DataFrame, k: int = K, w: int = W, order: Callable[[Column], Column] = F.xxhash64
+) -> DataFrame:
+    """Those of the ``minimisers`` whose ``word`` is one of the ``words`` (each of ``k`` letters), and few others; ``words`` is read twice.
+
+    Places whose k-mer may be sought are found first, by codes of all k-mers of a text and a bitmap that tasks hold; only there the
+    k-mers of the windows around are put in order. A k-mer is the least of some window where those next to it that are not less
+    (on the left: greater), ``w - 1`` at most on a side, fill one together with it.
+    """
+    bitmap, bits = _bitmap(words, k)
+    shared = df.sparkSession.sparkContext.broadcast(bitmap)
+    kept = [f"_id{i}" for i in range(len(ids))]
+    rows = df.select(*[F.col(c).alias(n) for c, n in zip(ids, kept, strict=True)], F.col(text).cast("string").alias("_text"))
+
+    def places(text: str) -> np.ndarray:
+        found = []
+        for at in range(0, len(text) - k + 1, PIECE):
+            codes = word_codes(text[at : at + PIECE + k - 1], k)
+            one, two = _bits_of(codes, bits)
+            near = np.flatnonzero(shared.value[(one >> np.uint64(6)).astype(np.int64)] >> (one & np.uint64(63)) & np.uint64(1))
+            two = two[near]
+            there = shared.value[(two >> np.uint64(6)).astype(np.int64)] >> (two & np.uint64(63)) & np.uint64(1)
+            found.append(near[there == 1] + at)
+        return np.concatenate(found) if found else np.empty(0, np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text in enumerate(batch.column("_text")):
+                text = text.as_py()
+                if text is None or len(text) < k:
+                    continue
+                found = places(text)
+                size = min(len(text) - k + 1, w)
+                for at in range(0, len(found), PIECE):
+                    js = found[at : at + PIECE].tolist()
+                    around = [text[max(j - w + 1, 0) : j + w - 1 + k] for j in js]
+                    own = [batch.column(n).take(pa.array([row] * len(js))) for n in kept]
+                    new = [pa.array([j + 1 for j in js], pa.int32()), pa.array([min(j, w - 1) for j in js], pa.int32()),
+                           pa.array([size] * len(js), pa.int32()), pa.array(around, pa.string())]
+                    yield pa.RecordBatch.from_arrays([*own, *new], names=[*kept, "i", "_before", "_window", "_around"])
+
+    schema = [f"{n} {rows.schema[n].dataType.simpleString()}" for n in kept]
+    near = rows.mapInArrow(run, ", ".join([*schema, "i int", "_before int", "_window int", "_around string"]))
+    before, around = F.col("_before"), F.col("_around")
+    cut = lambda j: F.substr(around, j + 1, F.lit(k))
+    first = lambda lost, n: F.coalesce(F.nullif(F.array_position(lost, F.lit(True)), F.lit(0)) - 1, n)
+
+    def fills(orders: Column) -> Column:
+        own = orders[before]
+        after = F.size(orders) - before - 1
+        left = F.transform(F.reverse(F.slice(orders, F.lit(1), before)), lambda o: o <= own)
+        right = F.transform(F.slice(orders, before + 2, after), lambda o: o < own)
+        return first(left, before) + first(right, after) + 1 >= F.col("_window")
+
+    orders = F.transform(F.sequence(F.lit(0), F.length(around) - k), lambda j: order(cut(j)))
+    least = near.where(let(orders, fills)).select(*kept, "i", cut(before).alias("word"))
+    return least.toDF(*ids, "i", "word")
+
+
 def chain_reads(
     reads: DataFrame, targets: DataFrame, read_id: str, target_id: str, text: str = "text",
     k: int = K, w: int = W, order: Callable[[Column], Column] = F.xxhash64, places: int | None = None, min_score: int = MIN_SCORE,
 ) -> DataFrame:
     """The best chain of every read and target, from their texts; all seeds of a read count unless ``places`` says otherwise."""
-    found = anchors(
-        minimisers(reads, [read_id], text, k, w, order), minimisers(targets, [target_id], text, k, w, order), read_id, target_id, places
-    )
-    return chains(found, read_id, target_id, k, min_score=min_score)
+    seeds = stage(minimisers(reads, [read_id], text, k, w, order), "seeds", "zstd")
+    theirs = minimisers_among(targets, [target_id], text, seeds, k, w, order)
+    return chains(anchors(seeds, theirs, read_id, target_id, places), read_id, target_id, k, min_score=min_score)

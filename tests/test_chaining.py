@@ -135,6 +135,23 @@ def test_no_partner_is_left_out(frame):
     assert all({t for r, t, *_ in got if r == i} >= set(range(90)) for i in (0, 1, 2, 7))
 
 
+@pytest.mark.parametrize("k,w,piece", [(15, 8, 1 << 16), (5, 4, 16), (3, 1, 7), (1, 3, 5)])
+def test_minimisers_among_words(frame, monkeypatch, k, w, piece):
+    monkeypatch.setattr(chaining, "PIECE", piece)
+    rnd = random.Random(k)
+    texts = [letters(rnd, n) for n in (0, k - 1, k, k + w - 2, k + w, 60, 700)] + ["a" * 100, "é\U0001f600" * 40, "AC" * 50]
+    df = frame([*((str(t), text) for t, text in enumerate(texts)), ("99", None)], "t string, text string")
+    all_of = {(str(t), i, text[i - 1 : i - 1 + k]) for t, text in enumerate(texts) for i in least(text, k, w)}
+    words = sorted({word for *_, word in all_of})[::3]
+    got = rows(chaining.minimisers_among(df, ["t"], "text", frame([(x,) for x in words], "word string"), k, w, F.md5))
+    assert len(got) == len(set(got)) and set(got) <= all_of
+    assert {g for g in got if g[2] in set(words)} == {a for a in all_of if a[2] in set(words)}
+    # Words are sifted: of random k-mers few others pass.
+    assert k < 15 or len(got) < 1.1 * sum(a[2] in set(words) for a in all_of) + 3
+    none = frame([], "word string")
+    assert rows(chaining.minimisers_among(df, ["t"], "text", none, k, w, F.md5)) == []
+
+
 def test_best_end_is_brute_force():
     rnd = random.Random(11)
     for n in (1, 5, 60, 400):
