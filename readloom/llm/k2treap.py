@@ -149,15 +149,16 @@ INDEX = {
     "terms": pa.list_(pa.string()),
     "dfs": pa.list_(pa.int64()),
     "height": pa.int32(),
+    "cells": pa.int64(),
     "masks": pa.binary(),
     "peaks": pa.binary(),
 }
-INDEX_SCHEMA = "ids array<long>, terms array<string>, dfs array<long>, height int, masks binary, peaks binary"
+INDEX_SCHEMA = "ids array<long>, terms array<string>, dfs array<long>, height int, cells long, masks binary, peaks binary"
 
 
 @dataclass
 class Index:
-    """``shards``: a row per grid; ``docs`` and ``length``: documents with a term, and all terms with repeats."""
+    """``shards``: a row per grid, its ``masks`` and ``peaks`` packed; ``docs`` and ``length``: documents with a term, and all terms with repeats."""
 
     shards: DataFrame
     docs: int
@@ -182,7 +183,8 @@ def build(documents: DataFrame, size: int = SHARD_BYTES) -> Index:
             if (grid := _grid(piece, docs, length)) is not None:
                 yield pa.record_batch([pa.array([v], t) for v, t in zip(grid, INDEX.values(), strict=True)], list(INDEX))
 
-    return Index(stage(rows.mapInArrow(grids, INDEX_SCHEMA), "k2_treaps"), docs, length)
+    # A row group each: a grid has some MB, and the JVM reads and writes row groups whole, however many grids a split of the texts gives.
+    return Index(stage(rows.mapInArrow(grids, INDEX_SCHEMA), "k2_treaps", group_rows=1), docs, length)
 
 
 def _grid(piece: pa.RecordBatch, docs: int, length: int) -> tuple | None:
@@ -207,7 +209,16 @@ def _grid(piece: pa.RecordBatch, docs: int, length: int) -> tuple | None:
     treap = Treap.of(row[term], column, impact(tf, np.array(sizes, np.int64)[column], docs, length))
     words = list(known)
     names = [words[i].decode("utf-8", "surrogatepass") for i in order.tolist()]
-    return ids, names, df[order], treap.height, treap.masks.tobytes(), treap.peaks.tobytes()
+    return ids, names, df[order], treap.height, len(treap.masks), _packed(treap.masks), _packed(treap.peaks)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Bytes of an array, which the JVM holds several grids of at once, at less than half their size."""
+    return pa.Codec("zstd", compression_level=1).compress(values.tobytes(), asbytes=True)
+
+
+def _unpacked(data: pa.BinaryScalar, n: int, kind: type) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data.as_buffer(), n * np.dtype(kind).itemsize, "zstd"), kind)
 
 
 def queries_of(items: DataFrame) -> DataFrame:
@@ -286,9 +297,8 @@ def _found(index: Index, terms: list, top: int) -> DataFrame:
 
 def _search_shard(shard: dict, queries: dict, wanted: set[str], best: dict, top: int) -> None:
     """Merge the best documents of a grid into ``best``: per item, up to ``top`` of (-score, id is null, id, score) in order."""
-    treap = Treap(
-        shard["height"].as_py(), np.frombuffer(shard["masks"].as_py(), np.uint8), np.frombuffer(shard["peaks"].as_py(), np.int32)
-    )
+    cells = shard["cells"].as_py()
+    treap = Treap(shard["height"].as_py(), _unpacked(shard["masks"], cells, np.uint8), _unpacked(shard["peaks"], cells, np.int32))
     names = shard["terms"].values
     at = pc.indices_nonzero(pc.is_in(names, pa.array(sorted(wanted), pa.string())))
     rows = dict(zip(names.take(at).to_pylist(), at.to_pylist(), strict=True))

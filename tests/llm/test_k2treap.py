@@ -1,9 +1,11 @@
 import math
 import re
 from collections import Counter
+from urllib.parse import unquote, urlparse
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from readloom.llm import k2treap, oracle
@@ -98,3 +100,13 @@ def test_treap_finds_the_largest_sums():
         wanted = {c: int(s) for c, s in enumerate(sums) if s > 0 and s >= limit}
         assert wanted.items() <= got.items()
         assert all(sums[c] == s for c, s in got.items())
+
+
+def test_a_row_group_holds_one_grid(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").coalesce(1)
+    shards = k2treap.build(docs, size=20_000).shards
+    groups = [pq.ParquetFile(unquote(urlparse(f).path)).metadata for f in shards.inputFiles()]
+    sizes = [m.row_group(g).num_rows for m in groups for g in range(m.num_row_groups)]
+    assert len(sizes) == shards.count() > 10 and set(sizes) == {1}
+    # Both arrays of a grid's cells are packed.
+    assert all(len(r["masks"]) + len(r["peaks"]) < 3 * r["cells"] for r in shards.collect())
