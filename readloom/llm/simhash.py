@@ -154,23 +154,25 @@ def link_fingerprints(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     sizes = owned.groupBy("key").agg(F.count("*").alias("owners")).where(F.col("owners") > SMALL_BUCKET)
     sizes = stage(sizes.select("key", blocks("owners").alias("parts")), "sizes")
 
+    # Up to 108 wanted keys come from one fingerprint, of which the planner knows nothing: it must not broadcast them.
     small = owned.join(sizes, "key", "left_anti").withColumnRenamed("fp", "other")
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits
-    links = wanted.join(small, "key").where((F.col("fp") < F.col("other")) & close)
+    links = wanted.hint("merge").join(small, "key").where((F.col("fp") < F.col("other")) & close)
     links = links.select(F.col("fp").alias("a"), F.col("other").alias("b"))
 
-    # Seekers of a large bucket are dealt to blocks of their own; each meets every block of owners.
-    seeking = stage(wanted.join(sizes, "key"), "seeking")
+    # Seekers of a large bucket are dealt to blocks of their own; each meets every block of owners. A semi-join can only broadcast the buckets.
+    seeking = stage(wanted.join(sizes, "key", "left_semi"), "seeking")
     seekers = seeking.groupBy("key").agg(F.count("*").alias("n")).select("key", blocks("n").alias("seeker_parts"))
+    buckets = stage(sizes.join(seekers, "key"), "buckets")
     part = lambda n: F.pmod(F.xxhash64("fp"), F.col(n)).cast("int")
-    left = seeking.join(seekers, "key").select(
+    left = seeking.join(buckets, "key").select(
         "key",
         part("seeker_parts").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"),
         "fp",
         F.lit(False).alias("owner"),
     )
-    right = owned.join(sizes.join(seekers, "key"), "key").select(
+    right = owned.join(buckets, "key").select(
         "key",
         F.explode(F.sequence(F.lit(0), F.col("seeker_parts") - 1)).alias("i"),
         part("parts").alias("j"),

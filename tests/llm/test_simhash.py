@@ -91,3 +91,18 @@ def test_deduplicated_keeps_one_of_each_group(odd_documents):
 def test_empty(no_documents):
     assert simhash.near_duplicates(no_documents).count() == 0
     assert simhash.deduplicated(no_documents).count() == 0
+
+
+def test_wanted_keys_are_never_broadcast(spark, frame):
+    rng = np.random.default_rng(4)
+    prints = simhash.stage(frame([(x,) for x in rng.integers(-(2**63), 2**63 - 1, 2_000).tolist()], "fp long"), "prints")
+    found = simhash.link_fingerprints(prints)
+    plans, broadcast = [found._jdf.queryExecution().executedPlan()], []
+    while plans:
+        plan = plans.pop()
+        if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif plan.getClass().getSimpleName() == "BroadcastExchangeExec":
+            broadcast.append(plan.toString())
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    assert not any("MapInPandas" in b for b in broadcast)
